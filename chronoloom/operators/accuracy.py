@@ -107,9 +107,7 @@ def crps_sample(paths: DataFrame, by: list[str], y: str, sim: str = "sim") -> Da
 
 def skill(scores: DataFrame, by: list[str], baseline: str, score: str) -> DataFrame:
     """1 - score / score of the baseline model."""
-    base = scores.where(F.col("model") == baseline).select(*by, F.col(score).alias("_base"))
-    return scores.join(base, by) .withColumn("skill", 1.0 - _safe(F.col(score), F.col("_base"))).drop("_base")
-
-
-def interval_z(level: float) -> float:
-    return level_z(level)
+    keyed = scores.withColumn("_all", F.lit(0))
+    on = [*by, "_all"]
+    base = keyed.where(F.col("model") == baseline).groupBy(*on).agg(F.max(score).alias("_base"))
+    return keyed.join(base, on).withColumn("skill", 1.0 - _safe(F.col(score), F.col("_base"))).drop("_base", "_all")

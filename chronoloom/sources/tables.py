@@ -45,3 +45,15 @@ def write_series(df: DataFrame, spec: SeriesSpec, path: str, buckets: int | None
         out.write.mode("overwrite").partitionBy("key_bucket").format(fmt).save(path)
     else:
         out.write.mode("overwrite").format(fmt).save(path)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one named by spark.checkpoint.dir."""
+    import tempfile
+    import uuid
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="chronoloom-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
