@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chronoloom.functions.special import level_z, normal_cdf, normal_pdf
+from chronoloom.functions.special import normal_cdf, normal_pdf, z_value
 from chronoloom.operators.blocks import lag_columns, windowed
 from chronoloom.series import SeriesSpec
 
@@ -81,7 +81,6 @@ def winkler_score(y: Column, lo: Column, hi: Column, level: float) -> Column:
 
 
 def normal_quantile(mean: Column, sigma: Column, p: float) -> Column:
-    from chronoloom.functions.special import z_value
     return mean + z_value(p) * sigma
 
 
@@ -107,7 +106,7 @@ def crps_sample(paths: DataFrame, by: list[str], y: str, sim: str = "sim") -> Da
 
 def skill(scores: DataFrame, by: list[str], baseline: str, score: str) -> DataFrame:
     """1 - score / score of the baseline model."""
-    keyed = scores.withColumn("_all", F.lit(0))
-    on = [*by, "_all"]
-    base = keyed.where(F.col("model") == baseline).groupBy(*on).agg(F.max(score).alias("_base"))
-    return keyed.join(base, on).withColumn("skill", 1.0 - _safe(F.col(score), F.col("_base"))).drop("_base", "_all")
+    base = scores.where(F.col("model") == baseline).groupBy(*by).agg(F.max(score).alias("_base"))
+    if by:
+        return scores.join(base, by).withColumn("skill", 1.0 - _safe(F.col(score), F.col("_base"))).drop("_base")
+    return scores.withColumn("skill", 1.0 - _safe(F.col(score), base.scalar()))

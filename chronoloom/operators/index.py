@@ -49,8 +49,8 @@ def spans(df: DataFrame, spec: SeriesSpec, full: bool = False) -> DataFrame:
     own = df.groupBy(*spec.by).agg(F.min(spec.t).alias("_lo"), F.max(spec.t).alias("_hi"))
     if not full:
         return own
-    lo, hi = own.agg(F.min("_lo"), F.max("_hi")).first()
-    return own.select(*spec.by, F.lit(lo).alias("_lo"), F.lit(hi).alias("_hi"))
+    lo, hi = own.agg(F.min("_lo").alias("v")), own.agg(F.max("_hi").alias("v"))
+    return own.select(*spec.by, lo.scalar().alias("_lo"), hi.scalar().alias("_hi"))
 
 
 def fill_gaps(df: DataFrame, spec: SeriesSpec, values: dict | None = None, full: bool = False) -> tuple[DataFrame, SeriesSpec]:

@@ -38,14 +38,14 @@ def historical_shares(actual: DataFrame, structure: Structure, t: str, method: s
     total = at_level(actual, structure, []).select(t, F.col(y).alias("_total"))
     if method == "proportion_averages":
         part = leaves.groupBy(*keys).agg(F.sum(y).alias("_part"))
-        whole = total.agg(F.sum("_total").alias("_total"))
-        return part.join(F.broadcast(whole)).select(*keys, (F.col("_part") / F.nullif("_total", F.lit(0.0))).alias("share"))
+        whole = total.agg(F.nullif(F.sum("_total"), F.lit(0.0)).alias("_total"))
+        return part.select(*keys, (F.col("_part") / whole.scalar()).alias("share"))
     if method != "average_proportions":
         raise ValueError(method)
     periods = total.where("_total <> 0").agg(F.count("*").alias("_periods"))
     ratio = leaves.join(total, t).groupBy(*keys).agg(
         F.sum(F.col(y) / F.nullif("_total", F.lit(0.0))).alias("_sum"))
-    return ratio.join(F.broadcast(periods)).select(*keys, (F.col("_sum") / F.col("_periods")).alias("share"))
+    return ratio.select(*keys, (F.col("_sum") / periods.scalar()).alias("share"))
 
 
 def top_down(fc: DataFrame, structure: Structure, by: list[str], actual: DataFrame | None = None,
@@ -54,12 +54,11 @@ def top_down(fc: DataFrame, structure: Structure, by: list[str], actual: DataFra
     if method == "forecast_proportions":
         return middle_out(fc, structure, by, split=0)
     shares = historical_shares(actual, structure, t, method, y)
-    total = at_level(fc, structure, []).select(*by, *[c for c in ("mean", "sigma") if c in fc.columns])
-    # every leaf gets every step of the total; both sides grow with the output
-    leaves = shares.withColumn("_k", F.lit(0)).join(total.withColumn("_k", F.lit(0)), "_k").drop("_k")
-    leaves = leaves.withColumn("mean", F.col("mean") * F.col("share"))
-    aggs = [F.sum("mean").alias("mean")]
-    return aggregate_key(leaves, structure, by, aggs)
+    keys = structure_keys(structure)
+    total = at_level(fc, structure, []).select(*by, F.col("mean").alias("_total"))
+    leaves = at_level(fc, structure, keys).select(*keys, *by).join(total, by).join(shares, keys)
+    leaves = leaves.withColumn("mean", F.col("_total") * F.col("share"))
+    return aggregate_key(leaves, structure, by, [F.sum("mean").alias("mean")])
 
 
 def middle_out(fc: DataFrame, structure: Structure, by: list[str], split: int = 1) -> DataFrame:

@@ -110,7 +110,7 @@ def user_daily(spark: SparkSession, d: str) -> tuple[DataFrame, SeriesSpec]:
 UD = """udr AS (
   SELECT user_id, event_type, CAST(CAST(ts AS DATE) - DATE '1970-01-01' AS BIGINT) AS t, CAST(count(*) AS DOUBLE) AS y
   FROM events GROUP BY ALL),
-udc AS (SELECT user_id, event_type, unnest(range(min(t), max(t) + 1)) AS t FROM udr GROUP BY ALL),
+udc AS (SELECT user_id, event_type, unnest(range(min(t), max(t) + 1)) AS t FROM udr GROUP BY user_id, event_type),
 ud AS (SELECT udc.*, coalesce(y, 0.0) AS y FROM udc LEFT JOIN udr USING (user_id, event_type, t))"""
 
 
