@@ -83,34 +83,29 @@ def classical(df: DataFrame, spec: SeriesSpec, y: str, m: int | None = None, kin
 
 # ---- loess -------------------------------------------------------------
 
-def loess_value(pts: Column, at: Column, lo: Column, hi: Column, q: int) -> Column:
+def loess_value(pts: str, at: str, lo: str, hi: str, q: int) -> Column:
     """Local linear value at ``at`` from points (p, v, w) around it.
 
     Uses the q nearest positions of the dense range [lo, hi], tricube weights
-    times the robustness weights ``w``.
+    times the robustness weights ``w``.  One SQL expression: the one-element
+    ``transform``s name the window ends and the reach, so each is computed once.
     """
-    n = hi - lo + 1
-    left = F.when(n <= q, lo).otherwise(F.least(F.greatest(at - q // 2, lo), hi - q + 1))
-    right = F.when(n <= q, hi).otherwise(left + q - 1)
-    reach = F.greatest(at - left, right - at) + F.when(n < q, F.floor((q - n) / 2)).otherwise(0)
-
-    def add(s, p):
-        d = (p["p"] - at).cast("double")
-        r = F.abs(d) / reach
-        cube = 1.0 - r * r * r
-        k = F.when((p["p"] < left) | (p["p"] > right) | (r > 0.999), 0.0).when(r <= 0.001, 1.0).otherwise(cube * cube * cube)
-        k = k * p["w"]
-        return F.struct((s["s0"] + k).alias("s0"), (s["s1"] + k * d).alias("s1"), (s["s2"] + k * d * d).alias("s2"),
-                        (s["t0"] + k * p["v"]).alias("t0"), (s["t1"] + k * d * p["v"]).alias("t1"))
-
-    zero = F.struct(*[F.lit(0.0).alias(c) for c in ("s0", "s1", "s2", "t0", "t1")])
-
-    def value(s):
-        det = s["s0"] * s["s2"] - s["s1"] * s["s1"]
-        flat = s["t0"] / F.nullif(s["s0"], F.lit(0.0))
-        return F.when(det > 1e-6 * s["s0"] * s["s0"], (s["s2"] * s["t0"] - s["s1"] * s["t1"]) / det).otherwise(flat)
-
-    return F.aggregate(pts, zero, add, value)
+    n = f"({hi} - {lo} + 1)"
+    left = f"least(greatest({at} - {q // 2}, {lo}), {hi} - {q} + 1)"
+    return F.expr(f"""
+      get(transform(array(struct(if({n} <= {q}, {lo}, {left}) AS l, if({n} <= {q}, {hi}, {left} + {q} - 1) AS r)), g ->
+      get(transform(array(greatest({at} - g.l, g.r - {at}) + greatest(floor(({q} - {n}) / 2), 0)), h ->
+        aggregate(
+          transform(
+            transform(filter({pts}, p -> p.p BETWEEN g.l AND g.r),
+                      p -> struct(CAST(p.p - ({at}) AS DOUBLE) AS d, abs(p.p - ({at})) / h AS r, p.v AS v, p.w AS w)),
+            e -> struct(e.d AS d, e.v AS v, e.w * CASE WHEN e.r > 0.999D THEN 0.0D WHEN e.r <= 0.001D THEN 1.0D
+                                                       ELSE pow(1 - pow(e.r, 3), 3) END AS k)),
+          struct(0.0D AS s0, 0.0D AS s1, 0.0D AS s2, 0.0D AS t0, 0.0D AS t1),
+          (s, e) -> struct(s.s0 + e.k AS s0, s.s1 + e.k * e.d AS s1, s.s2 + e.k * e.d * e.d AS s2,
+                           s.t0 + e.k * e.v AS t0, s.t1 + e.k * e.d * e.v AS t1),
+          s -> if(s.s0 * s.s2 - s.s1 * s.s1 > 1e-6D * s.s0 * s.s0,
+                  (s.s2 * s.t0 - s.s1 * s.t1) / (s.s0 * s.s2 - s.s1 * s.s1), s.t0 / nullif(s.s0, 0.0D)))), 0)), 0)""")
 
 
 def _points(window: Window, p: str, v: str, w: str, q: int) -> Column:
@@ -124,7 +119,7 @@ def loess(df: DataFrame, spec: SeriesSpec, v: str, q: int, out: str, weight: str
     ends = df.groupBy(*spec.by).agg(F.min(spec.t).alias("_lo"), F.max(spec.t).alias("_hi"))
     base = df.join(ends, spec.by).withColumn("_w", F.col(weight) if weight else F.lit(1.0))
     smooth = windowed(base, spec, {"_pts": lambda w: _points(w, spec.t, v, "_w", q)}, q - 1, q - 1)
-    return smooth.withColumn(out, loess_value(F.col("_pts"), F.col(spec.t), F.col("_lo"), F.col("_hi"), q)
+    return smooth.withColumn(out, loess_value("_pts", spec.t, "_lo", "_hi", q)
                              ).drop("_pts", "_lo", "_hi", "_w")
 
 
@@ -141,7 +136,7 @@ def _stl_pass(df: DataFrame, spec: SeriesSpec, m: int, s_window, t_window: int,
         base = base.withColumns({"_cl": F.ceil((F.col("_lo") - F.col("_p")) / m), "_ch": F.floor((F.col("_hi") - F.col("_p")) / m)})
         base = windowed(base, spec, {"_pts": lambda w: _points(w, "_c", "_d", "_w", q)}, q - 1, q - 1,
                         by=[*spec.by, "_p"], t="_c", block=max(BLOCK // m, q))
-        at = {k: loess_value(F.col("_pts"), F.col("_c") + k, F.col("_cl"), F.col("_ch"), q) for k in (-1, 0, 1)}
+        at = {k: loess_value("_pts", f"(_c + {k})", "_cl", "_ch", q) for k in (-1, 0, 1)}
     # smoothed cycles, one more at each end
     none = F.lit(None).cast("struct<k:int,v:double>")
     own = F.struct(F.lit(0).alias("k"), at[0].alias("v"))
@@ -167,10 +162,10 @@ def _stl_pass(df: DataFrame, spec: SeriesSpec, m: int, s_window, t_window: int,
     inside = F.col(spec.t).between(F.col("_lo"), F.col("_hi"))
     out = out.withColumn("_lp", F.when(inside, F.col("_low")))
     out = out.withColumn("_pts", _points(w, spec.t, "_lp", "_one", l_window))
-    out = out.withColumn("_se", F.when(inside, F.col("_cyc") - loess_value(F.col("_pts"), F.col(spec.t), F.col("_lo"), F.col("_hi"), l_window)))
+    out = out.withColumn("_se", F.when(inside, F.col("_cyc") - loess_value("_pts", spec.t, "_lo", "_hi", l_window)))
     out = out.withColumn("_ds", F.col("_y") - F.col("_se"))
     out = out.withColumn("_pts", _points(w, spec.t, "_ds", "_w", t_window))
-    out = out.withColumn("_tr", loess_value(F.col("_pts"), F.col(spec.t), F.col("_lo"), F.col("_hi"), t_window))
+    out = out.withColumn("_tr", loess_value("_pts", spec.t, "_lo", "_hi", t_window))
     return out.where(F.col("_home") & inside).select(*keep, "_se", "_tr")
 
 
