@@ -80,7 +80,6 @@ _FIT = ("struct<beta:array<double>,se:array<double>,xtx_inv:array<double>,sse:do
         "adj_r2:double,sigma2:double,loglik:double,aic:double,aicc:double,bic:double>")
 
 
-@pandas_udf(_FIT)
 def _solve(p: pd.Series, n: pd.Series, g: pd.Series, keep: pd.Series) -> pd.DataFrame:
     rows = []
     for pi, ni, gi, ki in zip(p, n, g, keep):
@@ -113,5 +112,5 @@ def _solve(p: pd.Series, n: pd.Series, g: pd.Series, keep: pd.Series) -> pd.Data
 def solve(grams: DataFrame, keep: Column | None = None) -> DataFrame:
     """Solve each row's normal equations; ``keep`` selects predictor positions."""
     keep = keep if keep is not None else F.lit(None).cast("array<int>")
-    fit = grams.withColumn("_f", _solve("p", "n", "g", keep))
+    fit = grams.withColumn("_f", pandas_udf(_solve, _FIT)("p", "n", "g", keep))
     return fit.select(*[c for c in grams.columns if c != "g"], "_f.*")

@@ -1,0 +1,162 @@
+"""Exponential smoothing, intermittent demand, and uses of fitted states."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from chronoloom.models import smoothing as sm
+from chronoloom.operators.crossval import summarise_errors
+from chronoloom.operators.index import stretch
+from chronoloom.plans.base import LAST_DAY, OM, UD, orders_monthly, split, user_daily, with_ctes
+from chronoloom.plans.catalog import query
+
+ALPHAS = [round(0.1 * i, 1) for i in range(1, 10)]
+HOLT = [(a, b, 1.0) for a in (0.1, 0.3, 0.5, 0.7, 0.9) for b in (0.05, 0.1, 0.2)]
+DAMPED = [(a, b, p) for a in (0.1, 0.5, 0.9) for b in (0.05, 0.2) for p in (0.8, 0.9, 0.98)]
+
+
+def _ses_sql(src, last=True):
+    return f"""i AS (SELECT *, row_number() OVER (PARTITION BY priority ORDER BY t) AS i, count(*) OVER (PARTITION BY priority) AS n FROM {src}),
+r AS (SELECT priority, a, CAST(0 AS BIGINT) AS i, n, y AS l, 0.0::DOUBLE AS sse FROM i, (SELECT unnest({ALPHAS}::DOUBLE[]) AS a) WHERE i = 1
+  UNION ALL SELECT r.priority, a, i.i, r.n, l + a * (y - l), sse + (y - l) * (y - l) FROM r JOIN i ON r.priority = i.priority AND i.i = r.i + 1),
+b AS (SELECT priority, arg_min({{'a': a, 'l': l, 'sse': sse}}, sse) AS b FROM r WHERE i = n GROUP BY priority)"""
+
+
+@query("ses", "WITH RECURSIVE " + OM + ",\n" + _ses_sql("om") + "\nSELECT priority, b.a AS alpha, b.l AS level, b.sse AS sse FROM b")
+def ses(spark, d):
+    df, spec = orders_monthly(spark, d)
+    return sm.ses_grid(df, spec, "y", ALPHAS).select("priority", "alpha", "level", "sse")
+
+
+def _holt_sql(cands):
+    rows = ", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {p}::DOUBLE)" for a, b, p in cands)
+    return "WITH RECURSIVE " + OM + f""",
+i AS (SELECT *, row_number() OVER (PARTITION BY priority ORDER BY t) AS i, count(*) OVER (PARTITION BY priority) AS n FROM om),
+r AS (SELECT priority, ca, cb, cp, CAST(0 AS BIGINT) AS i, n, y AS l, 0.0::DOUBLE AS b, 0.0::DOUBLE AS sse FROM i, (VALUES {rows}) c(ca, cb, cp) WHERE i = 1
+  UNION ALL SELECT r.priority, ca, cb, cp, i.i, r.n, l + cp * b + ca * (y - l - cp * b), cp * b + cb * (y - l - cp * b), sse + (y - l - cp * b) * (y - l - cp * b)
+  FROM r JOIN i ON r.priority = i.priority AND i.i = r.i + 1),
+g AS (SELECT priority, arg_min({{'a': ca, 'b': cb, 'p': cp, 'l': l, 's': b, 'sse': sse}}, sse) AS x FROM r WHERE i = n GROUP BY priority)
+SELECT priority, x.a AS alpha, x.b AS beta, x.p AS phi, x.l AS level, x.s AS slope, x.sse AS sse FROM g"""
+
+
+_TCOLS = ("priority", "alpha", "beta", "phi", "level", "slope", "sse")
+
+
+@query("holt", _holt_sql(HOLT))
+def holt(spark, d):
+    df, spec = orders_monthly(spark, d)
+    return sm.trend_grid(df, spec, "y", HOLT).select(*_TCOLS)
+
+
+@query("damped_holt", _holt_sql(DAMPED))
+def damped_holt(spark, d):
+    df, spec = orders_monthly(spark, d)
+    return sm.trend_grid(df, spec, "y", DAMPED).select(*_TCOLS)
+
+
+_FIT = ("priority", "model", "params", "sigma2", "k", "aic", "aicc", "bic")
+
+
+@query("holt_winters")
+def holt_winters(spark, d):
+    """Additive, multiplicative and damped seasonal forms side by side."""
+    df, spec = orders_monthly(spark, d)
+    train, _ = split(df)
+    out = None
+    for s in (sm.Ets("A", "A", "A"), sm.Ets("M", "A", "M"), sm.Ets("M", "Ad", "M"), sm.Ets("M", "N", "A")):
+        part = sm.fit_ets(train, spec, "y", [s]).select(*_FIT)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("ets_auto")
+def ets_auto(spark, d):
+    df, spec = orders_monthly(spark, d)
+    return sm.ets_auto(split(df)[0], spec, "y").select(*_FIT)
+
+
+@query("ets_forecast")
+def ets_forecast(spark, d):
+    df, spec = orders_monthly(spark, d)
+    return sm.forecast_ets(sm.ets_auto(split(df)[0], spec, "y"), spec, 12).drop("t")
+
+
+@query("croston", "WITH RECURSIVE " + UD + """,
+z AS (SELECT user_id, event_type, t, y, min(t) OVER (PARTITION BY user_id, event_type) - 1 AS o FROM ud),
+nz AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY t) AS i, count(*) OVER (PARTITION BY user_id, event_type) AS n,
+   CAST(t - coalesce(lag(t) OVER (PARTITION BY user_id, event_type ORDER BY t), o) AS DOUBLE) AS gap FROM z WHERE y <> 0),
+r AS (SELECT user_id, event_type, i, n, y AS z, gap AS p FROM nz WHERE i = 1
+  UNION ALL SELECT r.user_id, r.event_type, nz.i, r.n, z + 0.1::DOUBLE * (y - z), p + 0.1::DOUBLE * (gap - p) FROM r
+  JOIN nz ON r.user_id = nz.user_id AND r.event_type = nz.event_type AND nz.i = r.i + 1)
+SELECT user_id, event_type, z AS size, p AS gap, z / p AS mean FROM r WHERE i = n""")
+def croston(spark, d):
+    df, spec = user_daily(spark, d)
+    return sm.croston(df, spec, "y")
+
+
+_SES_PATH = f"""tr AS (SELECT * FROM om WHERE month < DATE '{LAST_DAY}')"""
+
+
+@query("refit", "WITH RECURSIVE " + OM + ",\n" + _SES_PATH + ",\n" + _ses_sql("tr") + f""",
+te AS (SELECT *, row_number() OVER (PARTITION BY priority ORDER BY t) AS i FROM om WHERE month >= DATE '{LAST_DAY}'),
+q AS (SELECT te.priority, te.i, te.y, b.b.a AS a, b.b.l AS f FROM te JOIN b USING (priority) WHERE te.i = 1
+  UNION ALL SELECT q.priority, te.i, te.y, a, f + a * (q.y - f) FROM q JOIN te ON q.priority = te.priority AND te.i = q.i + 1)
+SELECT priority, sqrt(avg((y - f) * (y - f))) AS rmse, avg(abs(y - f)) AS mae FROM q GROUP BY priority""")
+def refit(spark, d):
+    """Parameters from training, state carried over the test rows."""
+    df, spec = orders_monthly(spark, d)
+    train, test = split(df)
+    fit = sm.ses_grid(train, spec, "y", ALPHAS)
+    fit = fit.select("priority", F.array("alpha", F.lit(0.0), F.lit(0.0), F.lit(1.0)).alias("params"),
+                     F.array("level", F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(0.0)).alias("start"))
+    path = sm.ets_states(test, spec, "y", fit, sm.Ets())
+    e = F.col("y") - F.col("fitted")
+    return test.join(path, ["priority", "t"]).groupBy("priority").agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"))
+
+
+@query("fitted")
+def fitted(spark, d):
+    df, spec = orders_monthly(spark, d)
+    s = sm.Ets("A", "A", "A")
+    fit = sm.fit_ets(df, spec, "y", [s])
+    path = sm.ets_states(df, spec, "y", fit, s)
+    return df.join(path, ["priority", "t"]).select("priority", "month", "y", "fitted", (F.col("y") - F.col("fitted")).alias("resid"))
+
+
+@query("fitted_h", with_ctes(OM, body="""SELECT priority, month, y, CASE WHEN lag(t, 3) OVER w IS NOT NULL THEN lag(y, 3) OVER w + 3 * (lag(y, 3) OVER w - first_value(y) OVER w)
+  / nullif(lag(i, 3) OVER w - 1, 0) END AS fitted FROM (SELECT *, row_number() OVER (PARTITION BY priority ORDER BY t) AS i FROM om) WINDOW w AS (PARTITION BY priority ORDER BY t)"""))
+def fitted_h(spark, d):
+    """Three-step fitted values of the drift model."""
+    from chronoloom.operators.crossval import cross_validate
+    df, spec = orders_monthly(spark, d)
+    steps = cross_validate(df, spec, "y", init=1, h=3, models=("drift",)).where("h = 3")
+    return df.join(steps.select("priority", "t", F.col("mean").alias("fitted")), ["priority", "t"], "left").select("priority", "month", "y", "fitted")
+
+
+@query("backcast", with_ctes(OM, body="""SELECT priority, make_date((t0 - h) // 12, (t0 - h) % 12 + 1, 1) AS month, CAST(h AS INTEGER) AS h, y0 + h * (y0 - y1) / (n - 1) AS mean FROM (
+  SELECT priority, min(t) AS t0, min_by(y, t) AS y0, max_by(y, t) AS y1, count(*) AS n FROM om GROUP BY 1), (SELECT unnest(range(1, 16)) AS h)"""))
+def backcast(spark, d):
+    """Reverse time, fit drift, forecast, map the steps back."""
+    from chronoloom.models.simple import fit_simple, forecast_simple
+    df, spec = orders_monthly(spark, d)
+    back = df.select("priority", (-F.col("t")).alias("t"), "y")
+    rspec = spec.with_(unit="int", index="t", period=1)
+    fc = forecast_simple(fit_simple(back, rspec, "y", {"drift": "drift"}), rspec.with_(index="rt"), 15)
+    return fc.select("priority", spec.index_expr(-F.col("t")).alias("month"), "h", "mean")
+
+
+@query("cross_validate_ets")
+def cross_validate_ets(spark, d):
+    """One-step errors of three smoothing models on expanding folds."""
+    df, spec = orders_monthly(spark, d)
+    quarterly = df.groupBy("priority", F.trunc("month", "quarter").alias("quarter")).agg(F.sum("y").alias("y"))
+    from chronoloom.series import to_series
+    q, qspec = to_series(quarterly, ["priority"], "quarter", "quarter", check=False, gapless=True)
+    folds = stretch(q, qspec, init=10).select("priority", "fold", "quarter", "t", "y")
+    fspec = qspec.with_(keys=("priority", "fold"))
+    out = None
+    for name, s in (("ses", sm.Ets()), ("holt", sm.Ets("A", "A")), ("damped", sm.Ets("A", "Ad"))):
+        fc = sm.forecast_ets(sm.fit_ets(folds, fspec, "y", [s], m=1), fspec, 1)
+        e = fc.join(q.select("priority", "t", "y"), ["priority", "t"]).select(F.lit(name).alias("model"), "y", (F.col("y") - F.col("mean")).alias("error"))
+        out = e if out is None else out.unionByName(e)
+    return summarise_errors(out, ["model"])
