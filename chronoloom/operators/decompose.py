@@ -206,13 +206,17 @@ def stl(df: DataFrame, spec: SeriesSpec, y: str, m: int | None = None, s_window=
 
 
 def stl_multi(df: DataFrame, spec: SeriesSpec, y: str, periods: list[int], rounds: int = 2) -> DataFrame:
-    """Several seasons: strip one after another, shortest first, twice."""
+    """Several seasons: strip one after another, shortest first.
+
+    The rounds take the place of the inner passes: every season is smoothed
+    once per round, given the others of the round before.
+    """
     base = df.select(*spec.by, spec.t, F.col(y).cast("double").alias("_yy")).withColumns(
         {f"season_{p}": F.lit(0.0) for p in periods})
     for r in range(rounds):
         for i, p in enumerate(sorted(periods)):
             others = sum((F.col(f"season_{o}") for o in periods if o != p), F.lit(0.0))
-            part = stl(base.withColumn("_v", F.col("_yy") - others), spec, "_v", p, s_window=11 + 4 * i)
+            part = stl(base.withColumn("_v", F.col("_yy") - others), spec, "_v", p, s_window=11 + 4 * i, inner=1)
             part = part.select(*spec.by, spec.t, F.col("season").alias("_s"), F.col("trend").alias("_t"))
             base = base.drop("_t").join(part, [*spec.by, spec.t]).withColumn(f"season_{p}", F.col("_s")).drop("_s")
             base = cut_lineage(base)

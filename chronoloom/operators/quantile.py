@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CUTS = 256
+CUTS = 64
 
 
 def group_quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float]) -> DataFrame:
@@ -21,7 +21,7 @@ def group_quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, f
     counted = (df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v"))
                  .agg(F.count("*").alias("_c")))
     cuts = counted.groupBy(*by).agg(
-        F.percentile_approx("_v", [i / CUTS for i in range(1, CUTS)], 2000).alias("_cuts"),
+        F.percentile_approx("_v", [i / CUTS for i in range(1, CUTS)], 1000).alias("_cuts"),
         F.sum("_c").alias("_n"))
     placed = counted.join(cuts, by)
     # binary position of the value among the cut points

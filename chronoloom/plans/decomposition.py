@@ -8,6 +8,7 @@ from chronoloom.models.simple import fit_simple, forecast_simple
 from chronoloom.operators import decompose as dc
 from chronoloom.operators import features as ft
 from chronoloom.operators import stats as st
+from chronoloom.operators.blocks import cut_lineage
 from chronoloom.plans.base import EH, OM, events_hourly, orders_monthly, ship_daily, with_ctes
 from chronoloom.plans.catalog import query
 
@@ -101,7 +102,8 @@ def feature_frame(df, spec):
               ft.flat_spot(df, spec, "y"), ft.intermittency(df, spec, "y"), ft.hurst(df, spec, "y"), st.kpss(df, spec, "y"),
               st.pp(df, spec, "y"), st.ndiffs(df, spec, "y"), st.arch_lm(df, spec, "y"),
               ft.spectral_entropy(kinds.where("d = 0"), spec)]
-    return ft.join_features(frames, spec.by)
+    # one row per series each: cut here, so that the families are separate jobs
+    return ft.join_features([cut_lineage(f) for f in frames], spec.by)
 
 
 @query("feature_set")
