@@ -214,22 +214,24 @@ def min_trace_cg(fc: DataFrame, structure: Structure, by: list[str], steps: int
         return aggregate_key(leaves, structure, by, [F.sum(col).alias(col)])
 
     leaf_keys = cut_lineage(at_level(fc, structure, keys).select(*keys, *by))
-    r = down(fc.select(*keys, *fl, *by, F.col("mean").alias("r")), "r")
-    state = cut_lineage(r.select(*keys, *by, F.lit(0.0).alias("b"), "r", F.col("r").alias("p")))
+    r = down(fc.select(*keys, *fl, *by, F.col("mean").alias("_r")), "_r")
+    state = cut_lineage(r.select(*keys, *by, F.lit(0.0).alias("_b"), "_r", F.col("_r").alias("_p")))
     for _ in range(steps):
-        ap = down(up(state.select(*keys, *by, "p"), "p"), "p").withColumnRenamed("p", "ap")
+        ap = down(up(state.select(*keys, *by, "_p"), "_p"), "_p").withColumnRenamed("_p", "_ap")
         joined = state.join(ap, [*keys, *by])
-        sums = joined.groupBy(*by).agg(F.sum(F.col("r") * F.col("r")).alias("_rr"), F.sum(F.col("p") * F.col("ap")).alias("_pap"))
+        sums = joined.groupBy(*by).agg(F.sum(F.col("_r") * F.col("_r")).alias("_rr"), F.sum(F.col("_p") * F.col("_ap")).alias("_pap"))
         moved = joined.join(sums, by).withColumn("_a", F.coalesce(F.col("_rr") / F.nullif("_pap", F.lit(0.0)), F.lit(0.0)))
-        moved = cut_lineage(moved.select(*keys, *by, (F.col("b") + F.col("_a") * F.col("p")).alias("b"),
-                                         (F.col("r") - F.col("_a") * F.col("ap")).alias("r"), "p", "_rr"))
-        new = moved.groupBy(*by).agg(F.sum(F.col("r") * F.col("r")).alias("_new"))
+        moved = cut_lineage(moved.select(*keys, *by, (F.col("_b") + F.col("_a") * F.col("_p")).alias("_b"),
+                                         (F.col("_r") - F.col("_a") * F.col("_ap")).alias("_r"), "_p", "_rr"))
+        new = moved.groupBy(*by).agg(F.sum(F.col("_r") * F.col("_r")).alias("_new"))
         worst = new.agg(F.max("_new")).first()[0]
         state = moved.join(new, by).select(
-            *keys, *by, "b", "r", (F.col("r") + F.coalesce(F.col("_new") / F.nullif("_rr", F.lit(0.0)), F.lit(0.0)) * F.col("p")).alias("p"))
+            *keys, *by, "_b", "_r", (F.col("_r") + F.coalesce(F.col("_new") / F.nullif("_rr", F.lit(0.0)), F.lit(0.0)) * F.col("_p")).alias("_p"))
         if worst is None or worst < tol ** 2:
             break
-    return up(state.select(*keys, *by, F.col("b").alias("mean")), "mean")
+    else:
+        raise RuntimeError(f"no convergence in {steps} steps; residual {worst ** 0.5:.3g}")
+    return up(state.select(*keys, *by, F.col("_b").alias("mean")), "mean")
 
 
 def reconcile(fc: DataFrame, methods: dict[str, DataFrame], by_model: str = "model") -> DataFrame:
