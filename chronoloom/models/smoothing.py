@@ -36,6 +36,7 @@ class Ets:
 # Search ranges of alpha, beta*, gamma* and phi.
 RANGES = {"alpha": (0.05, 0.95), "beta": (0.02, 0.5), "gamma": (0.02, 0.5), "phi": (0.80, 0.98)}
 POINTS, ROUNDS, SHRINK = 5, 4, 3.0
+WIDTH = 20_000  # candidate rows advanced together
 
 
 def free_parameters(s: Ets) -> list[str]:
@@ -92,14 +93,19 @@ def run(y: np.ndarray, p: np.ndarray, state: np.ndarray, s: Ets, m: int, fitted:
     """Advance all candidates over ``y``.
 
     ``state`` has one row per candidate: level, slope, sum of squared errors,
-    sum of log |mu|, then the m seasonal values, next season first.
+    sum of log |mu|, then the m seasonal values, next season first.  ``y`` may
+    hold several series of one length as rows; each owns an equal share of the
+    candidate rows, in order.
     """
     alpha, beta, gamma, phi = p.T
     lvl, b, sse, slog = (state[:, i].copy() for i in range(4))
     sea = state[:, 4:].copy()
     k = sea.shape[1]
-    out = np.empty(len(y)) if fitted else None
-    for i, v in enumerate(y):
+    many = y if y.ndim == 2 else y[None, :]
+    steps, share = many.shape[1], len(p) // len(many)
+    out = np.empty(steps) if fitted else None
+    for i in range(steps):
+        v = many[0, i] if len(many) == 1 else np.repeat(many[:, i], share)
         j = i % k
         base = lvl + phi * b
         sj = sea[:, j]
@@ -118,7 +124,7 @@ def run(y: np.ndarray, p: np.ndarray, state: np.ndarray, s: Ets, m: int, fitted:
             sea[:, j] = sj + gamma * es
         if fitted:
             out[i] = mu[0]
-    shift = len(y) % k
+    shift = steps % k
     sea = np.roll(sea, -shift, axis=1)
     new = np.column_stack([lvl, b, sse, slog, sea])
     return (new, out) if fitted else new
@@ -133,20 +139,23 @@ def criterion(state: np.ndarray, n: int, s: Ets) -> np.ndarray:
     return np.where(np.isfinite(c), c, np.inf)
 
 
-def _search(y: np.ndarray, s: Ets, m: int):
-    """Grid search with refinement on a series that fits one block."""
-    l0, b0, s0 = start_state(y, s, m)
-    centre = best = None
+def _search(ys: np.ndarray, s: Ets, m: int) -> list[tuple]:
+    """Grid search with refinement for series (rows) of one length."""
+    starts = []
+    for y in ys:
+        lvl, b, sea = start_state(y, s, m)
+        starts.append(np.concatenate([[lvl, b, 0.0, 0.0], sea]))
+    starts = np.array(starts)
+    best: list = [None] * len(ys)
     for r in range(ROUNDS if free_parameters(s) else 1):
-        cand = _candidates(s, centre, r)
-        st = np.tile(np.concatenate([[l0, b0, 0.0, 0.0], s0]), (len(cand), 1))
-        end = run(y, cand, st, s, m)
-        crit = criterion(end, len(y), s)
-        i = int(np.argmin(crit))
-        if best is None or crit[i] < best[0]:
-            best = (float(crit[i]), cand[i], end[i])
-        centre = _as_centre(best[1])
-    return best, np.concatenate([[l0, b0, 0.0, 0.0], s0])
+        cands = [_candidates(s, _as_centre(b[1]) if b else None, r) for b in best]
+        g = len(cands[0])
+        end = run(ys, np.concatenate(cands), np.repeat(starts, g, axis=0), s, m)
+        crit = criterion(end, ys.shape[1], s).reshape(len(ys), g)
+        for i, c in enumerate(crit.argmin(axis=1)):
+            if best[i] is None or crit[i, c] < best[i][0]:
+                best[i] = (float(crit[i, c]), cands[i][c], end[i * g + c], starts[i])
+    return best
 
 
 _OUT = ("array<struct<model:string,crit:double,params:array<double>,state:array<double>,start:array<double>,k:int,"
@@ -155,20 +164,23 @@ _OUT = ("array<struct<model:string,crit:double,params:array<double>,state:array<
 
 def _fitter(specs: list[Ets], m: int):
     def fit(ys: pd.Series) -> pd.Series:
-        rows = []
-        for y in ys:
-            y = np.asarray(y, float)
-            out = []
+        rows = [[] for _ in ys]
+        data = [np.asarray(y, float) for y in ys]
+        lengths: dict[int, list[int]] = {}
+        for i, y in enumerate(data):
+            lengths.setdefault(len(y), []).append(i)
+        for n, members in lengths.items():
             for s in specs:
-                if len(y) < 3 or (s.season != "N" and (m < 2 or len(y) < 2 * m)):
-                    continue
-                if (s.season == "M" or s.error == "M") and y.min() <= 0:
-                    continue
-                (crit, p, state), start = _search(y, s, m)
-                if not np.isfinite(crit):
+                if n < 3 or (s.season != "N" and (m < 2 or n < 2 * m)):
                     continue
-                out.append(_row(s, crit, p, state, start, len(y), m))
-            rows.append(out)
+                positive = s.season == "M" or s.error == "M"
+                use = [i for i in members if not positive or data[i].min() > 0]
+                width = max(1, WIDTH // max(1, POINTS ** len(free_parameters(s))))
+                for lo in range(0, len(use), width):
+                    part = use[lo:lo + width]
+                    for i, (crit, p, state, start) in zip(part, _search(np.stack([data[i] for i in part]), s, m)):
+                        if np.isfinite(crit):
+                            rows[i].append(_row(s, crit, p, state, start, n, m))
         return pd.Series(rows)
     return pandas_udf(fit, _OUT)
 

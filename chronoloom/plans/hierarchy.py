@@ -109,8 +109,8 @@ _td("top_down_average_proportions", "average_proportions", f"""SELECT l.region,
 _td("top_down_proportion_averages", "proportion_averages", f"""SELECT l.region, l.nation, sum(l.y) / sum(g.y) AS share
   FROM nf l JOIN nf g ON g.is_agg_region AND l.t = g.t WHERE NOT l.is_agg_nation AND l.t < {SPLIT_T} GROUP BY ALL""")
 
-_SHARES = """r AS (SELECT region, t, mean, mean / sum(mean) OVER (PARTITION BY t) AS share FROM fb WHERE NOT is_agg_region AND is_agg_nation),
-n AS (SELECT region, nation, t, mean / sum(mean) OVER (PARTITION BY region, t) AS share FROM fb WHERE NOT is_agg_nation)"""
+_SHARES = """r AS (SELECT region, t, mean, mean / nullif(sum(mean) OVER (PARTITION BY t), 0) AS share FROM fb WHERE NOT is_agg_region AND is_agg_nation),
+n AS (SELECT region, nation, t, mean / nullif(sum(mean) OVER (PARTITION BY region, t), 0) AS share FROM fb WHERE NOT is_agg_nation)"""
 
 
 @query("top_down", with_ctes(TL, _N, _SHARES, body=_leaf_rollup(NESTED, """SELECT n.region, n.nation, t, g.mean * r.share * n.share AS mean
