@@ -10,12 +10,19 @@ from chronoloom.operators.blocks import BLOCK, cut_lineage, windowed
 from chronoloom.operators.quantile import group_quantiles
 from chronoloom.series import SeriesSpec, require_gapless
 
+LOESS_BLOCK = 1024  # smaller than BLOCK: smoothing is heavy per row, so long series are spread wider
+
 
 def next_odd(x: float) -> int:
     n = ceil(x)
     return n if n % 2 else n + 1
 
 
+def _constants(values: list[float]) -> Column:
+    """A constant array as one expression (cheap to build for long filters)."""
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+
+
 # ---- moving averages ---------------------------------------------------
 
 def weighted_mean(window: Window, t: str, v: str, weights: list[float], keep_ends: bool = True) -> Column:
@@ -24,7 +31,7 @@ def weighted_mean(window: Window, t: str, v: str, weights: list[float], keep_end
     half = len(weights) // 2
     pts = F.collect_list(F.when(F.col(v).isNotNull(), F.struct(F.col(t).alias("t"), F.col(v).alias("v")))).over(
         window.rowsBetween(-half, half))
-    w = F.array(*[F.lit(float(x)) for x in weights])
+    w = _constants(weights)
     sums = F.aggregate(
         pts, F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("b")),
         lambda s, p: F.struct(
@@ -118,7 +125,8 @@ def loess(df: DataFrame, spec: SeriesSpec, v: str, q: int, out: str, weight: str
     require_gapless(spec, "loess")
     ends = df.groupBy(*spec.by).agg(F.min(spec.t).alias("_lo"), F.max(spec.t).alias("_hi"))
     base = df.join(ends, spec.by).withColumn("_w", F.col(weight) if weight else F.lit(1.0))
-    smooth = windowed(base, spec, {"_pts": lambda w: _points(w, spec.t, v, "_w", q)}, q - 1, q - 1)
+    smooth = windowed(base, spec, {"_pts": lambda w: _points(w, spec.t, v, "_w", q)}, q - 1, q - 1,
+                      block=max(LOESS_BLOCK, 8 * q))
     return smooth.withColumn(out, loess_value("_pts", spec.t, "_lo", "_hi", q)
                              ).drop("_pts", "_lo", "_hi", "_w")
 
@@ -135,7 +143,7 @@ def _stl_pass(df: DataFrame, spec: SeriesSpec, m: int, s_window, t_window: int,
         q = int(s_window)
         base = base.withColumns({"_cl": F.ceil((F.col("_lo") - F.col("_p")) / m), "_ch": F.floor((F.col("_hi") - F.col("_p")) / m)})
         base = windowed(base, spec, {"_pts": lambda w: _points(w, "_c", "_d", "_w", q)}, q - 1, q - 1,
-                        by=[*spec.by, "_p"], t="_c", block=max(BLOCK // m, q))
+                        by=[*spec.by, "_p"], t="_c", block=max(LOESS_BLOCK // m, 8 * q))
         at = {k: loess_value("_pts", f"(_c + {k})", "_cl", "_ch", q) for k in (-1, 0, 1)}
     # smoothed cycles, one more at each end
     none = F.lit(None).cast("struct<k:int,v:double>")
@@ -149,7 +157,7 @@ def _stl_pass(df: DataFrame, spec: SeriesSpec, m: int, s_window, t_window: int,
     box = [1.0]
     for width in (m, m, 3):
         box = [sum(box[i - j] for j in range(width) if 0 <= i - j < len(box)) / width for i in range(len(box) + width - 1)]
-    weights = F.array(*[F.lit(x) for x in box])
+    weights = _constants(box)
     halo = m + l_window + t_window
 
     def low(w):
@@ -157,7 +165,7 @@ def _stl_pass(df: DataFrame, spec: SeriesSpec, m: int, s_window, t_window: int,
         return F.when(F.size(arr) == 2 * m + 1, F.aggregate(F.zip_with(arr, weights, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
 
     from chronoloom.operators.blocks import halo_frame
-    out, w = halo_frame(ext, spec.by, spec.t, halo, halo)
+    out, w = halo_frame(ext, spec.by, spec.t, halo, halo, max(LOESS_BLOCK, 8 * halo))
     out = out.withColumn("_low", low(w)).withColumn("_one", F.lit(1.0))
     inside = F.col(spec.t).between(F.col("_lo"), F.col("_hi"))
     out = out.withColumn("_lp", F.when(inside, F.col("_low")))

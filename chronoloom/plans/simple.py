@@ -227,3 +227,20 @@ def back_transform_(spark, d):
     train = split(df)[0].withColumn("y", transforms.log.forward(F.col("y") + 1))
     fc = forecast_simple(fit_simple(train, spec, "y", {"drift": "drift"}), spec, H)
     return back_transform(fc, transforms.log, (80,)).select("priority", "month", "h", "mean", "median", "lo80", "hi80")
+
+
+@query("rw", with_ctes(FCS, body="SELECT priority, 'rw' AS model, month, h, mean, sigma FROM fcm WHERE model = 'naive'"))
+def rw(spark, d):
+    fc, *_ = forecasts(spark, d, {"rw": "naive"})
+    return fc.select("priority", "model", "month", "h", "mean", "sigma")
+
+
+@query("residuals", with_ctes(OM, body="""SELECT priority, month, ln(y + 1) - l AS innov, y - (exp(l) - 1) AS resid FROM (
+  SELECT *, lag(ln(y + 1)) OVER (PARTITION BY priority ORDER BY t) AS l FROM om)"""))
+def residuals(spark, d):
+    """Innovations on the model (log) scale, residuals on the response scale."""
+    df, spec = orders_monthly(spark, d)
+    logged = df.withColumn("w", transforms.log.forward(F.col("y") + 1))
+    aug = augment_simple(logged, spec, "w", {"naive": "naive"})
+    back = transforms.log.inverse(F.col("w")) - 1 - (transforms.log.inverse(F.col("fitted")) - 1)
+    return aug.select("priority", "month", F.col("resid").alias("innov"), back.alias("resid"))
