@@ -50,8 +50,8 @@ def sink(spark, d):
     return spark.read.parquet(path).select("priority", "month", "t", "y")
 
 
-@query("to_tibble", with_ctes(OM, body="SELECT priority, sum(y) AS y FROM om GROUP BY priority"))
-def to_tibble(spark, d):
+@query("to_plain_table", with_ctes(OM, body="SELECT priority, sum(y) AS y FROM om GROUP BY priority"))
+def to_plain_table(spark, d):
     df, _spec = orders_monthly(spark, d)  # dropping the spec is all it takes
     return df.groupBy("priority").agg(F.sum("y").alias("y"))
 

@@ -80,8 +80,8 @@ def sum_distributions_(spark, d):
     return sum_distributions(fc, ["model", "month"])
 
 
-@query("as_fable", with_ctes(FCS, body="SELECT priority, model, month, mean, sigma * sigma AS variance FROM fcm WHERE model = 'naive'"))
-def as_fable(spark, d):
+@query("as_forecast", with_ctes(FCS, body="SELECT priority, model, month, mean, sigma * sigma AS variance FROM fcm WHERE model = 'naive'"))
+def as_forecast(spark, d):
     """Plain columns get forecast roles again: key, index, mean, distribution."""
     fc, *_ = forecasts(spark, d, {"naive": "naive"})
     plain = fc.select("priority", "model", "month", "mean", (F.col("sigma") * F.col("sigma")).alias("variance"))
