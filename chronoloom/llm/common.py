@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -39,7 +40,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)).astype(np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
         part = np.cumsum(sizes) // limit
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoloom.llm import exact_dedup, mixing
+from chronoloom.llm import exact_dedup, merge_replay, minhash, mixing, phrases
 from chronoloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,41 @@ def op5_exact_dedup(spark, sf_dir):
 @query("op10_mixing")
 def op10_mixing(spark, sf_dir):
     return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+@query("op8_minhash", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(d, c) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.d, e.b FROM r JOIN e ON r.c = e.a),
+m AS (SELECT d, min(c) AS component_id FROM r GROUP BY d)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN m ON m.d = w.doc_id LEFT JOIN n USING (doc_id)""")
+def op8_minhash(spark, sf_dir):
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query("op3_repeated_phrases", r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, unnest(range(1, greatest(len(ws) - 18, 1))) AS i FROM t),
+g AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) AS h FROM p JOIN t USING (doc_id)),
+o AS (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS k FROM g),
+r AS (SELECT DISTINCT doc_id, i + unnest(range(0, 20)) AS j FROM o WHERE k > 1),
+x AS (SELECT doc_id, ws[j] AS w, j FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS j FROM t)),
+y AS (SELECT x.doc_id, string_agg(x.w, ' ' ORDER BY x.j) AS kept, count(*) AS n FROM x ANTI JOIN r ON r.doc_id = x.doc_id AND r.j = x.j GROUP BY 1)
+SELECT t.doc_id, len(ws) AS n_words, len(ws) - coalesce(y.n, 0) AS n_removed, sha256(coalesce(y.kept, '')) AS kept_sha256
+FROM t LEFT JOIN y USING (doc_id)""")
+def op3_repeated_phrases(spark, sf_dir):
+    return phrases.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
+@query("op9_merge_replay")
+def op9_merge_replay(spark, sf_dir):
+    import public_tokenizers as vocabularies
+    return merge_replay.encoded(read_table(spark, sf_dir, "documents"), vocabularies.path("byte_bpe_multi_50k.tiktoken"), vocabularies.PATTERN)
