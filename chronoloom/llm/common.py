@@ -93,3 +93,11 @@ def new_session(spark: SparkSession, **conf: str) -> SparkSession:
     for key, value in conf.items():
         own.conf.set(key.replace("__", "."), value)
     return own
+
+
+def training_labels(labels: DataFrame, column: str, bound: int) -> DataFrame:
+    """(doc_id, y) of at most about ``bound`` labelled rows that may be learned from: all, or a share chosen by hash."""
+    rows = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull() & ~held_out()).groupBy("doc_id").agg(
+        F.max(F.col(column).cast("int")).alias("y")).select(F.col("doc_id").cast("long").alias("doc_id"), "y")
+    share = min(1.0, bound / max(rows.count(), 1))
+    return rows.where(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))

@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from chronoloom.llm.common import new_session, scratch_folder, text_or_empty, written
 
 BLANKS = " \t\n\x0b\x0c\r"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; files take the space they need, as there is a small store for every partition.
+ROCKS = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def normalised(column: str = "text") -> Column:
@@ -49,7 +51,7 @@ def best() -> Column:
 
 def update_state(spark: SparkSession, prints_path: str, schema, state: str, bytes_per_batch: str | None = None) -> DataFrame:
     """Feed new fingerprint files into the state; return (digest, group_size, keep_id, keep_points, keep_place)."""
-    own = new_session(spark, spark__sql__streaming__stateStore__providerClass=ROCKS)
+    own = new_session(spark, **ROCKS)
     reader = own.readStream.schema(schema)
     if bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers as vocabularies
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronoloom.llm import exact_dedup, merge_replay, minhash, mixing, phrases
+from chronoloom.llm import exact_dedup, merge_replay, minhash, mixing, page_text, phrases, quality, token_files, topk, toxicity
 from chronoloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,5 +72,35 @@ def op3_repeated_phrases(spark, sf_dir):
 
 @query("op9_merge_replay")
 def op9_merge_replay(spark, sf_dir):
-    import public_tokenizers as vocabularies
     return merge_replay.encoded(read_table(spark, sf_dir, "documents"), vocabularies.path("byte_bpe_multi_50k.tiktoken"), vocabularies.PATTERN)
+
+
+@query("op7_topk", """
+WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""")
+def op7_topk(spark, sf_dir):
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query("op1_token_files")
+def op1_token_files(spark, sf_dir):
+    return token_files.tokenized(read_table(spark, sf_dir, "documents"), vocabularies.path("word_bpe_49k.json"))
+
+
+@query("op4_page_text")
+def op4_page_text(spark, sf_dir):
+    return page_text.extracted(read_table(spark, sf_dir, "pages"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, sf_dir):
+    return toxicity.scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op2_quality")
+def op2_quality(spark, sf_dir):
+    return quality.scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("rank")
