@@ -199,11 +199,15 @@ def replay_many(words: list[bytes], ranks: dict[bytes, int], pairs: PairTable) -
             p = p[(i - np.maximum.accumulate(start)) % 2 == 0]
             q = after[p]
         z = after[q]
+        has = z >= 0
+        again_at = p[:0]
+        if len(p) > 1:  # a lower pair with the right neighbour as it stands before that one merges, too
+            right = pairs.get(np.full(int(has.sum()), r, np.int64), token[z[has]])
+            again_at = p[has][right < r]
         token[p] = r
         after[p] = z
         alive[q] = False
         rank[q] = none
-        has = z >= 0
         before[z[has]] = p[has]
         rank[p] = none
         right = p[has]
@@ -214,11 +218,11 @@ def replay_many(words: list[bytes], ranks: dict[bytes, int], pairs: PairTable) -
             rank[new] = pairs.get(token[new], token[after[new]])
             new = new[rank[new] != none]
             if len(new):
-                low = new[rank[new] < r]
-                if len(low) and len(p) > 1:
-                    own, count = np.unique(word[p], return_counts=True)
-                    again.append(np.intersect1d(word[low], own[count > 1]))
+                again_at = np.concatenate([again_at, new[rank[new] < r]])
                 add(new)
+        if len(again_at) and len(p) > 1:
+            own, count = np.unique(word[p], return_counts=True)
+            again.append(np.intersect1d(word[again_at], own[count > 1]))
     out, sizes = token[alive], np.bincount(word[alive], minlength=len(words))
     redo = np.unique(np.concatenate(again)) if again else np.empty(0, np.int64)
     # a word that is a token is one id, whatever merges lead to

@@ -130,8 +130,8 @@ def _walk_edge(rows: DataFrame) -> DataFrame:
 
 def repeated(docs: DataFrame, **kw) -> DataFrame:
     """The mixed documents themselves, with their own columns: each as often as it was taken."""
-    taken = mix(docs, **kw).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "copies")
-    taken = taken.groupBy("_id", "_size").agg(F.max("copies").alias("copies"))
-    own = docs.withColumn("_n", n_words())
-    joined = own.join(taken, own["doc_id"].eqNullSafe(taken["_id"]) & (own["_n"] == taken["_size"]))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[own[c] for c in docs.columns])
+    taken = mix(docs, **kw).where("copies > 0").groupBy(F.col("doc_id").alias("_mix_id"), F.col("size").alias("_mix_size")).agg(
+        F.max("copies").alias("_mix_copies"))
+    own = docs.withColumn("_mix_n", n_words())
+    joined = own.join(taken, F.col("doc_id").eqNullSafe(F.col("_mix_id")) & (F.col("_mix_n") == F.col("_mix_size")))
+    return joined.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*docs.columns)

@@ -37,6 +37,8 @@ ASIDE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|respond|reply|replies|disqus|cookies?|consent|gdpr|notice|alert|disclaimer|"
     r"footer|header|masthead|menu|nav|navbar|navigation|newsletter|pager|pagination|popup|modal|promo\w*|related|recommended|share|sharing|"
     r"sidebar|side|skip|social|sponsor\w*|subscribe|signup|tags|toolbar|topbar|widget)(?:$|[\s_-])", re.I)
+#: What a main element may be named that is not the article.
+OTHERS = re.compile(r"(?:^|[\s_-])(?:ads?|comments?|reply|replies|related|recommended|promo\w*|sponsor\w*|teasers?)(?:$|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 MAIN = frozenset(("article", "main"))
 
@@ -50,7 +52,7 @@ class Node:
         self.points, self.size, self.linked = 0.0, 0, 0
 
 
-def _is_aside(tag: str, attributes: str, inside_main: bool) -> tuple[bool, bool]:
+def _is_aside(tag: str, attributes: str) -> tuple[bool, bool]:
     """Whether the element is none of the text; whether it names itself as the main part."""
     if tag in NOT_TEXT:
         return True, False
@@ -61,8 +63,8 @@ def _is_aside(tag: str, attributes: str, inside_main: bool) -> tuple[bool, bool]
     hidden = ("hidden" in own or own.get("aria-hidden", "").lower() == "true"
               or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", own.get("style", ""), re.I) is not None)
     main = tag in MAIN or role in ("main", "article") or own.get("itemprop", "").lower() == "articlebody"
-    named = any(ASIDE.search(own[k]) for k in ("class", "id") if k in own)
-    return hidden or role in ROLES or named and not main, main
+    named = any((OTHERS if main else ASIDE).search(own[k]) for k in ("class", "id") if k in own)
+    return hidden or role in ROLES or named, main
 
 
 def blocks_of(page: str) -> tuple[Node, list[tuple[Node, str]]]:
@@ -129,7 +131,7 @@ def blocks_of(page: str) -> tuple[Node, list[tuple[Node, str]]]:
                         x = x.up
                     if x is not None and x.tag in name:
                         node = x.up
-            aside, main = _is_aside(tag, match[3] or "", False)
+            aside, main = _is_aside(tag, match[3] or "")
             if not match[0].endswith("/>") or tag in ("p", "div", "a", "b", "i", "span"):
                 child = Node(tag, node, node.aside or aside, node.link or tag == "a", main)
                 node.down.append(child)
@@ -164,14 +166,8 @@ def main_text(page: str | None) -> str:
             x.size += len(text)
             x = x.up
     final = {i: n.points * (1 - min(n.linked / n.size, 1.0) if n.size else 0.0) for i, n in scored.items()}
-    best = max(scored.values(), key=lambda n: final[id(n)])
-    # an element that calls itself the article holds all of it
-    x = best
-    while x is not None:
-        if x.main:
-            best = x
-            break
-        x = x.up
+    # an element that calls itself the article is taken at its word
+    best = max([n for n in scored.values() if n.main] or scored.values(), key=lambda n: final[id(n)])
     keep = {id(best)}
     if not best.main and best.up is not None:
         for other in best.up.down:

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from chronoloom.llm.common import written
 
 BINS, QUERY_BLOCK, BLOCK = 256, 1_024, 2_048
+#: Scores stop here.
+FAR = 4 * 10**18
 PACKED = "dim int, ids array<long>, vectors binary, top double"
 #: Query blocks whose counts one task holds.
 HELD = 16
@@ -73,7 +75,7 @@ def scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     if big < 2.0**53:
         return (q.astype(np.float64) @ v.astype(np.float64).T).astype(np.int64)
     exact = q.astype(object) @ v.astype(object).T if q.shape[1] else np.zeros((len(q), len(v)), object)
-    return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
+    return np.clip(exact, -FAR, FAR).astype(np.int64)
 
 
 def _work(blocks: DataFrame, queries: DataFrame, spread: int) -> DataFrame:
@@ -148,7 +150,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     tops = blocks.groupBy("dim").agg(F.max("top").alias("top"))
     spread = max(1, -(-blocks.count() // 4))
     # scores lie within the product of the norms
-    reach = F.ceil(F.col("q_top") * F.col("top")) + 1
+    reach = F.ceil(F.least(F.col("q_top") * F.col("top") + 1, F.lit(float(FAR))))
     state = written(queries.join(tops, "dim").select(F.explode("q_ids").alias("query_id"), reach.alias("reach")).select(
         "query_id", (-F.col("reach")).alias("low"), (F.floor((2 * F.col("reach") + 1) / BINS) + 1).cast("long").alias("width"),
         (2 * F.col("reach") + 1).alias("span"), F.lit(0).cast("long").alias("above")), "state")

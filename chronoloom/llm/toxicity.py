@@ -26,7 +26,7 @@ from chronoloom.llm.common import held_out, slices, training_labels, written
 
 #: Labelled rows to learn from, terms in the lexicon: bounds of what the driver sees.
 LABELLED, TERMS = 200_000, 20_000
-SUPPORT, LEAST_ODDS, LEAST_LENGTH, WINDOW = 5, 2.0, 5, 10
+SUPPORT, LEAST_ODDS, LEAST_LENGTH, WINDOW = 3, 2.0, 5, 10
 REMEMBERED = 300_000
 EDGES = b".,;:!?\"'()[]{}<>*#%&$~^|/\\-_=+`@"
 OPENING, CLOSING = tuple(x.encode() for x in "\"“„«‹‘'`"), tuple(x.encode() for x in "\"”“»›’'`")
