@@ -9,43 +9,38 @@ from chronoloom.operators import decompose as dc
 from chronoloom.operators import stats as st
 from chronoloom.operators.blocks import cut_lineage
 from chronoloom.operators.index import fill_gaps
-from chronoloom.plans.base import orders_monthly, part_attrs, split
+from chronoloom.plans.base import orders_monthly, part_attrs
 from chronoloom.plans.catalog import query
 
 _COLS = ("priority", "order", "terms", "beta", "d", "big_d", "sigma2", "loglik", "aic", "aicc", "bic", "root")
 
 
-def _train(spark, d):
-    df, spec = orders_monthly(spark, d)
-    return split(df)[0], spec
-
-
 @query("arima")
 def arima(spark, d):
     """Fixed orders: (2,1,0) and the seasonal (0,1,1)(0,1,1)."""
-    train, spec = _train(spark, d)
-    a = ar.fit_arima(train, spec, "y", [ar.Order(2, 0, constant=False)], d=1).select(*_COLS)
-    b = ar.fit_arima(train, spec, "y", [ar.Order(0, 1, 0, 1, constant=False)], d=1, big_d=1).select(*_COLS)
+    df, spec = orders_monthly(spark, d)
+    a = ar.fit_arima(df, spec, "y", [ar.Order(2, 0, constant=False)], d=1).select(*_COLS)
+    b = ar.fit_arima(df, spec, "y", [ar.Order(0, 1, 0, 1, constant=False)], d=1, big_d=1).select(*_COLS)
     return a.unionByName(b)
 
 
-def auto(train, spec):
+def auto(df, spec):
     """Differences by the tests, orders by an exhaustive AICc search."""
-    strength = dc.nsdiffs(dc.strengths(cut_lineage(dc.stl(train, spec, "y", s_window="periodic")), spec), spec)
-    d = st.ndiffs(train, spec, "y").join(strength, spec.by).select(*spec.by, F.col("ndiffs").alias("d"), F.col("nsdiffs").alias("big_d"))
-    return ar.fit_arima(train, spec, "y", ar.grid_orders(), d=cut_lineage(d))
+    strength = dc.nsdiffs(dc.strengths(cut_lineage(dc.stl(df, spec, "y", s_window="periodic")), spec), spec)
+    d = st.ndiffs(df, spec, "y").join(strength, spec.by).select(*spec.by, F.col("ndiffs").alias("d"), F.col("nsdiffs").alias("big_d"))
+    return ar.fit_arima(df, spec, "y", ar.grid_orders(), d=cut_lineage(d))
 
 
 @query("arima_auto")
 def arima_auto(spark, d):
-    train, spec = _train(spark, d)
-    return auto(train, spec).select(*_COLS)
+    df, spec = orders_monthly(spark, d)
+    return auto(df, spec).select(*_COLS)
 
 
 @query("arima_forecast")
 def arima_forecast(spark, d):
-    train, spec = _train(spark, d)
-    fit = ar.fit_arima(train, spec, "y", ar.grid_orders(2, 1, 1, 1), d=1)
+    df, spec = orders_monthly(spark, d)
+    fit = ar.fit_arima(df, spec, "y", ar.grid_orders(2, 1, 1, 1), d=1)
     return ar.forecast_arima(fit, spec, 12).drop("t")
 
 
@@ -59,7 +54,7 @@ def var(spark, d):
 
 @query("nnetar")
 def nnetar(spark, d):
-    train, spec = _train(spark, d)
+    df, spec = orders_monthly(spark, d)
     lags = [1, 2, 12]
-    model, base, asm = ar.fit_pooled(train, spec, "y", lags)
+    model, base, asm = ar.fit_pooled(df, spec, "y", lags)
     return ar.forecast_pooled(model, base, asm, spec, lags, 6).drop("t")

@@ -136,9 +136,18 @@ def ts_residuals(spark, d):
 
 # upper chi-square tail by the power series of the incomplete gamma function
 def chi2_sql(x: str, dof: int) -> str:
-    a = dof / 2
-    return (f"(1 - least(1, coalesce(list_sum(list_transform(range(0, 201), lambda k: exp(k * ln(({x}) / 2) + {a} * ln(({x}) / 2)"
-            f" - ({x}) / 2 - lgamma(k + {a + 1})))), 0)))")
+    """Tail in closed form: a finite sum for even degrees of freedom, one plus an error function for odd ones.
+
+    The error function comes from its own series in ascending order near 0 and from the Mills ratio far out.
+    """
+    h = f"(({x}) / 2)"
+    if dof % 2 == 0:
+        return f"(CASE WHEN {h} <= 0 THEN 1 ELSE list_sum(list_transform(range(0, {dof // 2}), lambda k: exp(k * ln({h}) - {h} - lgamma(k + 1)))) END)"
+    steps = f"coalesce(list_sum(list_transform(range(1, {(dof + 1) // 2}), lambda k: exp((k - 0.5) * ln({h}) - {h} - lgamma(k + 0.5)))), 0)"
+    near = f"1 - list_sum(list_transform(range(0, 120), lambda k: exp((k + 0.5) * ln({h}) - {h} - lgamma(k + 1.5))))"
+    mills = f"list_reduce(list_prepend(0.0::DOUBLE, [k::DOUBLE FOR k IN range(80, 0, -1)]), lambda s, k: k / (sqrt({x}) + s))"
+    far = f"sqrt(2 / pi()) * exp(-{h}) / (sqrt({x}) + {mills})"
+    return f"(CASE WHEN {h} <= 0 THEN 1 WHEN {h} < 8 THEN {near} + {steps} ELSE {far} + {steps} END)"
 
 
 def _test_sql(stat, dof):

@@ -52,19 +52,19 @@ def is_aggregated(spark, d):
 
 # ---- coherent forecasts ------------------------------------------------
 
-def base_forecasts(spark, d, structure, kind="snaive", h=12):
-    """Every node as an ordinary series: split, fit, forecast."""
+def base_forecasts(spark, d, structure, kind="snaive", h=12, scored=False):
+    """Every node as an ordinary series: fit on all rows, or on those before the split if scored, then forecast."""
     nodes = hy.label_margins(_agg(spark, d, structure), structure)
     keys = tuple([*hy.structure_keys(structure), *hy.flags(structure)])
     spec = SeriesSpec(keys, "month", "month")
     # a node without orders in a month has value 0 there, on the common span
     full, spec = fill_gaps(nodes, spec, {"y": 0.0}, full=True)
-    train, test = full.where(F.col("t") < SPLIT_T), full.where(F.col("t") >= SPLIT_T)
+    train, test = (full.where(F.col("t") < SPLIT_T), full.where(F.col("t") >= SPLIT_T)) if scored else (full, None)
     fit = fit_simple(train, spec, "y", {"base": kind})
     return forecast_simple(fit, spec, h), train, test, spec
 
 
-def _base_sql(structure, h=12):
+def _base_sql(structure, h=12, scored=False):
     keys = hy.structure_keys(structure)
     ids = ", ".join([*keys, *hy.flags(structure)])
     on = " AND ".join(f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in [*keys, *hy.flags(structure)])
@@ -72,11 +72,13 @@ def _base_sql(structure, h=12):
 nk AS (SELECT DISTINCT {ids} FROM nd),
 sp AS (SELECT unnest(range(min(t), max(t) + 1)) AS t FROM tl),
 nf AS (SELECT a.*, a0.t, coalesce(b.y, 0.0) AS y FROM nk a JOIN sp a0 ON true LEFT JOIN nd b ON {on} AND a0.t = b.t),
-fb AS (SELECT {ids}, t + 12 AS t, y AS mean FROM nf WHERE t >= {SPLIT_T} - 12 AND t < {SPLIT_T} - 12 + {h})"""
+en AS (SELECT {SPLIT_T if scored else "max(t) + 1"} AS t_end FROM sp),
+fb AS (SELECT {ids}, t + 12 AS t, y AS mean FROM nf, en WHERE t >= t_end - 12 AND t < t_end - 12 + {h})"""
 
 
 _N = _base_sql(NESTED)
 _M = _base_sql(MIXED)
+_M_SCORED = _base_sql(MIXED, scored=True)
 _MON = "make_date(t // 12, t % 12 + 1, 1) AS month"
 
 
@@ -105,9 +107,9 @@ def _td(name, method, share_sql):
 
 
 _td("top_down_average_proportions", "average_proportions", f"""SELECT l.region, l.nation, sum(l.y / nullif(g.y, 0)) / count(*) AS share
-  FROM nf l JOIN nf g ON g.is_agg_region AND l.t = g.t WHERE NOT l.is_agg_nation AND l.t < {SPLIT_T} GROUP BY ALL""")
+  FROM nf l JOIN nf g ON g.is_agg_region AND l.t = g.t WHERE NOT l.is_agg_nation GROUP BY ALL""")
 _td("top_down_proportion_averages", "proportion_averages", f"""SELECT l.region, l.nation, sum(l.y) / sum(g.y) AS share
-  FROM nf l JOIN nf g ON g.is_agg_region AND l.t = g.t WHERE NOT l.is_agg_nation AND l.t < {SPLIT_T} GROUP BY ALL""")
+  FROM nf l JOIN nf g ON g.is_agg_region AND l.t = g.t WHERE NOT l.is_agg_nation GROUP BY ALL""")
 
 _SHARES = """r AS (SELECT region, t, mean, mean / nullif(sum(mean) OVER (PARTITION BY t), 0) AS share FROM fb WHERE NOT is_agg_region AND is_agg_nation),
 n AS (SELECT region, nation, t, mean / nullif(sum(mean) OVER (PARTITION BY region, t), 0) AS share FROM fb WHERE NOT is_agg_nation)"""
@@ -161,7 +163,7 @@ def reconcile(spark, d):
     return hy.null_margins(rc.reconcile(fc, {"bu": rc.bottom_up(fc, MIXED, ["t"])}), MIXED)
 
 
-@query("level_accuracy", with_ctes(TL, _M, body=f"""SELECT is_agg_region, is_agg_nation, is_agg_segment, avg(rmse) AS rmse, avg(mase) AS mase FROM (
+@query("level_accuracy", with_ctes(TL, _M_SCORED, body=f"""SELECT is_agg_region, is_agg_nation, is_agg_segment, avg(rmse) AS rmse, avg(mase) AS mase FROM (
   SELECT f.region, f.nation, f.segment, f.is_agg_region, f.is_agg_nation, f.is_agg_segment,
          sqrt(avg((a.y - f.mean) * (a.y - f.mean))) AS rmse, avg(abs(a.y - f.mean)) / nullif(any_value(s.sa), 0) AS mase
   FROM fb f JOIN nf a ON a.t = f.t AND a.region IS NOT DISTINCT FROM f.region AND a.nation IS NOT DISTINCT FROM f.nation
@@ -171,6 +173,6 @@ def reconcile(spark, d):
      AND s.segment IS NOT DISTINCT FROM f.segment
   GROUP BY 1, 2, 3, 4, 5, 6) GROUP BY 1, 2, 3"""))
 def level_accuracy(spark, d):
-    fc, train, test, spec = base_forecasts(spark, d, MIXED)
+    fc, train, test, spec = base_forecasts(spark, d, MIXED, scored=True)
     scores = accuracy(fc, test, train, spec, by=spec.by, names=("rmse", "mase"))
     return scores.groupBy(*hy.flags(MIXED)).agg(F.avg("rmse").alias("rmse"), F.avg("mase").alias("mase"))

@@ -45,14 +45,23 @@ fcm AS (SELECT *, make_date(t // 12, t % 12 + 1, 1) AS month FROM fc)"""
 FCS = FIT + ",\n" + FC
 
 
-def train_fit(spark, d, models=FOUR):
+def whole(sql: str) -> str:
+    """The same on all rows: nothing is held back where nothing is scored."""
+    return sql.replace(f" WHERE month < DATE '{LAST_DAY}')", ")")
+
+
+FIT_ALL, FCS_ALL = whole(FIT), whole(FCS)
+
+
+def train_fit(spark, d, models=FOUR, scored=True):
+    """Models fitted on the training months if forecasts are scored, else on all."""
     df, spec = orders_monthly(spark, d)
-    train, test = split(df)
+    train, test = split(df) if scored else (df, df.limit(0))
     return fit_simple(train, spec, "y", models), train, test, spec
 
 
-def forecasts(spark, d, models=FOUR, h=H):
-    fit, train, test, spec = train_fit(spark, d, models)
+def forecasts(spark, d, models=FOUR, h=H, scored=True):
+    fit, train, test, spec = train_fit(spark, d, models, scored)
     return forecast_simple(fit, spec, h), train, test, spec
 
 
@@ -64,18 +73,18 @@ def train_test_split(spark, d):
     return union_all({"train": train, "test": test}, "part").select("priority", "month", "y", "part")
 
 
-@query("model", with_ctes(FIT, body="SELECT priority, model, level, slope, sigma2, n FROM mt"))
+@query("model", with_ctes(FIT_ALL, body="SELECT priority, model, level, slope, sigma2, n FROM mt"))
 def model(spark, d):
-    fit, *_ = train_fit(spark, d)
+    fit, *_ = train_fit(spark, d, scored=False)
     return fit.select("priority", "model", "level", "slope", "sigma2", "n")
 
 
 def _single(name):
     body = f"SELECT priority, model, month, h, mean, sigma FROM fcm WHERE model = '{name}'"
 
-    @query({"mean": "mean_model"}.get(name, name), with_ctes(FCS, body=body))
+    @query({"mean": "mean_model"}.get(name, name), with_ctes(FCS_ALL, body=body))
     def run(spark, d):
-        fc, *_ = forecasts(spark, d, {name: name})
+        fc, *_ = forecasts(spark, d, {name: name}, scored=False)
         return fc.select("priority", "model", "month", "h", "mean", "sigma")
 
 
@@ -83,16 +92,16 @@ for _name in FOUR:
     _single(_name)
 
 
-@query("forecast", with_ctes(FCS, body="SELECT priority, model, month, h, mean, sigma FROM fcm"))
+@query("forecast", with_ctes(FCS_ALL, body="SELECT priority, model, month, h, mean, sigma FROM fcm"))
 def forecast(spark, d):
-    fc, *_ = forecasts(spark, d)
+    fc, *_ = forecasts(spark, d, scored=False)
     return fc.select("priority", "model", "month", "h", "mean", "sigma")
 
 
-@query("hilo", with_ctes(FCS, body="SELECT priority, model, month, mean, " + ", ".join(
+@query("hilo", with_ctes(FCS_ALL, body="SELECT priority, model, month, mean, " + ", ".join(
     f"mean - {level_z(v)!r} * sigma AS lo{v}, mean + {level_z(v)!r} * sigma AS hi{v}" for v in (80, 95, 99)) + " FROM fcm"))
 def hilo_(spark, d):
-    fc, *_ = forecasts(spark, d)
+    fc, *_ = forecasts(spark, d, scored=False)
     return hilo(fc, (80, 95, 99)).drop("t", "h", "sigma")
 
 
@@ -139,10 +148,10 @@ ag AS (SELECT priority, month, t, y, 'mean' AS model, f_mean AS fitted FROM au
   UNION ALL SELECT priority, month, t, y, 'drift', f_drift FROM au)"""
 
 
-@query("augment", with_ctes(AUG, body="SELECT priority, model, month, y, fitted, y - fitted AS resid FROM ag"))
+@query("augment", with_ctes(whole(AUG), body="SELECT priority, model, month, y, fitted, y - fitted AS resid FROM ag"))
 def augment(spark, d):
     df, spec = orders_monthly(spark, d)
-    return augment_simple(split(df)[0], spec, "y", FOUR).drop("t")
+    return augment_simple(df, spec, "y", FOUR).drop("t")
 
 
 @query("training_accuracy", with_ctes(AUG, body="""SELECT priority, model, avg(y - fitted) AS me,
@@ -212,26 +221,26 @@ def cross_validate_(spark, d):
     return summarise_errors(cross_validate(df, spec, "y", init=10, step=1, h=4), ["model", "h"])
 
 
-@query("combination", with_ctes(FCS, body="SELECT priority, month, h, avg(mean) AS mean, 'combination' AS model FROM fcm WHERE model <> 'mean' GROUP BY ALL"))
+@query("combination", with_ctes(FCS_ALL, body="SELECT priority, month, h, avg(mean) AS mean, 'combination' AS model FROM fcm WHERE model <> 'mean' GROUP BY ALL"))
 def combination_(spark, d):
-    fc, *_ = forecasts(spark, d, {"naive": "naive", "snaive": "snaive", "drift": "drift"})
+    fc, *_ = forecasts(spark, d, {"naive": "naive", "snaive": "snaive", "drift": "drift"}, scored=False)
     return combination(fc, ["priority", "month", "h"])
 
 
 @query("back_transform", with_ctes(
-    OM, f"tr AS (SELECT priority, t, ln(y + 1) AS y FROM om WHERE month < DATE '{LAST_DAY}')", fit_ctes(), FC,
+    OM, "tr AS (SELECT priority, t, ln(y + 1) AS y FROM om)", fit_ctes(), FC,
     body=f"""SELECT priority, month, h, exp(mean) * (1 + sigma * sigma / 2) AS mean, exp(mean) AS median,
   exp(mean - {level_z(80)!r} * sigma) AS lo80, exp(mean + {level_z(80)!r} * sigma) AS hi80 FROM fcm WHERE model = 'drift'"""))
 def back_transform_(spark, d):
     df, spec = orders_monthly(spark, d)
-    train = split(df)[0].withColumn("y", transforms.log.forward(F.col("y") + 1))
+    train = df.withColumn("y", transforms.log.forward(F.col("y") + 1))
     fc = forecast_simple(fit_simple(train, spec, "y", {"drift": "drift"}), spec, H)
     return back_transform(fc, transforms.log, (80,)).select("priority", "month", "h", "mean", "median", "lo80", "hi80")
 
 
-@query("rw", with_ctes(FCS, body="SELECT priority, 'rw' AS model, month, h, mean, sigma FROM fcm WHERE model = 'naive'"))
+@query("rw", with_ctes(FCS_ALL, body="SELECT priority, 'rw' AS model, month, h, mean, sigma FROM fcm WHERE model = 'naive'"))
 def rw(spark, d):
-    fc, *_ = forecasts(spark, d, {"rw": "naive"})
+    fc, *_ = forecasts(spark, d, {"rw": "naive"}, scored=False)
     return fc.select("priority", "model", "month", "h", "mean", "sigma")
 
 

@@ -13,7 +13,7 @@ from chronoloom.operators.blocks import cut_lineage
 from chronoloom.operators.forecast import sample_distribution, sum_distributions
 from chronoloom.plans.base import orders_monthly, split, with_ctes
 from chronoloom.plans.catalog import query
-from chronoloom.plans.simple import FCS, FIT, forecasts
+from chronoloom.plans.simple import FCS_ALL, FIT, forecasts, whole
 
 TIMES, H, SEED = 100, 12, 7
 
@@ -27,15 +27,18 @@ sim AS (SELECT ce.priority, ce.model, rep, h, make_date((t_last + h) // 12, (t_l
   FROM ce JOIN (SELECT priority, any_value(n) AS n FROM pl GROUP BY 1) z ON z.priority = ce.priority JOIN pl ON pl.priority = ce.priority AND pl.pos = ce.hv % z.n)"""
 
 
-def _paths(spark, d, models=("naive", "drift")):
+_SIM_ALL = whole(_SIM)
+
+
+def _paths(spark, d, models=("naive", "drift"), scored=False):
     df, spec = orders_monthly(spark, d)
-    train, test = split(df)
+    train, test = split(df) if scored else (df, None)
     named = {m: m for m in models}
     pool = si.residual_pool(augment_simple(train, spec, "y", {"naive": "naive"}), spec)
     return si.simulate_walk(fit_simple(train, spec, "y", named), spec, TIMES, H, SEED, pool), test, spec
 
 
-@query("simulate", with_ctes(_SIM, body="SELECT priority, model, rep, month, h, sim FROM sim WHERE model = 'naive'"))
+@query("simulate", with_ctes(_SIM_ALL, body="SELECT priority, model, rep, month, h, sim FROM sim WHERE model = 'naive'"))
 def simulate(spark, d):
     return _paths(spark, d, ("naive",))[0].drop("t")
 
@@ -43,23 +46,23 @@ def simulate(spark, d):
 _DIST = "avg(sim) AS mean, quantile_cont(sim, 0.1) AS lo80, quantile_cont(sim, 0.9) AS hi80, quantile_cont(sim, 0.025) AS lo95, quantile_cont(sim, 0.975) AS hi95"
 
 
-@query("bootstrap_forecast", with_ctes(_SIM, body=f"SELECT priority, month, {_DIST} FROM sim WHERE model = 'naive' GROUP BY ALL"))
+@query("bootstrap_forecast", with_ctes(_SIM_ALL, body=f"SELECT priority, month, {_DIST} FROM sim WHERE model = 'naive' GROUP BY ALL"))
 def bootstrap_forecast(spark, d):
     return sample_distribution(_paths(spark, d, ("naive",))[0], ["priority", "month"])
 
 
-@query("sample_dist", with_ctes(_SIM, body=f"SELECT priority, model, month, {_DIST} FROM sim GROUP BY ALL"))
+@query("sample_dist", with_ctes(_SIM_ALL, body=f"SELECT priority, model, month, {_DIST} FROM sim GROUP BY ALL"))
 def sample_dist(spark, d):
     return sample_distribution(_paths(spark, d)[0], ["priority", "model", "month"])
 
 
-@query("aggregate_interval", with_ctes(_SIM, body=f"SELECT priority, model, {_DIST} FROM (SELECT priority, model, rep, sum(sim) AS sim FROM sim GROUP BY ALL) GROUP BY ALL"))
+@query("aggregate_interval", with_ctes(_SIM_ALL, body=f"SELECT priority, model, {_DIST} FROM (SELECT priority, model, rep, sum(sim) AS sim FROM sim GROUP BY ALL) GROUP BY ALL"))
 def aggregate_interval(spark, d):
     total = _paths(spark, d)[0].groupBy("priority", "model", "rep").agg(F.sum("sim").alias("sim"))
     return sample_distribution(total, ["priority", "model"])
 
 
-@query("combine_samples", with_ctes(_SIM, body=f"SELECT priority, month, {_DIST} FROM (SELECT priority, month, rep, avg(sim) AS sim FROM sim GROUP BY ALL) GROUP BY ALL"))
+@query("combine_samples", with_ctes(_SIM_ALL, body=f"SELECT priority, month, {_DIST} FROM (SELECT priority, month, rep, avg(sim) AS sim FROM sim GROUP BY ALL) GROUP BY ALL"))
 def combine_samples(spark, d):
     both = _paths(spark, d)[0].groupBy("priority", "month", "rep").agg(F.avg("sim").alias("sim"))
     return sample_distribution(both, ["priority", "month"])
@@ -69,21 +72,21 @@ def combine_samples(spark, d):
     body="""SELECT model, avg(crps) AS crps FROM (SELECT priority, model, t, avg(abs(sim - y)) - (2 * sum(sim * i) - (count(*) + 1) * sum(sim)) / (count(*) * count(*)) AS crps
   FROM v GROUP BY ALL) GROUP BY model"""))
 def crps_samples(spark, d):
-    paths, test, spec = _paths(spark, d)
+    paths, test, spec = _paths(spark, d, scored=True)
     rows = paths.join(test.select("priority", "t", "y"), ["priority", "t"])
     return crps_sample(rows, ["priority", "model", "t"], "y").groupBy("model").agg(F.avg("crps").alias("crps"))
 
 
-@query("sum_distributions", with_ctes(FCS, body="SELECT model, month, sum(mean) AS mean, sqrt(sum(sigma * sigma)) AS sigma FROM fcm GROUP BY ALL"))
+@query("sum_distributions", with_ctes(FCS_ALL, body="SELECT model, month, sum(mean) AS mean, sqrt(sum(sigma * sigma)) AS sigma FROM fcm GROUP BY ALL"))
 def sum_distributions_(spark, d):
-    fc, *_ = forecasts(spark, d)
+    fc, *_ = forecasts(spark, d, scored=False)
     return sum_distributions(fc, ["model", "month"])
 
 
-@query("as_forecast", with_ctes(FCS, body="SELECT priority, model, month, mean, sigma * sigma AS variance FROM fcm WHERE model = 'naive'"))
+@query("as_forecast", with_ctes(FCS_ALL, body="SELECT priority, model, month, mean, sigma * sigma AS variance FROM fcm WHERE model = 'naive'"))
 def as_forecast(spark, d):
     """Plain columns get forecast roles again: key, index, mean, distribution."""
-    fc, *_ = forecasts(spark, d, {"naive": "naive"})
+    fc, *_ = forecasts(spark, d, {"naive": "naive"}, scored=False)
     plain = fc.select("priority", "model", "month", "mean", (F.col("sigma") * F.col("sigma")).alias("variance"))
     dist = plain.withColumn("dist", F.struct(F.lit("normal").alias("family"), F.col("mean").alias("mu"), F.sqrt("variance").alias("sigma")))
     return dist.select("priority", "model", "month", F.col("dist.mu").alias("mean"), F.pow("dist.sigma", F.lit(2.0)).alias("variance"))
@@ -92,14 +95,13 @@ def as_forecast(spark, d):
 @query("simulate_ets")
 def simulate_ets(spark, d):
     df, spec = orders_monthly(spark, d)
-    fit = sm.ets_auto(split(df)[0], spec, "y")
+    fit = sm.ets_auto(df, spec, "y")
     return si.simulate_ets(fit, spec, TIMES, H, SEED).drop("t")
 
 
 def _boot(spark, d, times):
     df, spec = orders_monthly(spark, d)
-    train, _ = split(df)
-    dcmp = cut_lineage(dc.stl(train, spec, "y", s_window="periodic"))
+    dcmp = cut_lineage(dc.stl(df, spec, "y", s_window="periodic"))
     return si.block_bootstrap(dcmp, spec, times, SEED), spec.with_(keys=("priority", "rep"))
 
 

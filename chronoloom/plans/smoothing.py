@@ -61,10 +61,9 @@ _FIT = ("priority", "model", "params", "sigma2", "k", "aic", "aicc", "bic")
 def holt_winters(spark, d):
     """Additive, multiplicative and damped seasonal forms side by side."""
     df, spec = orders_monthly(spark, d)
-    train, _ = split(df)
     out = None
     for s in (sm.Ets("A", "A", "A"), sm.Ets("M", "A", "M"), sm.Ets("M", "Ad", "M"), sm.Ets("M", "N", "A")):
-        part = sm.fit_ets(train, spec, "y", [s]).select(*_FIT)
+        part = sm.fit_ets(df, spec, "y", [s]).select(*_FIT)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -72,13 +71,13 @@ def holt_winters(spark, d):
 @query("ets_auto")
 def ets_auto(spark, d):
     df, spec = orders_monthly(spark, d)
-    return sm.ets_auto(split(df)[0], spec, "y").select(*_FIT)
+    return sm.ets_auto(df, spec, "y").select(*_FIT)
 
 
 @query("ets_forecast")
 def ets_forecast(spark, d):
     df, spec = orders_monthly(spark, d)
-    return sm.forecast_ets(sm.ets_auto(split(df)[0], spec, "y"), spec, 12).drop("t")
+    return sm.forecast_ets(sm.ets_auto(df, spec, "y"), spec, 12).drop("t")
 
 
 @query("croston", "WITH RECURSIVE " + UD + """,
