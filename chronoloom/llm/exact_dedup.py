@@ -22,9 +22,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from chronoloom.llm.common import new_session, scratch_folder, text_or_empty, written
 
 BLANKS = " \t\n\x0b\x0c\r"
-#: State on disk; files take the space they need, as there is a small store for every partition.
+#: State on disk.  There is a store for every partition, so each takes little memory and only the disk it needs, and
+#: is closed once its batch is committed.
 ROCKS = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
+         "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+         "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+         "spark.sql.streaming.stateStore.rocksdb.blockCacheSizeMB": "4"}
 
 
 def normalised(column: str = "text") -> Column:
@@ -36,11 +42,11 @@ def sha(norm: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 digest: Callable[[Column], Column] = sha) -> DataFrame:
-    """Digest, id, code points and place of every document."""
+                 digest: Callable[[Column], Column] = sha, place: Column | None = None) -> DataFrame:
+    """Digest, id, code points and place (such as ``input_file_name()``) of every document."""
     norm = normalised(text_col)
     return docs.select(F.col(id_col).cast("long").alias("id"), digest(norm).alias("digest"), sha(norm).alias("sha"),
-                       F.length(text_or_empty(text_col)).cast("long").alias("points"), F.input_file_name().alias("place"))
+                       F.length(text_or_empty(text_col)).cast("long").alias("points"), (F.lit("") if place is None else place).alias("place"))
 
 
 def best() -> Column:
@@ -66,7 +72,7 @@ def update_state(spark: SparkSession, prints_path: str, schema, state: str, byte
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha,
-          state: str | None = None) -> DataFrame:
+          state: str | None = None, place: Column | None = None) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical without blanks; null counts as empty.  The
@@ -77,7 +83,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", diges
     """
     spark = docs.sparkSession
     prints_path = scratch_folder(spark, "prints")
-    plain = fingerprints(docs, id_col, text_col, digest)
+    plain = fingerprints(docs, id_col, text_col, digest, place)
     plain.write.parquet(prints_path)
     prints = spark.read.schema(plain.schema).parquet(prints_path)
     if prints.isEmpty():

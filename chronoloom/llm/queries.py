@@ -30,7 +30,7 @@ k AS (SELECT *, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION
       FROM n WINDOW w AS (PARTITION BY text_sha256 ORDER BY pts DESC, doc_id))
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k""")
 def op5_exact_dedup(spark, sf_dir):
-    return exact_dedup.dedup(read_table(spark, sf_dir, "documents"))
+    return exact_dedup.dedup(read_table(spark, sf_dir, "documents"), place=F.input_file_name())
 
 
 @query("op10_mixing")
