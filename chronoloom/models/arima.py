@@ -97,11 +97,10 @@ def fit_arima(df: DataFrame, spec: SeriesSpec, y: str, candidates: list[Order],
         names = (["constant"] if c.constant else []) + [f"ar{k}" for k in range(1, c.p + 1)] + ([f"ar{m}"] if c.P else []) + \
                 [f"ma{k}" for k in range(1, c.q + 1)] + ([f"ma{m}"] if c.Q else [])
         names = list(dict.fromkeys(names))
-        if not names:
-            continue
         cells.append(F.struct(
             F.lit(f"({c.p},{c.q})({c.P},{c.Q})" + ("+c" if c.constant else "")).alias("order"), F.lit(c.constant).alias("constant"),
-            F.array(*[F.lit(n) for n in names]).alias("terms"), F.array(*[F.lit(cols.index(n)) for n in names]).alias("keep")))
+            F.array(*[F.lit(n) for n in names]).cast("array<string>").alias("terms"),
+            F.array(*[F.lit(cols.index(n)) for n in names]).cast("array<int>").alias("keep")))
     cand = grams.join(kinds, spec.by).withColumn("_c", F.explode(F.array(*cells)))
     cand = cand.where(~F.col("_c.constant") | (F.col("d") + F.col("big_d") <= 1))
     cand = cand.select(*spec.by, "p", "k", "n", "g", "d", "big_d", "t_last", "_c.order", "_c.terms", "_c.keep")
@@ -212,15 +211,24 @@ def fit_var(df: DataFrame, spec: SeriesSpec, ys: list[str], max_lag: int = 5, ic
 # ---- pooled non-linear autoregression ------------------------------------
 
 def fit_pooled(df: DataFrame, spec: SeriesSpec, y: str, lags: list[int], trees: int = 20, depth: int = 4, seed: int = 11):
-    """One tree ensemble on the lags of all series (scaled by their means)."""
+    """One tree ensemble on the lags of all series (scaled by their means, or mean sizes where the mean is 0).
+
+    Series shorter than the longest lag do not teach but are forecast: values
+    before their start count as their mean.
+    """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
-    scale = df.groupBy(*spec.by).agg(F.avg(y).alias("_scale")).where("_scale <> 0")
-    base = df.select(*spec.by, spec.t, y).join(scale, spec.by).withColumn("_z", F.col(y) / F.col("_scale"))
+    scale = df.groupBy(*spec.by).agg(F.avg(y).alias("_m"), F.avg(F.abs(y)).alias("_s")).select(
+        *spec.by, F.when(F.col("_m") != 0, F.col("_m")).when(F.col("_s") > 0, F.col("_s")).otherwise(F.lit(1.0)).alias("_scale"), F.col("_m"))
+    base = df.select(*spec.by, spec.t, y).join(scale, spec.by).withColumns({
+        "_z": F.col(y) / F.col("_scale"), "_fill": F.coalesce(F.col("_m") / F.col("_scale"), F.lit(0.0))})
     rows = lag_columns(base, spec, {f"_l{k}": ("_z", k) for k in lags})
     names = [f"_l{k}" for k in lags]
-    asm = VectorAssembler(inputCols=names, outputCol="_x", handleInvalid="skip")
-    train = asm.transform(rows.where(F.col(names[-1]).isNotNull()))
+    asm = VectorAssembler(inputCols=names, outputCol="_x")
+    known = F.col("_z").isNotNull()
+    for n in names:
+        known = known & F.col(n).isNotNull()
+    train = asm.transform(rows.where(known))
     model = RandomForestRegressor(featuresCol="_x", labelCol="_z", numTrees=trees, maxDepth=depth, seed=seed, predictionCol="_p").fit(train)
     return model, base, asm
 
@@ -230,12 +238,13 @@ def forecast_pooled(model, base: DataFrame, asm, spec: SeriesSpec, lags: list[in
     top = max(lags)
     last = base.groupBy(*spec.by).agg(F.max(spec.t).alias("_last"))
     tail = base.join(last, spec.by).where(F.col(spec.t) > F.col("_last") - top)
-    cur = tail.groupBy(*spec.by, "_last", "_scale").agg(F.reverse(F.array_sort(F.collect_list(F.struct(spec.t, "_z"))))["_z"].alias("_a"))
+    cur = tail.groupBy(*spec.by, "_last", "_scale", "_fill").agg(
+        F.reverse(F.array_sort(F.collect_list(F.struct(spec.t, F.coalesce("_z", "_fill").alias("_z")))))["_z"].alias("_a"))
     cur = cut_lineage(cur)
     for _ in range(h):
-        row = cur.withColumns({f"_l{k}": F.col("_a")[k - 1] for k in lags})
+        row = cur.withColumns({f"_l{k}": F.coalesce(F.get("_a", F.lit(k - 1)), "_fill") for k in lags})
         pred = model.transform(asm.transform(row))
-        cur = pred.select(*spec.by, "_last", "_scale", F.concat(F.array("_p"), F.col("_a")).alias("_a"))
+        cur = pred.select(*spec.by, "_last", "_scale", "_fill", F.concat(F.array("_p"), F.col("_a")).alias("_a"))
     steps = cur.select(*spec.by, "_last", "_scale", F.posexplode(F.reverse(F.slice("_a", 1, h))).alias("_i", "_z"))
     t = (F.col("_last") + F.col("_i") + 1).cast("long")
     return steps.select(*spec.by, F.lit("pooled_trees").alias("model"), spec.index_expr(t).alias(spec.index), t.alias(spec.t), (F.col("_i") + 1).alias("h"),

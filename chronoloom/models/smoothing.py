@@ -33,9 +33,9 @@ class Ets:
         return f"ETS({self.error},{self.trend},{self.season})"
 
 
-# Search ranges of alpha, beta*, gamma* and phi.
-RANGES = {"alpha": (0.05, 0.95), "beta": (0.02, 0.5), "gamma": (0.02, 0.5), "phi": (0.80, 0.98)}
-POINTS, ROUNDS, SHRINK = 5, 4, 3.0
+# Search ranges of alpha, beta*, gamma* (beta = beta* alpha, gamma = gamma* (1 - alpha)) and phi.
+RANGES = {"alpha": (0.0001, 0.9999), "beta": (0.0001, 0.9999), "gamma": (0.0001, 0.9999), "phi": (0.80, 0.98)}
+POINTS, ROUNDS, SHRINK = 5, 6, 2.5
 WIDTH = 20_000  # candidate rows advanced together
 
 
@@ -171,10 +171,7 @@ def _fitter(specs: list[Ets], m: int):
             lengths.setdefault(len(y), []).append(i)
         for n, members in lengths.items():
             for s in specs:
-                if n < 3 or (s.season != "N" and (m < 2 or n < 2 * m)):
-                    continue
-                positive = s.season == "M" or s.error == "M"
-                use = [i for i in members if not positive or data[i].min() > 0]
+                use = [i for i in members if _allowed(s, m, n, data[i].min(initial=np.inf))]
                 width = max(1, WIDTH // max(1, POINTS ** len(free_parameters(s))))
                 for lo in range(0, len(use), width):
                     part = use[lo:lo + width]
@@ -191,7 +188,9 @@ def fit_ets(df: DataFrame, spec: SeriesSpec, y: str, specs: list[Ets], m: int |
 
     A series that fits one block is searched inside one Arrow row.  Longer
     ones carry all candidates' states from block to block, so the search still
-    sees every period while no task holds more than a block.
+    sees every period while no task holds more than a block.  Both ways start
+    from the same first periods, apply the same conditions and take the same
+    steps, so where blocks are cut does not change a result.
     """
     require_gapless(spec, "exponential smoothing")
     m = m or max(1, int(round(spec.m)))
@@ -207,8 +206,14 @@ def fit_ets(df: DataFrame, spec: SeriesSpec, y: str, specs: list[Ets], m: int |
                             F.element_at("pts", 1)[spec.t].alias("t_first"), _fitter(specs, m)(F.col("pts")["_y"]).alias("_f"))
     else:
         fit = ends
+        keys = ends.select(*spec.by, "n", F.col("t_first").alias("_t0"))
+        rows = df.select(*spec.by, spec.t, F.col(y).cast("double").alias("_y")).join(keys, spec.by)
+        heads = rows.where(F.col(spec.t) < F.col("_t0") + max(10, 5 * m)).groupBy(*spec.by).agg(
+            F.array_sort(F.collect_list(F.struct(spec.t, "_y"))).alias("_h"))
+        lows = rows.groupBy(*spec.by).agg(F.min("_y").alias("_low"))
+        begin = cut_lineage(heads.join(lows, spec.by).join(keys.drop("_t0"), spec.by).select(*spec.by, "n", "_low", F.col("_h._y").alias("_head")))
         for i, s in enumerate(specs):
-            fit = fit.join(_search_blocks(arrays, spec, s, m, first, last, ends).withColumnRenamed("_f", f"_f{i}"), spec.by)
+            fit = fit.join(_search_blocks(arrays, spec, s, m, first, last, begin).withColumnRenamed("_f", f"_f{i}"), spec.by)
         fit = fit.withColumn("_f", F.flatten(F.array(*[F.col(f"_f{i}") for i in range(len(specs))])))
     best = F.array_min(F.transform("_f", lambda x: F.struct(x["aicc"].alias("a"), x.alias("x"))))["x"]
     out = fit.withColumn("_b", best).where("_b IS NOT NULL").select(*spec.by, "n", "t_first", "t_last", "_b.*")
@@ -226,7 +231,14 @@ def _as_centre(a) -> dict[str, float]:
     return {"alpha": a[0], "beta": a[1] / a[0] if a[0] else 0.0, "gamma": a[2] / (1 - a[0]) if a[0] < 1 else 0.0, "phi": a[3]}
 
 
-def _search_blocks(arrays: DataFrame, spec: SeriesSpec, s: Ets, m: int, first: int, last: int, ends: DataFrame) -> DataFrame:
+def _allowed(s: Ets, m: int, n: int, low: float) -> bool:
+    """Whether a series of ``n`` periods with smallest value ``low`` can have this form."""
+    if n < 3 or (s.season != "N" and (m < 2 or n < 2 * m)):
+        return False
+    return low > 0 or not (s.season == "M" or s.error == "M")
+
+
+def _search_blocks(arrays: DataFrame, spec: SeriesSpec, s: Ets, m: int, first: int, last: int, heads: DataFrame) -> DataFrame:
     """The same search for series of several blocks: one pass per block and
     round; the candidates' states are the only thing carried."""
     def begin(ys: pd.Series) -> pd.Series:
@@ -242,19 +254,19 @@ def _search_blocks(arrays: DataFrame, spec: SeriesSpec, s: Ets, m: int, first: i
             rows.append(run(np.asarray(v, float), cand, st, s, m).ravel())
         return pd.Series(rows)
 
-    def choose(best: pd.Series, rnd: pd.Series, flat: pd.Series, n: pd.Series, start: pd.Series) -> pd.Series:
+    def choose(best: pd.Series, rnd: pd.Series, flat: pd.Series, n: pd.Series, start: pd.Series, low: pd.Series) -> pd.Series:
         rows = []
-        for p, r, f, ni, st0 in zip(best, rnd, flat, n, start):
+        for p, r, f, ni, st0, lo in zip(best, rnd, flat, n, start, low):
             cand = _candidates(s, None if p is None or len(p) == 0 else _as_centre(p), int(r))
             st = np.asarray(f, float).reshape(len(cand), -1)
             crit = criterion(st, int(ni), s)
             i = int(np.argmin(crit))
-            rows.append([_row(s, float(crit[i]), cand[i], st[i], np.asarray(st0), int(ni), m)])
+            good = np.isfinite(crit[i]) and _allowed(s, m, int(ni), lo)
+            rows.append([_row(s, float(crit[i]), cand[i], st[i], np.asarray(st0), int(ni), m)] if good else [])
         return pd.Series(rows)
 
-    firsts = arrays.groupBy(*spec.by).agg(F.min_by("pts", "blk").alias("pts"))
-    state = cut_lineage(firsts.select(*spec.by, pandas_udf(begin, "array<double>")(F.col("pts")["_y"]).alias("_st")).join(
-        ends.select(*spec.by, "n"), spec.by).withColumn("_p", F.lit(None).cast("array<double>")))
+    state = cut_lineage(heads.select(*spec.by, "n", "_low", pandas_udf(begin, "array<double>")("_head").alias("_st"))
+                        .withColumn("_p", F.lit(None).cast("array<double>")))
     step, pick = pandas_udf(advance, "array<double>"), pandas_udf(choose, _OUT)
     for r in range(ROUNDS if free_parameters(s) else 1):
         cur = state.withColumn("_c", F.col("_st"))
@@ -262,8 +274,8 @@ def _search_blocks(arrays: DataFrame, spec: SeriesSpec, s: Ets, m: int, first: i
             joined = cur.join(arrays.where(F.col("blk") == b).select(*spec.by, F.col("pts._y").alias("_v")), spec.by, "left")
             moved = step(F.coalesce("_v", F.array().cast("array<double>")), "_p", F.lit(r), "_c")
             cur = cut_lineage(joined.withColumn("_c", moved).drop("_v"))
-        state = cur.withColumn("_f", pick("_p", F.lit(r), "_c", "n", "_st"))
-        state = cut_lineage(state.withColumn("_p", F.col("_f")[0]["params"]).drop("_c"))
+        state = cur.withColumn("_f", pick("_p", F.lit(r), "_c", "n", "_st", "_low"))
+        state = cut_lineage(state.withColumn("_p", F.get("_f", F.lit(0))["params"]).drop("_c"))
         result = state
         state = state.drop("_f")
     return result.select(*spec.by, "_f")
@@ -277,12 +289,50 @@ def _row(s: Ets, crit: float, p, state, start, n: int, m: int) -> dict:
                 sigma2=float(state[2]) / max(n - (k - 1), 1), aic=aic, aicc=aicc, bic=crit + k * np.log(n), m=len(start) - 4)
 
 
-def forecast_ets(fit: DataFrame, spec: SeriesSpec, h: int) -> DataFrame:
-    """Point forecasts and, for additive errors, closed-form sigmas.
+PATHS = 2_000  # simulated paths behind the sigma of a form without a closed formula
 
-    ``shape`` in the model name decides season form; all from stored states.
-    """
-    out = fit.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(h))))
+
+def _path_sigma(h: int):
+    """Standard deviation of simulated paths at steps 1..h, from stored states."""
+    def sigma(model: pd.Series, params: pd.Series, state: pd.Series, s2: pd.Series) -> pd.Series:
+        rows = []
+        for name, p, st, v in zip(model, params, state, s2):
+            if not name.startswith("ETS("):
+                rows.append(None)
+                continue
+            error, _, season = name[4:-1].split(",")
+            if error == "A" and season != "M" or v is None or not np.isfinite(v):
+                rows.append(None)
+                continue
+            alpha, beta, gamma, phi = p
+            lvl, b = np.full(PATHS, st[0]), np.full(PATHS, st[1])
+            sea = np.tile(np.asarray(st[4:], float), (PATHS, 1))
+            noise = np.random.default_rng(7).standard_normal((h, PATHS)) * np.sqrt(v)
+            out = []
+            with np.errstate(all="ignore"):
+                for i in range(h):
+                    j = i % sea.shape[1]
+                    base, sj = lvl + phi * b, sea[:, j].copy()
+                    mu = base * sj if season == "M" else base + sj
+                    e = mu * noise[i] if error == "M" else noise[i]
+                    out.append(float(np.std(mu + e)))
+                    el, es = (e / sj, e / base) if season == "M" else (e, e)
+                    lvl, b = base + alpha * el, phi * b + beta * el
+                    if season != "N":
+                        sea[:, j] = sj + gamma * es
+            rows.append(out)
+        return pd.Series(rows)
+    return pandas_udf(sigma, "array<double>")
+
+
+def forecast_ets(fit: DataFrame, spec: SeriesSpec, h: int) -> DataFrame:
+    """Point forecasts and sigmas from stored states: closed form for additive
+    errors and seasons, simulated paths for the other forms."""
+    name = F.coalesce(F.col("spec_name"), F.col("model")) if "spec_name" in fit.columns else F.col("model")
+    plain = F.startswith(name, F.lit("ETS(A")) & ~F.endswith(name, F.lit(",M)"))
+    drawn = _path_sigma(h)(name, "params", "state", "sigma2") if "model" in fit.columns else F.lit(None)
+    out = fit.withColumn("_drawn", F.when(~plain & F.startswith(name, F.lit("ETS(")), drawn))
+    out = out.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(h))))
     phi = F.col("params")[3]
     damp = F.when(phi == 1.0, F.col("h").cast("double")).otherwise(phi * (1.0 - F.pow(phi, F.col("h"))) / (1.0 - phi))
     base = F.col("state")[0] + damp * F.col("state")[1]
@@ -295,7 +345,7 @@ def forecast_ets(fit: DataFrame, spec: SeriesSpec, h: int) -> DataFrame:
         params[0] + params[1] * if(params[3] = 1, j, params[3] * (1 - pow(params[3], j)) / (1 - params[3]))
         + if(m > 1 AND j % m = 0, params[2], 0.0D), 2)))""")
     t = (F.col("t_last") + F.col("h")).cast("long")
-    sigma = F.when(F.startswith(kind, F.lit("ETS(A")) & ~mult, F.sqrt(var))
+    sigma = F.when(F.startswith(kind, F.lit("ETS(A")) & ~mult, F.sqrt(var)).otherwise(F.get("_drawn", F.col("h") - 1))
     return out.select(*spec.by, "model", spec.index_expr(t).alias(spec.index), t.alias(spec.t), "h", mean.alias("mean"), sigma.alias("sigma"))
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
 JVM_COLUMNS = 14     # up to here the sums are plain SQL aggregates
-HELD_KEYS = 64       # keys a Python task holds before it emits their sums
 
 
 def gram(df: DataFrame, by: list[str], xs: list[str], y: str | list[str]) -> DataFrame:
@@ -42,31 +41,24 @@ def gram_arrays(df: DataFrame, by: list[str], x: str, p: int, k: int) -> DataFra
     keyed = df.select(key.alias("_key"), x)
 
     def partial(batches):
-        held: dict[str, list] = {}
-
-        def emit():
-            return pd.DataFrame({"_key": list(held), "n": [v[0] for v in held.values()],
-                                 "g": [v[1].ravel() for v in held.values()]})
-
+        name, n, g = None, 0, None
         for pdf in batches:
-            for name, part in pdf.groupby("_key", sort=False)[x]:
+            for key_, part in pdf.groupby("_key", sort=False)[x]:
                 m = np.stack(part.to_numpy())
-                if name in held:
-                    held[name][0] += len(m)
-                    held[name][1] += m.T @ m
-                else:
-                    held[name] = [len(m), m.T @ m]
-            if len(held) > HELD_KEYS:
-                yield emit()
-                held.clear()
-        if held:
-            yield emit()
-
-    parts = keyed.mapInPandas(partial, "_key string, n long, g array<double>")
-    cells = parts.select("_key", "n", F.posexplode("g").alias("_i", "_v"))
-    summed = cells.groupBy("_key", "_i").agg(F.sum("_v").alias("_v"), F.sum("n").alias("n"))
-    out = summed.groupBy("_key").agg(F.first("n").alias("n"),
-                                     F.array_sort(F.collect_list(F.struct("_i", "_v")))["_v"].alias("g"))
+                if key_ != name:
+                    if name is not None:
+                        yield pd.DataFrame({"_key": [name], "n": [n], "g": [g.ravel()]})
+                    name, n, g = key_, 0, np.zeros((q, q))
+                n += len(m)
+                g += m.T @ m
+        if name is not None:
+            yield pd.DataFrame({"_key": [name], "n": [n], "g": [g.ravel()]})
+
+    # rows of a key stand together, so a task sends one array for each of its keys, however many there are
+    parts = keyed.sortWithinPartitions("_key").mapInPandas(partial, "_key string, n long, g array<double>")
+    none = F.array_repeat(F.lit(0.0), q * q)
+    out = parts.groupBy("_key").agg(F.sum("n").alias("n"), F.collect_list("g").alias("_g")).select(
+        "_key", "n", F.aggregate("_g", none, lambda s, v: F.zip_with(s, v, lambda a, b: a + b)).alias("g"))
     if by:
         types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)
         out = out.withColumn("_k", F.from_json("_key", types))
@@ -85,7 +77,7 @@ def _solve(p: pd.Series, n: pd.Series, g: pd.Series, keep: pd.Series) -> pd.Data
     for pi, ni, gi, ki in zip(p, n, g, keep):
         q = int(round(len(gi) ** 0.5))
         full = np.asarray(gi, float).reshape(q, q)
-        idx = np.asarray(ki, int) if ki is not None and len(ki) else np.arange(pi)
+        idx = np.arange(pi) if ki is None else np.asarray(ki, int)
         xtx, xty, yty = full[np.ix_(idx, idx)], full[idx, pi], full[pi, pi]
         m = len(idx)
         inv = np.linalg.pinv(xtx, hermitian=True)
