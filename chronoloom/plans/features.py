@@ -12,6 +12,7 @@ from chronoloom.operators.reshape import pivot_wider
 from chronoloom.plans.base import (
     OM, PA, SD, TL, UD, orders_monthly, part_attrs, ship_daily, trade_leaves, user_daily, with_ctes)
 from chronoloom.plans.catalog import query
+from chronoloom.plans.linear_sql import ols_ctes
 from chronoloom.plans.relational import SEGMENTS
 
 
@@ -320,7 +321,12 @@ def intermittency(spark, d):
     return ft.intermittency(df, spec, "y")
 
 
-@query("stat_arch_lm")
+_ARCH = ", ".join(f"lag(q, {k}) OVER w AS q{k}" for k in range(1, 13))
+
+
+@query("stat_arch_lm", with_ctes(OM, f"""cq AS (SELECT priority, t, pow(y - avg(y) OVER (PARTITION BY priority), 2) AS q FROM om),
+lq AS (SELECT priority, t, q, {_ARCH} FROM cq WINDOW w AS (PARTITION BY priority ORDER BY t))""", ols_ctes("ols", "lq", "priority", [f"q{k}" for k in range(1, 13)], "q"),
+    body="SELECT priority, 1 - sse / sst AS stat_arch_lm FROM ols").replace("WITH ", "WITH RECURSIVE ", 1))
 def stat_arch_lm(spark, d):
     df, spec = orders_monthly(spark, d)
     return st.arch_lm(df, spec, "y")
@@ -340,7 +346,11 @@ def coef_hurst(spark, d):
     return ft.hurst(df, spec, "y")
 
 
-@query("white_noise")
+def _draw(kind):
+    return f"((('0x' || substr(md5('30|{kind}|' || priority || '|' || t), 1, 8))::BIGINT + 0.5) / 4294967296.0)"
+
+
+@query("white_noise", with_ctes(OM, body=f"SELECT priority, month, sqrt(-2 * ln({_draw('u')})) * cos(2 * pi() * {_draw('v')}) AS wn FROM om"))
 def white_noise(spark, d):
     df, _ = orders_monthly(spark, d)
     return df.select("priority", "month", normal(30, F.col("priority"), F.col("t")).alias("wn"))

@@ -10,12 +10,36 @@ from chronoloom.operators.forecast import back_transform
 from chronoloom.operators.index import fill_gaps, index_by, new_data, scenarios
 from chronoloom.plans.base import OM, PA, cents, events_hourly, orders_monthly, part_attrs, with_ctes
 from chronoloom.plans.catalog import query
+from chronoloom.plans.linear_sql import ols_ctes, tidy_sql
 from chronoloom.series import to_series
 from chronoloom.sources.tables import read_table
 
 _TREND = OM + ",\nti AS (SELECT *, CAST(t - min(t) OVER (PARTITION BY priority) + 1 AS DOUBLE) AS i FROM om)"
 
 
+# terms and their SQL, in the order of the design
+_TREND_X = {"trend": "i"}
+_KNOTS_X = {f"knot{k}": f"greatest(i - {k}, 0)" for k in (20, 50)}
+_SEASON_X = {f"season{j + 1}": f"CAST(t % 12 = {j} AS INTEGER)" for j in range(1, 12)}
+
+
+def _fourier_x(k):
+    out = {}
+    for j in range(1, k + 1):
+        out[f"C{j}_12"] = f"cos(2 * pi() * {j} * i / 12)"
+        if j != 6:
+            out[f"S{j}_12"] = f"sin(2 * pi() * {j} * i / 12)"
+    return out
+
+
+def recursive(*ctes, body):
+    return with_ctes(*ctes, body=body).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _tidy_query(xs):
+    return recursive(_TREND, ols_ctes("ols", "ti", "priority", list(xs.values()), "y"), body=tidy_sql("ols", "priority", list(xs)))
+
+
 def _monthly(spark, d):
     df, spec = orders_monthly(spark, d)
     return rg.with_trend(df, spec), spec
@@ -63,19 +87,19 @@ def knots(spark, d):
     return df.select("priority", "month", "trend", *[c.alias(n) for n, c in rg.knots([20, 50]).items()])
 
 
-@query("tslm_piecewise")
+@query("tslm_piecewise", _tidy_query({**_TREND_X, **_KNOTS_X}))
 def tslm_piecewise(spark, d):
     df, spec = _monthly(spark, d)
     return rg.tidy(rg.tslm(df, spec, "y", {**_trend(), **rg.knots([20, 50])}), spec.by)
 
 
-@query("tslm_fourier")
+@query("tslm_fourier", _tidy_query({**_TREND_X, **_fourier_x(6)}))
 def tslm_fourier(spark, d):
     df, spec = _monthly(spark, d)
     return rg.tidy(rg.tslm(df, spec, "y", {**_trend(), **rg.fourier_terms(6, 12)}), spec.by)
 
 
-@query("report")
+@query("report", _tidy_query({**_TREND_X, **_SEASON_X}))
 def report(spark, d):
     df, spec = _monthly(spark, d)
     return rg.tidy(rg.tslm(df, spec, "y", {**_trend(), **rg.season_dummies(spec)}), spec.by)
@@ -100,7 +124,17 @@ def glance(spark, d):
     return out.select("priority", "adj_r2", "sigma2", "cv", "aic", "aicc", "bic")
 
 
-@query("select_model")
+_CHOICES = {"trend": _TREND_X, "trend_season": {**_TREND_X, **_SEASON_X}, "harmonic": {**_TREND_X, **_fourier_x(2)}}
+
+
+def _aicc_sql(name, xs):
+    k = len(xs) + 2
+    return f"SELECT priority, '{name}' AS model, n * ln(sse / n) + 2 * {k} + 2.0 * {k} * {k + 1} / (n - {k} - 1) AS aicc FROM ols_{name}"
+
+
+@query("select_model", recursive(_TREND, *[ols_ctes(f"ols_{n}", "ti", "priority", list(xs.values()), "y") for n, xs in _CHOICES.items()],
+                                 "al AS (" + " UNION ALL ".join(_aicc_sql(n, xs) for n, xs in _CHOICES.items()) + ")",
+                                 body="SELECT priority, min_by(model, aicc) AS model, min(aicc) AS aicc FROM al GROUP BY priority"))
 def select_model(spark, d):
     """Lowest AICc of three specifications for every series."""
     df, spec = _monthly(spark, d)
@@ -135,7 +169,11 @@ def reg_transform(spark, d):
     return back_transform(rg.forecast_tslm(future, spec, _trend(), fit), tr.log).select("priority", "month", "mean", "median")
 
 
-@query("scenario_forecast")
+@query("scenario_forecast", recursive(PA, ols_ctes("ols", "pa", "brand", ["qty", "discount"], "price"),
+    """me AS (SELECT brand, avg(qty) AS mq, avg(discount) AS md, max(t) AS tl FROM pa GROUP BY brand),
+fu AS (SELECT brand, scenario, tl + h AS t, [1.0::DOUBLE, mq * f, md] AS x FROM me, (SELECT unnest(range(1, 5)) AS h), (VALUES ('Increase', 1.1::DOUBLE), ('Decrease', 0.9::DOUBLE)) v(scenario, f))""",
+    body="""SELECT brand, scenario, 'tslm' AS model, make_date(t // 4, t % 4 * 3 + 1, 1) AS quarter, list_dot_product(x, beta) AS mean,
+  sqrt(sse / (n - 3) * (1 + list_sum([x[i] * list_dot_product(inv[i], x) FOR i IN [1, 2, 3]]))) AS sigma FROM fu JOIN ols USING (brand)"""))
 def scenario_forecast(spark, d):
     df, spec = part_attrs(spark, d)
     terms = {"qty": F.col("qty"), "discount": F.col("discount")}
@@ -147,7 +185,9 @@ def scenario_forecast(spark, d):
     return rg.forecast_tslm(cases, spec, terms, fit, extra=["scenario"]).drop("t")
 
 
-@query("lagged_predictors")
+@query("lagged_predictors", recursive(PA, """pf AS (SELECT brand, unnest(range(min(t), max(t) + 1)) AS t FROM pa GROUP BY brand),
+pl AS (SELECT brand, t, qty, price, lag(qty) OVER w AS qty1, lag(qty, 2) OVER w AS qty2 FROM pf LEFT JOIN pa USING (brand, t) WINDOW w AS (PARTITION BY brand ORDER BY t))""",
+    ols_ctes("ols", "pl", "brand", ["qty", "qty1", "qty2"], "price"), body=tidy_sql("ols", "brand", ["qty", "qty1", "qty2"])))
 def lagged_predictors(spark, d):
     from chronoloom.operators.blocks import lag_columns
     df, spec = part_attrs(spark, d)
