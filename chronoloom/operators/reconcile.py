@@ -13,9 +13,10 @@ from pyspark.sql.functions import pandas_udf
 
 from chronoloom.operators.blocks import cut_lineage
 from chronoloom.operators.hierarchy import (
-    Structure, aggregate_key, ancestors, at_level, flags, node_id, structure_keys)
+    Structure, aggregate_key, ancestors, at_level, flags, label_margins, node_id, structure_keys)
 
 DENSE_NODES = 1500  # largest node count whose dense matrices go through the driver
+PROBES = 200  # random errors behind the sigmas of larger hierarchies
 
 
 def bottom_up(fc: DataFrame, structure: Structure, by: list[str]) -> DataFrame:
@@ -156,7 +157,10 @@ def min_trace(fc: DataFrame, structure: Structure, by: list[str], method: str =
     if len(nodes) > DENSE_NODES:
         if method != "ols":
             raise ValueError("mint_shrink needs a dense covariance; use ols for this many nodes")
-        return min_trace_cg(fc, structure, by)
+        out = min_trace_cg(fc.drop("sigma"), structure, by).withColumn("_node", node_id(structure))
+        if "sigma" in fc.columns:
+            out = out.join(_probed_sigma(fc, structure, by), [*by, "_node"])
+        return label_margins(out.drop("_node"), structure)
     s = summing_matrix(nodes, structure)
     n = len(nodes)
     if method == "ols":
@@ -193,7 +197,8 @@ def min_trace_cg(fc: DataFrame, structure: Structure, by: list[str], steps: int
     """OLS reconciliation without matrices: solve S'S b = S'y for the leaves.
 
     S b is the roll-up of leaf values and S'v the sum of each leaf's ancestors,
-    so both are grouped sums; one system per value of ``by``.
+    so both are grouped sums; one system per value of ``by``.  ``tol`` is
+    relative to the largest right-hand side.
     """
     keys, fl = structure_keys(structure), flags(structure)
 
@@ -216,6 +221,7 @@ def min_trace_cg(fc: DataFrame, structure: Structure, by: list[str], steps: int
     leaf_keys = cut_lineage(at_level(fc, structure, keys).select(*keys, *by))
     r = down(fc.select(*keys, *fl, *by, F.col("mean").alias("_r")), "_r")
     state = cut_lineage(r.select(*keys, *by, F.lit(0.0).alias("_b"), "_r", F.col("_r").alias("_p")))
+    begin = state.groupBy(*by).agg(F.sum(F.col("_r") * F.col("_r")).alias("_rr")).agg(F.max("_rr")).first()[0] or 0.0
     for _ in range(steps):
         ap = down(up(state.select(*keys, *by, "_p"), "_p"), "_p").withColumnRenamed("_p", "_ap")
         joined = state.join(ap, [*keys, *by])
@@ -227,13 +233,27 @@ def min_trace_cg(fc: DataFrame, structure: Structure, by: list[str], steps: int
         worst = new.agg(F.max("_new")).first()[0]
         state = moved.join(new, by).select(
             *keys, *by, "_b", "_r", (F.col("_r") + F.coalesce(F.col("_new") / F.nullif("_rr", F.lit(0.0)), F.lit(0.0)) * F.col("_p")).alias("_p"))
-        if worst is None or worst < tol ** 2:
+        if worst is None or worst <= tol ** 2 * begin:
             break
     else:
         raise RuntimeError(f"no convergence in {steps} steps; residual {worst ** 0.5:.3g}")
     return up(state.select(*keys, *by, F.col("_b").alias("mean")), "mean")
 
 
+def _probed_sigma(fc: DataFrame, structure: Structure, by: list[str], probes: int = 0) -> DataFrame:
+    """Sigma of every reconciled node: independent base errors, drawn by hash, go through the same reconciliation.
+
+    With R probes a sigma is off by about 1 / sqrt(2 R) of itself.
+    """
+    from chronoloom.functions.draws import normal
+    keys, fl = structure_keys(structure), flags(structure)
+    drawn = fc.withColumn("_probe", F.explode(F.sequence(F.lit(1), F.lit(probes or PROBES))))
+    error = normal(11, F.col("_probe"), node_id(structure), *[F.col(c) for c in by])
+    drawn = drawn.select(*keys, *fl, *by, "_probe", (F.coalesce("sigma", F.lit(0.0)) * error).alias("mean"))
+    out = min_trace_cg(drawn, structure, [*by, "_probe"], tol=1e-6)
+    return out.groupBy(*by, node_id(structure).alias("_node")).agg(F.sqrt(F.avg(F.col("mean") * F.col("mean"))).alias("sigma"))
+
+
 def reconcile(fc: DataFrame, methods: dict[str, DataFrame], by_model: str = "model") -> DataFrame:
     """Base forecasts with the reconciled ones beside them as extra models."""
     out = fc
