@@ -121,8 +121,14 @@ def _by_bytes(hits: DataFrame) -> DataFrame:
 
 def unique_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with their own columns; of rows with the same id and text one stays."""
-    kept = dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    kept = kept.distinct()
-    own = docs.withColumn("_sha", sha(normalised(text_col)))
-    mine = own.join(kept, own[id_col].eqNullSafe(kept["_id"]) & (own["_sha"] == kept["_sha"]), "left_semi").drop("_sha")
-    return mine
+    kept = written(dedup(docs, id_col, text_col).where("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+                   .agg(F.count(F.lit(1)).alias("_rows")), "kept")
+    own = docs.withColumn("_own_sha", sha(normalised(text_col)))
+
+    def those(rows: DataFrame) -> DataFrame:
+        return own.join(rows, own[id_col].eqNullSafe(rows["_id"]) & (own["_own_sha"] == rows["_sha"]), "left_semi")
+
+    if kept.where("_rows > 1").isEmpty():
+        return those(kept).drop("_own_sha")
+    again = those(kept.where("_rows > 1")).dropDuplicates([id_col, "_own_sha"])
+    return those(kept.where("_rows = 1")).unionByName(again).drop("_own_sha")

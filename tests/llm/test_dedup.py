@@ -53,6 +53,7 @@ def test_exact_edges(docs):
     assert exact_dedup.dedup(docs([])).count() == 0
     repeated = docs([(1, "a", "s"), (1, "a", "s"), (None, "b", "s"), (None, "c", "s"), (2, "b", "s")])
     assert exact_dedup.dedup(repeated).count() == 5
+    assert sorted(str(r.doc_id) for r in exact_dedup.unique_rows(repeated).collect()) == ["1", "None", "None"]
     out = exact_dedup.unique_rows(docs(["a b", "ab", "c"]))
     assert sorted(r.doc_id for r in out.collect()) == [0, 2] and out.columns == docs(["x"]).columns
 
