@@ -137,10 +137,28 @@ def _residuals(train, spec):
     return augment_simple(train, spec, "y", {"base": "snaive"})
 
 
-@query("min_trace_ols")
+# Least squares over all nodes: (S'S) b = S'y, S'S counting the levels that two leaves share; list elimination
+_OLS = """dr AS (SELECT region, nation, segment, is_agg_region, is_agg_nation, is_agg_segment, max_by(y, t) AS last_y,
+  (max_by(y, t) - min_by(y, t)) / (count(*) - 1) AS slope, max(t) AS tl FROM nf GROUP BY ALL),
+fd AS (SELECT region, nation, segment, h, tl + h AS t, last_y + h * slope AS mean FROM dr, (SELECT unnest(range(1, 13)) AS h)),
+lv AS (SELECT region, nation, segment, row_number() OVER (ORDER BY region, nation, segment) AS i FROM dr
+  WHERE NOT is_agg_region AND NOT is_agg_nation AND NOT is_agg_segment),
+rh AS (SELECT i, list(v ORDER BY h) AS r FROM (SELECT i, h, sum(mean) AS v FROM lv JOIN fd ON (fd.region IS NULL OR fd.region = lv.region)
+    AND (fd.nation IS NULL OR fd.nation = lv.nation) AND (fd.segment IS NULL OR fd.segment = lv.segment) GROUP BY ALL) GROUP BY i),
+ss AS (SELECT a.i, list((1 + CAST(a.region = b.region AS INTEGER) + CAST(a.region = b.region AND a.nation = b.nation AS INTEGER) + CAST(a.segment = b.segment AS INTEGER)
+    + CAST(a.region = b.region AND a.segment = b.segment AS INTEGER) + CAST(a.i = b.i AS INTEGER))::DOUBLE ORDER BY b.i) AS r FROM lv a, lv b GROUP BY a.i),
+gj AS (SELECT 0 AS k, list(list_concat(ss.r, rh.r) ORDER BY i) AS m FROM ss JOIN rh USING (i)
+  UNION ALL SELECT k + 1, [CASE WHEN i = k + 1 THEN [v / m[k + 1][k + 1] FOR v IN m[k + 1]]
+    ELSE [m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1] FOR j IN range(1, len(m[1]) + 1)] END FOR i IN range(1, len(m) + 1)]
+  FROM gj WHERE k < len(m)),
+lf AS (SELECT region, nation, segment, t, m[i][len(m) + h] AS mean FROM gj, lv, (SELECT DISTINCT h, t FROM fd) WHERE k = len(m))"""
+
+
+@query("min_trace_ols", with_ctes(TL, _M, _OLS, body="SELECT 'base' AS model, * REPLACE (round(mean, 9) + 0.0 AS mean) FROM (" + _leaf_rollup(MIXED, "SELECT * FROM lf") + ")").replace("WITH ", "WITH RECURSIVE ", 1))
 def min_trace_ols(spark, d):
     fc, *_ = base_forecasts(spark, d, MIXED, "drift")
-    return _coherent(fc.drop("sigma"), MIXED, ["model", "t"], "ols")
+    # zeros come out as rounding noise
+    return _coherent(fc.drop("sigma"), MIXED, ["model", "t"], "ols").withColumn("mean", F.round("mean", 9) + 0.0)
 
 
 @query("min_trace_shrink")
