@@ -9,9 +9,12 @@ coordinates were independent.  32 bands of 4 coordinates miss a pair at 0.75
 with probability 5e-6, at 0.8 with 4e-8.
 
 No group is paired with itself: equal sets are one representative, and the
-members of a bucket are first compared with its smallest member only.  Where a
-bucket then still holds several components, the members outside the component of
-the smallest one are compared with the other components.  Every link is
+members of a bucket are first compared with its smallest member only.  Buckets
+that then still hold several components are compared with a random member each,
+round after round while that finds links: in a large group of near copies nearly
+all become one component, each round in as many pairs as members.  What is then
+left in such buckets is joined exactly on rare shingles (prefix and position
+filters), which finds every remaining link between their documents.  Every link is
 confirmed on the full sets of 64-bit shingle hashes.
 """
 
@@ -28,6 +31,8 @@ from chronoloom.llm.common import WordHashes, mix64, slices, written
 from chronoloom.llm.components import components
 
 BANDS, ROWS = 32, 4
+#: Rounds of random members as centres, at most; what they leave is joined exactly.
+TURNS = 6
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -132,6 +137,47 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .where(100 * F.col("shared") >= 75 * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b"))
 
 
+def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
+    return written(rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), "pairs")
+
+
+def _mixed(members: DataFrame, part: DataFrame) -> DataFrame:
+    """Members of the buckets in which more than one component is left."""
+    named = written(members.select("band", "d", "n").join(part, "d", "left").select("band", "d", "n", F.coalesce("component", "d").alias("comp")), "named")
+    open_ = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("band")
+    return written(named.join(written(open_, "open"), "band", "left_semi"), "mixed")
+
+
+def _by_rare_shingles(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every pair of documents from different components that can reach the similarity.
+
+    Shingles are ordered by the number of documents that have them.  If two sets
+    share k shingles, the first shared one stands at or before place n - k of
+    either; a link needs 7 k >= 3 (n_a + n_b).  So only the rarest quarter of a
+    set is joined, on equal shingles, and a document whose own shingles fill
+    that quarter has no partner at all.  Per shingle, the documents outside the
+    largest component meet those of the others.
+    """
+    docs = written(mixed.select("d", "n", "comp").distinct(), "open-docs")
+    tokens = docs.select("d").join(sets.select(F.col("doc_id").alias("d"), "shingles"), "d").select("d", F.explode("shingles").alias("token"))
+    shared = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
+    own = tokens.join(shared, "token").groupBy("d").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own"))
+    lone = F.col("n") - F.size("own")
+    quarter = F.col("n") - F.ceil(F.col("n") * 3 / 4) + 1
+    rare = docs.join(own, "d").withColumn("lone", lone).withColumn("first", F.slice("own", F.lit(1), F.greatest(F.lit(0), quarter - lone).cast("int")))
+    rare = written(rare.select("d", "n", "comp", "lone", F.posexplode("first").alias("i", "s"))
+                   .select("d", "n", "comp", F.col("s.token").alias("token"), (F.col("lone") + F.col("i")).alias("at")), "rare")
+    sizes = rare.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("size"))
+    home = sizes.groupBy("token").agg(F.max(F.struct("size", "comp")).alias("h"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    home = written(home.select("token", F.col("h.comp").alias("home")), "home")
+    outside = written(rare.join(home, "token").where("comp <> home"), "outside")
+    other = rare.select("token", F.col("d").alias("e"), F.col("n").alias("n_e"), F.col("comp").alias("comp_e"), F.col("at").alias("at_e"))
+    rest = outside.join(other, "token").where(
+        (F.col("comp") != F.col("comp_e")) & _close("n", "n_e") & ((F.col("comp_e") == F.col("home")) | (F.col("d") < F.col("e")))
+        & (7 * F.least(F.col("n") - F.col("at"), F.col("n_e") - F.col("at_e")) >= 3 * (F.col("n") + F.col("n_e"))))
+    return _pairs(rest, "d", "e")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -154,19 +200,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = written(confirm(stars, sets), "confirmed")
     part = components(links).select(F.col("node").alias("d"), "component")
 
-    # buckets that still hold more than one component: members outside the first one's against the others
-    named = members.join(part, "d", "left").withColumn("comp", F.coalesce("component", "d")).select("band", "d", "n", "c", "comp")
-    home = named.where("d = c").select("band", F.col("comp").alias("home"))
-    named = named.join(home, "band")
-    outside = named.where("comp <> home")
-    open_ = outside.select("band").distinct()
-    mixed = written(named.join(open_, "band", "left_semi"), "mixed")
-    other = mixed.select("band", F.col("d").alias("e"), F.col("n").alias("n_e"), F.col("comp").alias("comp_e"), F.col("home").alias("home_e"))
-    rest = mixed.where("comp <> home").join(other, "band").where(
-        (F.col("comp") != F.col("comp_e")) & (F.col("e") != F.col("c")) & _close("n", "n_e")
-        & ((F.col("comp_e") == F.col("home_e")) | (F.col("d") < F.col("e"))))
-    rest = written(rest.select(F.least("d", "e").alias("a"), F.greatest("d", "e").alias("b")).distinct(), "rest")
-    more = written(confirm(rest, sets), "more")
+    # buckets that still hold several components: compared with a random member each, as long as that finds links
+    mixed = members.select("band", "d", "n")
+    for turn in range(TURNS):
+        mixed = _mixed(mixed, part)
+        draw = F.struct(F.xxhash64(F.lit(turn), "band", "d"), "d", "n", "comp")
+        centres = mixed.groupBy("band").agg(F.min(draw).alias("c")).select("band", F.col("c.d").alias("c"), F.col("c.n").alias("n_c"), F.col("c.comp").alias("comp_c"))
+        pairs = mixed.join(written(centres, "centres"), "band").where((F.col("comp") != F.col("comp_c")) & _close("n", "n_c"))
+        more = written(confirm(_pairs(pairs, "d", "c"), sets), "more")
+        if more.isEmpty():
+            break
+        links = written(links.unionByName(more), "links")
+        part = components(links).select(F.col("node").alias("d"), "component")
+    more = written(confirm(_by_rare_shingles(_mixed(mixed, part), sets), sets), "more")
     if not more.isEmpty():
         part = components(links.unionByName(more)).select(F.col("node").alias("d"), "component")
 
