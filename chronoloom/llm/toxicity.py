@@ -27,7 +27,7 @@ from chronoloom.llm.common import held_out, slices, training_labels, written
 #: Labelled rows to learn from, terms in the lexicon: bounds of what the driver sees.
 LABELLED, TERMS = 200_000, 20_000
 SUPPORT, LEAST_ODDS, LEAST_LENGTH, WINDOW = 3, 2.0, 5, 10
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 EDGES = b".,;:!?\"'()[]{}<>*#%&$~^|/\\-_=+`@"
 OPENING, CLOSING = tuple(x.encode() for x in "\"“„«‹‘'`"), tuple(x.encode() for x in "\"”“»›’'`")
 FEATURES = ["f_plain", "f_misspelt", "f_quoted", "f_dense"]
@@ -48,6 +48,8 @@ class Lexicon:
         self.terms = {t: i for i, t in enumerate(terms)}
         self.forward: dict = {}
         self.backward: dict = {}
+        self.heads: set[str] = set()  # what the intact first or second half of a misspelt term can be
+        self.tails: set[str] = set()
         for t, i in self.terms.items():
             letters = t.decode()
             if len(letters) >= LEAST_LENGTH:
@@ -55,6 +57,9 @@ class Lexicon:
                     for c in way:
                         root = root.setdefault(c, {})
                     root[self.END] = i
+                for n in range(len(letters) + 1):
+                    self.heads.add(letters[:n])
+                    self.tails.add(letters[n:])
 
     def misspelt(self, word: bytes) -> int | None:
         """A term one edit away (the smallest number), or None."""
@@ -62,6 +67,8 @@ class Lexicon:
         if len(w) < LEAST_LENGTH - 1:
             return None
         half = len(w) // 2
+        if w[:half] not in self.heads and w[half:] not in self.tails:
+            return None
         found = [*self._spend(self.forward, w, half), *self._spend(self.backward, w[::-1], len(w) - half)]
         return min(found, default=None)
 
@@ -165,19 +172,26 @@ def _quoted(words: list[bytes], at: int) -> bool:
 
 def features(docs: DataFrame, terms: list[bytes], weights: list[float], edited: list[float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, known = Lexicon(terms), {}
+        lexicon = Lexicon(terms)
 
         class Hits(dict):
+            """Two generations of words: those that keep coming up are not looked up anew."""
+
+            before: dict = {}
+
             def __missing__(self, word: bytes):
                 if len(self) > REMEMBERED:
+                    self.before = dict(self)
                     self.clear()
-                form = bare(word)
-                t = lexicon.terms.get(form)
-                if t is not None:
-                    hit = (t, weights[t], False)
-                else:
-                    t = lexicon.misspelt(form)
-                    hit = (t, edited[t], True) if t is not None and edited[t] > 0 else None
+                hit = self.before.get(word, self)
+                if hit is self:
+                    form = bare(word)
+                    t = lexicon.terms.get(form)
+                    if t is not None:
+                        hit = (t, weights[t], False)
+                    else:
+                        t = lexicon.misspelt(form)
+                        hit = (t, edited[t], True) if t is not None and edited[t] > 0 else None
                 self[word] = hit
                 return hit
 
