@@ -11,8 +11,11 @@ token of the whole collection the file starts.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +25,7 @@ from chronoloom.llm.common import scratch_folder, slices
 from chronoloom.llm.merge_replay import gather
 
 ROW_GROUP, PAGE, PAGE_ROWS = 32 << 20, 256 << 10, 512
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 FILE = "doc_id long, n_tokens long, place long, ids array<int>"
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
@@ -34,42 +37,96 @@ class _Chunks(dict):
 
 
 class ChunkEncoder:
-    """Ids of texts for a tokenizer whose words never contain ASCII white space.
+    """Ids of texts for a tokenizer that lower-cases and whose words hold no white space.
 
-    Each distinct run of other characters is encoded once by the tokenizers
-    library, a bounded number of runs is remembered, and documents are put
-    together from them.
+    Each distinct run of other characters is encoded once, a bounded number of
+    runs is remembered, and documents are put together from them.  ASCII letters
+    are lowered first and punctuation after a letter is encoded apart, as the
+    tokenizer itself would do both; texts that could hold a special token are
+    left as they are.
     """
 
+    MARKS = b".,;:!?*#%&$|)"
+    #: Words of Latin letters: one word for the tokenizer, in composed form, lowered letter by letter.
+    LATIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+    #: Runs that one call encodes.
+    CALL = 4_096
+
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        bytes_ = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: bytes_.pre_tokenize_str(chr(c))[0][0] for c in range(0xc0, 0x100)}
         self.forget()
 
     def forget(self) -> None:
-        self.chunks, self.flat, self.ends = _Chunks(), np.empty(0, np.uint32), np.empty(0, np.int64)
+        self.chunks, self.flat, self.ends, self.seen = _Chunks(), np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def forget_rare(self) -> None:
+        """Keep the half of the runs that came up most."""
+        keep = np.sort(np.argsort(-self.seen, kind="stable")[:REMEMBERED // 2])
+        names = list(self.chunks)
+        self.chunks = _Chunks((names[i], n) for n, i in enumerate(keep.tolist()))
+        self.flat, self.ends, self.seen = gather(self.flat, self.ends, keep), np.cumsum(np.diff(self.ends, prepend=0)[keep]), self.seen[keep]
+
+    def _ids(self, words: list[bytes]) -> list[list[int]]:
+        """Latin words go to the tokenizer's model, as its own first steps would hand them on; others through all steps."""
+        ids: list[list[int]] = [[]] * len(words)
+        model, latin, rest = self.tokenizer.model.tokenize, self.LATIN.fullmatch, []
+        for i, w in enumerate(words):
+            text = w.decode("utf-8", "surrogatepass")
+            if latin(text):
+                ids[i] = [t.id for t in model(text.lower().translate(self.letters))]
+            else:
+                rest.append((i, text))
+        for a in range(0, len(rest), self.CALL):
+            part = rest[a:a + self.CALL]
+            for (i, _), e in zip(part, self.tokenizer.encode_batch_fast([t for _, t in part], add_special_tokens=False)):
+                ids[i] = e.ids
+        return ids
+
+    def _fresh(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of new chunks: heads and the marks behind them are encoded apart."""
+        words, pairs = _Chunks(), []
+        for c in chunks:
+            head = c.rstrip(self.MARKS)
+            if len(head) < len(c) and head and head[-1:].isalnum() and b"<|" not in c:
+                pairs.append((words[head], words[c[len(head):]]))
+            else:
+                pairs.append((words[c], -1))
+        ids = self._ids(list(words))
+        size = np.append(np.fromiter(map(len, ids), np.int64, len(ids)), 0)
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        both = np.array(pairs, np.int64).reshape(-1, 2)
+        index = both.ravel()
+        return gather(flat, np.cumsum(size[:-1]), index[index >= 0]), size[both].sum(axis=1)
 
     def encode(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the end of each text; ``end`` is appended to each text."""
-        if len(self.chunks) > REMEMBERED or end is not None and not self.chunks:
-            self.forget()
-            if end is not None:  # white space stands for the end of a text: no chunk contains it
-                self.chunks[b"\n"] = 0
-                self.flat, self.ends = np.array([end], np.uint32), np.array([1])
+        if len(self.chunks) > REMEMBERED:
+            self.forget_rare()
+        if end is not None and not self.chunks:  # white space stands for the end of a text: no chunk contains it
+            self.chunks[b"\n"] = 0
+            self.flat, self.ends, self.seen = np.array([end], np.uint32), np.array([1]), np.array([2**40])
         old = len(self.chunks)
         number = self.chunks.__getitem__
-        close = [] if end is None else [b"\n"]
-        docs = [t.encode("utf-8", "surrogatepass").split() + close for t in texts]
-        index = np.fromiter((number(c) for d in docs for c in d), np.int64, sum(map(len, docs)))
+        index = []
+        for t in texts:
+            raw = t.encode("utf-8", "surrogatepass")
+            words = (raw if b"<|" in raw else raw.lower()).split()
+            if end is not None:
+                words.append(b"\n")
+            index.append(np.fromiter(map(number, words), np.int64, len(words)))
         if len(self.chunks) > old:
-            fresh = [c.decode("utf-8", "surrogatepass") for c in list(self.chunks)[old:]]
-            own = [e.ids for i in range(0, len(fresh), 4096) for e in self.tokenizer.encode_batch_fast(fresh[i:i + 4096], add_special_tokens=False)]
+            flat, size = self._fresh(list(self.chunks)[old:])
             base = self.ends[-1] if old else 0
-            self.flat = np.concatenate([self.flat, np.fromiter((t for ids in own for t in ids), np.uint32)])
-            self.ends = np.concatenate([self.ends, base + np.cumsum(np.fromiter(map(len, own), np.int64, len(own)))])
-        size = np.diff(self.ends, prepend=0)[index]
-        to = np.append(0, np.cumsum(size))
-        return gather(self.flat, self.ends, index), to[np.cumsum([len(d) for d in docs])]
+            self.flat = np.concatenate([self.flat, flat])
+            self.ends = np.concatenate([self.ends, base + np.cumsum(size)])
+        every = np.concatenate(index) if index else np.empty(0, np.int64)
+        self.seen = np.append(self.seen, np.zeros(len(self.chunks) - len(self.seen), np.int64)) + np.bincount(every, minlength=len(self.chunks))
+        to = np.append(0, np.cumsum(np.diff(self.ends, prepend=0)[every]))
+        return gather(self.flat, self.ends, every), to[np.cumsum([len(d) for d in index])]
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end: int | None = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,7 +135,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end: int | None = 1,
         if tokenizer_path not in _ENCODERS:
             _ENCODERS[tokenizer_path] = ChunkEncoder(tokenizer_path)
         enc, place = _ENCODERS[tokenizer_path], 0
-        for part in slices(parts, "text"):
+        for part in slices(parts, "text", 2 << 20):
             ids, ends = enc.encode([t or "" for t in part.column("text").to_pylist()], end)
             sizes = np.diff(ends, prepend=0)
             yield pa.RecordBatch.from_arrays(

@@ -61,6 +61,19 @@ def test_chunks_are_forgotten(bpe, monkeypatch):
         assert enc.encode([t])[0].tolist() == bpe[1].encode_ordinary(t)
 
 
+def test_rare_runs_are_forgotten(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 40)
+    name = vocabularies.path("word_bpe_49k.json")
+    enc, library = token_files.ChunkEncoder(name), Tokenizer.from_file(name)
+    for end in (None, 1):
+        enc.forget()
+        for i in range(0, 300, 7):
+            texts = [t or "" for t in fuzz()[i:i + 7]] + ["The end. the END, it's Éléments ÇÀ ÿß Øre, naïve. été"]
+            ids, ends = enc.encode(texts, end)
+            tail = [] if end is None else [end]
+            assert [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)] == [library.encode(t, add_special_tokens=False).ids + tail for t in texts]
+
+
 def test_token_files(spark, docs):
     from chronoloom.llm.common import scratch_folder
     texts = fuzz()
