@@ -8,12 +8,16 @@ document, so reruns agree.
 
 The order is cut into buckets by its (uniformly distributed) rank value: sums
 per bucket locate the bucket in which a source reaches its target; only the
-rows of that bucket, a bounded number, are walked in order.  A hot source costs
-partial sums, never a sort of its rows in one task.
+rows of that bucket, a bounded number, are walked in order.  What is too long
+there is left out and the gap goes on to the buckets behind, round by round,
+until no open document fits.  A hot source costs partial sums, never a sort of
+its rows in one task.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chronoloom.llm.common import WORD, text_or_empty, written
@@ -76,27 +80,74 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3
     spread = odds / (1 + odds)
     df = df.withColumn("bucket", F.floor(spread * F.greatest(F.lit(1), F.floor(F.col("n_docs") / bucket))))
     open_ = df.where((F.col("part") > 0) & (F.col("size") > 0))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = open_.groupBy("source", "bucket", "target", "source_size", "whole").agg(F.sum("size").alias("words"))
-    cuts = cuts.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    cuts = cuts.withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size") - F.col("before"))
-    # the first bucket that does not fit as a whole
-    edges = cuts.where(F.col("words") > F.col("missing")).groupBy("source").agg(
-        F.min(F.struct("bucket", "missing")).alias("edge")).select("source", F.col("edge.bucket").alias("edge"), "edge.missing")
-    edges = written(edges, "edges")
-    picked = _walk_edge(open_.join(edges, (open_["source"].eqNullSafe(edges["source"])) & (open_["bucket"] == edges["edge"]))
-                        .select(edges["source"], "doc_id", "mark", "size", "rank", "missing"))
-    picked = written(picked, "picked")
-    df = _on_source(df, edges)
-    df = df.join(picked.withColumnRenamed("source", "_s"), (df["source"].eqNullSafe(F.col("_s"))) & df["doc_id"].eqNullSafe(F.col("p_id"))
-                 & (df["mark"] == F.col("p_mark")), "left")
-    extra = (F.col("part") > 0) & (F.col("size") > 0) & (
-        F.col("edge").isNull() | (F.col("bucket") < F.col("edge")) | F.col("p_mark").isNotNull())
+    ranges, picked, gaps = _fill(open_)
+    df = _on_source(df, ranges)
+    in_range = F.exists("ranges", lambda r: (F.col("bucket") >= r["first"]) & (F.col("bucket") < r["edge"]) & (F.col("size") <= r["gap"]))
+    df = df.withColumn("ranged", F.coalesce(in_range, F.lit(False)))
+    picked = picked.unionByName(_nearest(df, picked, gaps))
+    df = _on_row(df, picked)
+    extra = (F.col("part") > 0) & (F.col("size") > 0) & (F.col("ranged") | F.col("p_mark").isNotNull())
     copies = F.col("whole") + F.when(extra, 1).otherwise(0)
     return df.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).cast("long").alias("taken"),
                      copies.cast("int").alias("copies"))
 
 
+def _fill(open_: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Take what fits, in rank order over all buckets of each source.
+
+    Each round leaves out rows longer than the gap, takes the buckets that then
+    fit as a whole and walks the one that does not; the gap that remains goes on
+    to the buckets behind it, until no open row fits.  Returns per source the
+    ranges taken (first bucket, edge, longest row), the rows picked in the edges
+    and the last gaps.
+    """
+    gaps = written(open_.groupBy("source").agg(
+        F.lit(0).cast("long").alias("first"), F.max(F.col("target") - F.col("whole") * F.col("source_size")).alias("gap")), "gaps")
+    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ranges, picked, last = [], [], []
+    while True:
+        fitting = _on_source(open_, gaps).where((F.col("bucket") >= F.col("first")) & (F.col("size") <= F.col("gap")))
+        cuts = fitting.groupBy("source", "bucket", "first", "gap").agg(F.sum("size").alias("words"))
+        cuts = cuts.withColumn("missing", F.col("gap") - F.coalesce(F.sum("words").over(before), F.lit(0)))
+        # the first bucket that does not fit as a whole
+        fits = F.col("words") <= F.col("missing")
+        edges = cuts.groupBy("source", "first", "gap").agg(
+            F.min(F.when(~fits, F.struct("bucket", "missing"))).alias("edge"), F.min(F.when(fits, F.col("missing") - F.col("words"))).alias("rest"))
+        edges = written(edges.select("source", "first", "gap", F.coalesce("edge.bucket", F.lit((1 << 63) - 1)).alias("edge"), F.col("edge.missing"),
+                                     "rest"), "edges")
+        ranges.append(edges.select("source", F.struct("first", "edge", "gap").alias("range")))
+        cut = edges.where("missing IS NOT NULL").select("source", F.col("edge").alias("bucket"), "missing")
+        # sources without an edge are done: all that fits is taken
+        last.append(edges.where("missing IS NULL").select("source", F.col("rest").alias("gap")))
+        if cut.isEmpty():
+            break
+        rows = _on_source(fitting, cut.withColumnRenamed("bucket", "edge")).where(F.col("bucket") == F.col("edge"))
+        walked = written(_walk_edge(rows.select("source", "doc_id", "mark", "size", "rank", "missing")), "walked")
+        picked.append(walked.select("source", F.inline("got")))
+        on = walked.join(cut.withColumnRenamed("source", "_src"), walked["source"].eqNullSafe(F.col("_src")))
+        gaps = written(on.select("source", (F.col("bucket") + 1).alias("first"), "gap"), "gaps")
+        # a source in which nothing fits any more has no edge in the next round, and keeps this gap
+        last.append(gaps.select("source", "gap"))
+    none = open_.limit(0).select("source", F.col("doc_id").alias("p_id"), F.col("mark").alias("p_mark"))
+    every = reduce(DataFrame.unionByName, ranges).groupBy("source").agg(F.collect_list("range").alias("ranges"))
+    left = reduce(DataFrame.unionByName, last).groupBy("source").agg(F.min("gap").alias("left"))
+    return written(every, "ranges"), reduce(DataFrame.unionByName, picked, none), written(left, "left")
+
+
+def _nearest(df: DataFrame, picked: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Per source the shortest row not taken, if one more than fits comes nearer to the target."""
+    rest = _on_source(df.where((F.col("part") > 0) & (F.col("size") > 0) & ~F.col("ranged")), gaps).where(F.col("size") < 2 * F.col("left"))
+    rest = _on_row(rest, picked).where("p_mark IS NULL")
+    alike = rest.groupBy("source", "doc_id", "mark", "rank", "left").agg(F.sum("size").alias("size")).where(F.col("size") < 2 * F.col("left"))
+    best = alike.groupBy("source").agg(F.min(F.struct("size", "rank", F.col("doc_id").alias("p_id"), F.col("mark").alias("p_mark"))).alias("b"))
+    return written(best.select("source", "b.p_id", "b.p_mark"), "nearest")
+
+
+def _on_row(df: DataFrame, picked: DataFrame) -> DataFrame:
+    return df.join(picked.withColumnRenamed("source", "_s"), (df["source"].eqNullSafe(F.col("_s"))) & df["doc_id"].eqNullSafe(F.col("p_id"))
+                   & (df["mark"] == F.col("p_mark")), "left").drop("_s", "p_id")
+
+
 def _on_source(df: DataFrame, per_source: DataFrame) -> DataFrame:
     """Join columns that exist once per source (null is a source)."""
     own = per_source.withColumnRenamed("source", "_src")
@@ -104,28 +155,22 @@ def _on_source(df: DataFrame, per_source: DataFrame) -> DataFrame:
 
 
 def _walk_edge(rows: DataFrame) -> DataFrame:
-    """In each source's last bucket, in rank order: take what still fits, then one more if that comes nearer.
+    """In each source's edge bucket, in rank order: take what still fits.  One row per source: what it got, and the gap that stays.
 
     Rows that repeat (same id and text) are taken together or not at all.
     """
     alike = rows.groupBy("source", "doc_id", "mark", "rank", "missing").agg(F.sum("size").alias("size"))
     lists = alike.groupBy("source", "missing").agg(F.array_sort(F.collect_list(F.struct("rank", "doc_id", "mark", "size"))).alias("rows"))
     none = F.slice(F.transform("rows", lambda r: F.struct(r["doc_id"].alias("p_id"), r["mark"].alias("p_mark"))), 1, 0)
-    start = F.struct(F.col("missing").cast("double").alias("gap"), none.alias("got"), F.lit(None).cast("struct<size:bigint,p_id:bigint,p_mark:bigint>").alias("spare"))
+    start = F.struct(F.col("missing").cast("double").alias("gap"), none.alias("got"))
 
     def step(s, r):
         fits = r["size"] <= s["gap"]
         me = F.struct(r["doc_id"].alias("p_id"), r["mark"].alias("p_mark"))
-        spare = F.struct(r["size"].alias("size"), r["doc_id"].alias("p_id"), r["mark"].alias("p_mark"))
         return F.struct(F.when(fits, s["gap"] - r["size"]).otherwise(s["gap"]).alias("gap"),
-                        F.when(fits, F.concat(s["got"], F.array(me))).otherwise(s["got"]).alias("got"),
-                        F.when(~fits & (s["spare"].isNull() | (r["size"] < s["spare"]["size"])), spare).otherwise(s["spare"]).alias("spare"))
-
-    end = lists.select("source", F.aggregate("rows", start, step).alias("end"))
-    nearer = F.col("end.spare").isNotNull() & (F.col("end.spare.size") < 2 * F.col("end.gap"))
-    last = F.array(F.struct(F.col("end.spare.p_id").alias("p_id"), F.col("end.spare.p_mark").alias("p_mark")))
-    got = F.when(nearer, F.concat(F.col("end.got"), last)).otherwise(F.col("end.got"))
-    return end.select("source", F.inline(got))
+                        F.when(fits, F.concat(s["got"], F.array(me))).otherwise(s["got"]).alias("got"))
+
+    return lists.select("source", F.aggregate("rows", start, step).alias("end")).select("source", "end.gap", "end.got")
 
 
 def repeated(docs: DataFrame, **kw) -> DataFrame:

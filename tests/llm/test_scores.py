@@ -166,6 +166,14 @@ def test_targets_and_mix(docs):
     assert again == {i: r.taken for i, r in got.items()}
 
 
+def test_a_long_document_does_not_end_its_source(docs):
+    """A document longer than what its source lacks fills its bucket; the buckets behind go on filling the source."""
+    rows = [(i, "w " * 40, "a") for i in range(2499)] + [(5000, "w " * 100_000, "a")] + [(9000 + i, "w " * 20_000, "b") for i in range(4)]
+    got = [r for r in mixing.mix(docs(rows), weights=(1.0, 1.916), bucket=100).collect() if r.doc_id < 9000]
+    assert len(got) == 2500 and 90_000 < got[0].target < 100_000
+    assert abs(sum(r.taken for r in got) - got[0].target) <= 40
+
+
 def test_mix_edges(docs):
     assert mixing.mix(docs([])).count() == 0
     assert sum(r.taken for r in mixing.mix(docs([None, "", " "])).collect()) == 0
