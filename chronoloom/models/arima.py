@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from chronoloom.operators.blocks import cut_lineage, lag_columns
-from chronoloom.operators.linalg import gram, solve
-from chronoloom.operators.stats import acf, centred, levinson
+from chronoloom.operators.linalg import _solve, gram
+from chronoloom.operators.stats import centred
 from chronoloom.series import SeriesSpec, require_gapless
 
 
@@ -46,14 +46,46 @@ def differenced(df: DataFrame, spec: SeriesSpec, y: str, d: Column, big_d: Colum
     return base.withColumn("_w", plain).drop(*lags)
 
 
-def innovations(base: DataFrame, spec: SeriesSpec, order: int) -> DataFrame:
-    """Column ``_e``: residuals of the long autoregression of ``_w``."""
-    rows = base.where("_w IS NOT NULL")
-    phi = acf(rows, spec, "_w", order).select(*spec.by, levinson(F.col("r"), F.lit(order)).alias("_phi"))
-    lagged = lag_columns(centred(rows, spec, "_w"), spec, {f"_x{k}": ("_x", k) for k in range(1, order + 1)}).join(phi, spec.by)
-    stack = F.array(*[F.col(f"_x{k}") for k in range(1, order + 1)])
-    fit = F.aggregate(F.zip_with(stack, F.col("_phi"), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    return lagged.select(*spec.by, spec.t, "_w", (F.col("_x") - fit).alias("_e"))
+def long_lags(n: int, m: int) -> list[int]:
+    """Lags of the long autoregression of ``n`` values: up to floor(10 log10 n), and m and 2m; none beyond n / 4."""
+    plain = min(int(np.floor(10 * np.log10(n))), n // 4) if n > 0 else 0
+    return sorted({*range(1, plain + 1), *(k for k in (m, 2 * m) if m > 1 and k <= n // 4)})
+
+
+def innovations(base: DataFrame, spec: SeriesSpec, order: int | None = None, m: int = 1) -> DataFrame:
+    """Column ``_e``: residuals of the long autoregression of ``_w``; ``_n`` values a key, ``_reach`` the longest lag used.
+
+    Lags follow from each key's own length unless ``order`` is given.
+    """
+    rows = cut_lineage(base.where("_w IS NOT NULL"))
+
+    def own(n: int) -> list[int]:
+        return long_lags(int(n), m) if order is None else list(range(1, order + 1))
+
+    longest = rows.groupBy(*spec.by).count().agg(F.max("count")).first()[0] or 0
+    lags = own(longest)
+    apart = sorted({0, *lags, *(abs(i - j) for i in lags for j in lags)})
+    mid = centred(rows, spec, "_w")
+    sums = lag_columns(mid, spec, {f"_c{k}": ("_x", k) for k in apart if k}).withColumn("_c0", F.col("_x")).groupBy(*spec.by).agg(
+        F.first("_n").alias("_n"), F.array(*[F.coalesce(F.sum(F.col("_x") * F.col(f"_c{k}")), F.lit(0.0)) for k in apart]).alias("_c"))
+
+    def yule_walker(n: pd.Series, c: pd.Series) -> pd.Series:
+        out = []
+        for ni, ci in zip(n, c):
+            at, use = dict(zip(apart, ci)), own(ni)
+            phi = {k: 0.0 for k in use}
+            if use and at[0] > 0:
+                inv = np.linalg.pinv(np.array([[at[abs(i - j)] for j in use] for i in use]), hermitian=True)
+                phi = dict(zip(use, inv @ np.array([at[k] for k in use])))
+            out.append([phi.get(k) for k in lags])
+        return pd.Series(out)
+
+    phi = sums.select(*spec.by, pandas_udf(yule_walker, "array<double>")("_n", "_c").alias("_phi"))
+    lagged = lag_columns(mid, spec, {f"_x{k}": ("_x", k) for k in lags}).join(phi, spec.by)
+    # a lag that the key does not use has no coefficient
+    terms = [F.when(F.col("_phi")[i].isNull(), 0.0).otherwise(F.col(f"_x{k}") * F.col("_phi")[i]) for i, k in enumerate(lags)]
+    reach = F.greatest(F.lit(0), F.lit(0), *[F.when(F.col("_phi")[i].isNotNull(), k) for i, k in enumerate(lags)])
+    return lagged.select(*spec.by, spec.t, "_w", (F.col("_x") - sum(terms, F.lit(0.0))).alias("_e"), "_n", reach.alias("_reach"))
 
 
 def _largest_inverse_root(coefs: dict[int, float]) -> float:
@@ -66,59 +98,95 @@ def _largest_inverse_root(coefs: dict[int, float]) -> float:
     return float(np.abs(np.roots(poly)).max()) if len(poly) > 1 else 0.0
 
 
+def _levels(candidates: list[Order]) -> list[Order]:
+    """Highest orders to search, from those of the candidates down to what short series allow."""
+    top = Order(*[max(getattr(c, k) for c in candidates) for k in ("p", "q", "P", "Q")])
+    steps = [(9, 2), (9, 1), (3, 1), (2, 1), (9, 0), (3, 0), (2, 0), (1, 0), (0, 0)]
+    levels = [top, *[Order(min(top.p, a), min(top.q, a), min(top.P, b), min(top.Q, b)) for a, b in steps]]
+    return [x for x in dict.fromkeys(levels) if any(_within(c, x) for c in candidates)]
+
+
+def _within(c: Order, top: Order) -> bool:
+    return c.p <= top.p and c.q <= top.q and c.P <= top.P and c.Q <= top.Q
+
+
+def _lags(plain: int, seasonal: int, m: int) -> list[int]:
+    return sorted({*range(1, plain + 1), *(m * j for j in range(1, seasonal + 1))})
+
+
 def fit_arima(df: DataFrame, spec: SeriesSpec, y: str, candidates: list[Order], d: int | DataFrame = 0, big_d: int = 0,
-              long_order: int = 12, m: int | None = None) -> DataFrame:
+              long_order: int | None = None, m: int | None = None) -> DataFrame:
     """Fit every candidate to every series and keep the lowest AICc.
 
     ``d`` is a number or a frame (keys, d, big_d).  Candidates with a root on
-    or inside the unit circle are rejected.
+    or inside the unit circle are rejected.  All candidates of a series share
+    one sample; where that would be less than three rows a coefficient of the
+    largest one, the highest orders are left out for that series.
     """
     require_gapless(spec, "an ARIMA model")
     m = m or int(round(spec.m))
+    if m <= 1:  # no season
+        candidates = [c for c in candidates if not (c.P or c.Q)] or candidates
     base = df.select(*spec.by, spec.t, F.col(y).cast("double").alias("_v"))
     if isinstance(d, DataFrame):
         base = base.join(d, spec.by)
     else:
         base = base.withColumns({"d": F.lit(d), "big_d": F.lit(big_d)})
     diff = differenced(base, spec, "_v", F.col("d"), F.col("big_d"), m)
-    rows = innovations(diff, spec, long_order)
-    top_p, top_q = max(c.p for c in candidates), max(c.q for c in candidates)
-    seasonal_p, seasonal_q = any(c.P for c in candidates), any(c.Q for c in candidates)
-    ar = [*range(1, top_p + 1), *([m] if seasonal_p and m > top_p else [])]
-    ma = [*range(1, top_q + 1), *([m] if seasonal_q and m > top_q else [])]
+    rows = innovations(diff, spec, long_order, m)
+    levels = _levels(candidates)
+    top = levels[0]
+    ar, ma = _lags(top.p, top.P, m), _lags(top.q, top.Q, m)
+    fits = []
+    for i, x in enumerate(levels[:-1]):
+        own_ar, own_ma = _lags(x.p, x.P, m), _lags(x.q, x.Q, m)
+        lost = F.greatest(F.lit(max(own_ar, default=0)), F.col("_reach") + max(own_ma) if own_ma else F.lit(0))
+        fits.append(F.when(F.col("_n") - lost >= 3 * (1 + len(own_ar) + len(own_ma)), i))
     lagged = lag_columns(rows, spec, {**{f"ar{k}": ("_w", k) for k in ar}, **{f"ma{k}": ("_e", k) for k in ma}})
+    lagged = lagged.withColumn("_level", F.coalesce(*fits, F.lit(len(levels) - 1)))
+    # lags beyond a key's level are not searched and must not cost it rows
+    for name, lags, of in (("ar", ar, lambda x: _lags(x.p, x.P, m)), ("ma", ma, lambda x: _lags(x.q, x.Q, m))):
+        for k in lags:
+            used = F.col("_level").isin([i for i, x in enumerate(levels) if k in of(x)])
+            lagged = lagged.withColumn(f"{name}{k}", F.when(used, F.col(f"{name}{k}")).otherwise(0.0))
     lagged = cut_lineage(lagged)
     cols = ["constant", *[f"ar{k}" for k in ar], *[f"ma{k}" for k in ma]]
     # differencing decides whether a constant makes sense
     grams = gram(lagged.withColumn("constant", F.lit(1.0)), spec.by, cols, "_w")
     kinds = base.groupBy(*spec.by).agg(F.first("d").alias("d"), F.first("big_d").alias("big_d"), F.max(spec.t).alias("t_last"))
-    cells = []
-    for c in candidates:
-        names = (["constant"] if c.constant else []) + [f"ar{k}" for k in range(1, c.p + 1)] + ([f"ar{m}"] if c.P else []) + \
-                [f"ma{k}" for k in range(1, c.q + 1)] + ([f"ma{m}"] if c.Q else [])
-        names = list(dict.fromkeys(names))
-        cells.append(F.struct(
-            F.lit(f"({c.p},{c.q})({c.P},{c.Q})" + ("+c" if c.constant else "")).alias("order"), F.lit(c.constant).alias("constant"),
-            F.array(*[F.lit(n) for n in names]).cast("array<string>").alias("terms"),
-            F.array(*[F.lit(cols.index(n)) for n in names]).cast("array<int>").alias("keep")))
-    cand = grams.join(kinds, spec.by).withColumn("_c", F.explode(F.array(*cells)))
-    cand = cand.where(~F.col("_c.constant") | (F.col("d") + F.col("big_d") <= 1))
-    cand = cand.select(*spec.by, "p", "k", "n", "g", "d", "big_d", "t_last", "_c.order", "_c.terms", "_c.keep")
-    fits = solve(cand, F.col("keep"))
-
-    def worst_root(terms: pd.Series, beta: pd.Series) -> pd.Series:
-        out = []
-        for names, b in zip(terms, beta):
-            ar_c = {int(n[2:]): v for n, v in zip(names, b) if n.startswith("ar")}
-            ma_c = {int(n[2:]): -v for n, v in zip(names, b) if n.startswith("ma")}
-            out.append(max(_largest_inverse_root(ar_c), _largest_inverse_root(ma_c)))
-        return pd.Series(out)
+    kinds = kinds.join(lagged.groupBy(*spec.by).agg(F.first("_level").alias("_level")), spec.by)
+    cells = {}
+    for c in sorted(candidates, key=lambda c: c.P + c.Q):  # a seasonal lag that is a plain one too makes no new candidate
+        names = (["constant"] if c.constant else []) + [f"ar{k}" for k in _lags(c.p, c.P, m)] + [f"ma{k}" for k in _lags(c.q, c.Q, m)]
+        cells.setdefault(tuple(names), (f"({c.p},{c.q})({c.P},{c.Q})" + ("+c" if c.constant else ""), c))
 
-    fits = fits.withColumn("root", pandas_udf(worst_root, "double")("terms", "beta"))
-    # a candidate without a stable root is only used when nothing else is left
-    rank = F.struct((F.col("root") > 1 / 1.001).alias("bad"), F.col("aicc").alias("aicc"), F.col("order").alias("order"))
-    best = fits.groupBy(*spec.by).agg(F.min_by(F.struct("order", "terms", "beta", "se", "n", "d", "big_d", "t_last", "root", "sigma2", "loglik", "aic", "aicc", "bic"), rank).alias("b"))
-    tails = lagged.join(kinds.select(*spec.by, "t_last"), spec.by).where(F.col(spec.t) > F.col("t_last") - max(m, top_p, top_q, 1))
+    def choose(p: pd.Series, n: pd.Series, g: pd.Series, diffs: pd.Series, level: pd.Series) -> pd.DataFrame:
+        out = []
+        for pi, ni, gi, di, li in zip(p, n, g, diffs, level):
+            own = [(label, names) for names, (label, c) in cells.items() if _within(c, levels[li]) and not (c.constant and di > 1)]
+            size = len(own)
+            fit = _solve(pd.Series([pi] * size), pd.Series([ni] * size), pd.Series([gi] * size), pd.Series([[cols.index(x) for x in names] for _, names in own]))
+            fit["order"], fit["terms"] = [label for label, _ in own], [list(names) for _, names in own]
+            best = None
+            # a candidate without a stable root is only used when nothing else is left
+            for row in fit.sort_values(["aicc", "order"], na_position="last").itertuples(index=False):
+                coefs = list(zip(row.terms, row.beta))
+                root = max(_largest_inverse_root({int(k[2:]): v for k, v in coefs if k.startswith("ar")}),
+                           _largest_inverse_root({int(k[2:]): -v for k, v in coefs if k.startswith("ma")}))
+                if best is None or root <= 1 / 1.001:
+                    best = (row.order, row.terms, row.beta, row.se, root, row.sigma2, row.loglik, row.aic, row.aicc, row.bic)
+                if root <= 1 / 1.001:
+                    break
+            out.append(best or (None,) * 10)
+        return pd.DataFrame(out, columns=["order", "terms", "beta", "se", "root", "sigma2", "loglik", "aic", "aicc", "bic"])
+
+    kind = ("struct<order:string,terms:array<string>,beta:array<double>,se:array<double>,root:double,sigma2:double,loglik:double,aic:double,"
+            "aicc:double,bic:double>")
+    cand = grams.join(kinds, spec.by)
+    best = cand.withColumn("_b", pandas_udf(choose, kind)("p", "n", "g", F.col("d") + F.col("big_d"), "_level")).where("_b.order IS NOT NULL")
+    best = best.select(*spec.by, F.struct("_b.order", "_b.terms", "_b.beta", "_b.se", "n", "d", "big_d", "t_last", "_b.root", "_b.sigma2",
+                                          "_b.loglik", "_b.aic", "_b.aicc", "_b.bic").alias("b"))
+    tails = lagged.join(kinds.select(*spec.by, "t_last"), spec.by).where(F.col(spec.t) > F.col("t_last") - max([m, 1, *ar, *ma]))
     tails = tails.groupBy(*spec.by).agg(F.array_sort(F.collect_list(F.struct(spec.t, "_w", "_e"))).alias("_a"))
     hist = base.join(kinds.select(*spec.by, "t_last"), spec.by).where(F.col(spec.t) > F.col("t_last") - (m + 3))
     hist = hist.groupBy(*spec.by).agg(F.array_sort(F.collect_list(F.struct(spec.t, "_v"))).alias("_h"))
@@ -127,7 +195,7 @@ def fit_arima(df: DataFrame, spec: SeriesSpec, y: str, candidates: list[Order],
                       F.col("_a._e").alias("e_tail"), F.col("_h._v").alias("y_tail"))
 
 
-def grid_orders(p: int = 2, q: int = 2, big_p: int = 1, big_q: int = 1) -> list[Order]:
+def grid_orders(p: int = 5, q: int = 5, big_p: int = 2, big_q: int = 2) -> list[Order]:
     return [Order(a, b, c, e, k) for a, b, c, e, k in product(range(p + 1), range(q + 1), range(big_p + 1), range(big_q + 1), (True, False))]
 
 

@@ -40,7 +40,7 @@ def arima_auto(spark, d):
 @query("arima_forecast")
 def arima_forecast(spark, d):
     df, spec = orders_monthly(spark, d)
-    fit = ar.fit_arima(df, spec, "y", ar.grid_orders(2, 1, 1, 1), d=1)
+    fit = ar.fit_arima(df, spec, "y", ar.grid_orders(), d=1)
     return ar.forecast_arima(fit, spec, 12).drop("t")
 
 

@@ -51,6 +51,20 @@ def test_random_walk_is_a_candidate(spark):
     assert {round(r["mean"], 6) for r in ar.forecast_arima(fit, SPEC, 3).collect()} == {round(float(y[-1]), 6)}
 
 
+def test_order_search_reaches_long_lags(spark):
+    """An AR(4) is found, and innovations of a season longer than 12 periods are free of the season."""
+    rng = np.random.default_rng(4)
+    y, z = rng.normal(size=500), rng.normal(size=900)
+    for i in range(4, 500):
+        y[i] += 0.7 * y[i - 4]
+    for i in range(24, 900):
+        z[i] += 0.85 * z[i - 24]
+    row = ar.fit_arima(frame(spark, {"a": y, "short": y[:9]}), SPEC.with_(period=1), "y", ar.grid_orders(), m=1).where("key = 'a'").first()
+    assert dict(zip(row.terms, row.beta))["ar4"] == pytest.approx(0.7, abs=0.15)
+    row = ar.fit_arima(frame(spark, {"a": z}), SPEC.with_(period=24), "y", [ar.Order(0, 0)], m=24).first()
+    assert np.std(row.e_tail) < 1.35
+
+
 def test_pooled_keeps_every_series(spark):
     df = frame(spark, {"zero": [0.0] * 12, "around": [1.0, -1.0] * 8, "short": [3.0, 4.0], "long": list(noisy(40))})
     model, base, asm = ar.fit_pooled(df, SPEC, "y", [1, 4])
