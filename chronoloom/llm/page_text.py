@@ -5,8 +5,8 @@ elements form a stack.  Paragraphs (runs of text between block tags) give points
 for length and commas to their parent, half to the grandparent, less further up;
 text inside links counts against.  The container with most points after the link
 discount is the article; siblings that score well or read like paragraphs of it
-are kept.  Menus, headers, footers, forms, adverts, comments and the like never
-take part.
+are kept.  Menus, headers, footers, forms, adverts, comments and the like take no
+part, unless they are wrapped around a main element or most of the paragraphs.
 """
 
 from __future__ import annotations
@@ -30,6 +30,10 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "strong sub sup time tt u var wbr".split())
 NOT_TEXT = frozenset("script style textarea title xmp head noscript template iframe svg math object nav header footer aside form button select "
                      "menu dialog audio video canvas option datalist".split())
+#: Of these, what may still be wrapped around an article.
+WRAPS = frozenset("form header footer aside nav menu dialog".split())
+#: Of these and of the roles, what is seldom wrapped around a whole page.
+BESIDES = frozenset("footer aside nav menu dialog".split())
 #: An open element of the set ends when the tag starts.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 KEEPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
@@ -44,33 +48,37 @@ MAIN = frozenset(("article", "main"))
 
 
 class Node:
-    __slots__ = ("tag", "up", "aside", "runs", "down", "points", "size", "linked", "link", "main")
+    __slots__ = ("tag", "up", "aside", "doubt", "runs", "down", "points", "size", "linked", "link", "main", "paragraphs", "holds", "less")
 
-    def __init__(self, tag: str, up: "Node | None", aside: bool, link: bool, main: bool):
-        self.tag, self.up, self.aside, self.link, self.main = tag, up, aside, link, main
+    def __init__(self, tag: str, up: "Node | None", aside: bool, link: bool, main: bool, doubt: int = 0):
+        self.tag, self.up, self.aside, self.link, self.main, self.doubt = tag, up, aside, link, main, doubt
         self.down: list[Node] = []
         self.points, self.size, self.linked = 0.0, 0, 0
+        self.paragraphs, self.holds, self.less = 0, False, False
 
 
-def _is_aside(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether the element is none of the text; whether it names itself as the main part."""
-    if tag in NOT_TEXT:
-        return True, False
+def _is_aside(tag: str, attributes: str) -> tuple[bool, int, bool]:
+    """Whether the element is never text; whether its tag or name looks like page furniture (2: of the kind that is seldom
+    wrapped around a page); whether it names itself as the main part."""
+    if tag in NOT_TEXT and tag not in WRAPS:
+        return True, 0, False
+    furniture = 2 if tag in BESIDES else int(tag in WRAPS)
     if not attributes or attributes.isspace() or tag in ("html", "body"):
-        return False, tag in MAIN
+        return False, furniture, tag in MAIN
     own = {k.lower(): a or b or c or "" for k, a, b, c in ATTRIBUTE.findall(attributes)}
     role = own.get("role", "").lower()
     hidden = ("hidden" in own or own.get("aria-hidden", "").lower() == "true"
               or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", own.get("style", ""), re.I) is not None)
     main = tag in MAIN or role in ("main", "article") or own.get("itemprop", "").lower() == "articlebody"
-    named = any((OTHERS if main else ASIDE).search(own[k]) for k in ("class", "id") if k in own)
-    return hidden or role in ROLES or named, main
+    names = " ".join(own[k] for k in ("class", "id") if k in own)
+    named = 2 if OTHERS.search(names) else int(not main and ASIDE.search(names) is not None)
+    return hidden, max(furniture, named, (1 if role == "form" else 2) if role in ROLES else 0), main
 
 
 def blocks_of(page: str) -> tuple[Node, list[tuple[Node, str]]]:
     """The tree, and its text runs (element that holds the run, text) in page order."""
     root = Node("", None, False, False, False)
-    node, runs, held, holder = root, [], [], root
+    node, runs, held, holder, links = root, [], [], root, []
     at = 0
 
     def end_run():
@@ -91,13 +99,9 @@ def blocks_of(page: str) -> tuple[Node, list[tuple[Node, str]]]:
             holder = node
             while holder.tag in INLINE and holder.up is not None:
                 holder = holder.up
-        if node.link:
-            n = len(text.strip())
-            x = node
-            while x is not None:
-                x.linked += n
-                x = x.up
         held.append(text)
+        if node.link:
+            links.append((node, len(text.strip())))
 
     match = TAG.search(page)
     while match:
@@ -131,9 +135,9 @@ def blocks_of(page: str) -> tuple[Node, list[tuple[Node, str]]]:
                         x = x.up
                     if x is not None and x.tag in name:
                         node = x.up
-            aside, main = _is_aside(tag, match[3] or "")
+            aside, doubt, main = _is_aside(tag, match[3] or "")
             if not match[0].endswith("/>") or tag in ("p", "div", "a", "b", "i", "span"):
-                child = Node(tag, node, node.aside or aside, node.link or tag == "a", main)
+                child = Node(tag, node, node.aside or aside, node.link or tag == "a", main, doubt)
                 node.down.append(child)
                 node = child
             if tag in RAW:  # text up to the end tag, whatever it holds
@@ -143,7 +147,43 @@ def blocks_of(page: str) -> tuple[Node, list[tuple[Node, str]]]:
         match = TAG.search(page, at)
     add(page[at:])
     end_run()
-    return root, runs
+    _doubts(root, runs)
+    for node, n in links:
+        if not node.aside:
+            while node is not None:
+                node.linked += n
+                node = node.up
+    return root, [(node, text) for node, text in runs if not node.aside]
+
+
+def _doubts(root: Node, runs: list[tuple[Node, str]]) -> None:
+    """Decide on elements that look like page furniture.
+
+    One that holds most of the page's paragraphs is none (comments, adverts and
+    the like: only if no paragraph lies elsewhere).  Of others that hold a main
+    element the points are discounted and the main element is not taken at its
+    word; the rest is no text.
+    """
+    total = 0
+    for node, text in runs:
+        # paragraphs by length: a list of many short entries is not most of a page
+        long = len(text) if node.tag in ("p", "pre", "blockquote") else 0
+        total += 0 if node.aside else long
+        x, inner = node, False
+        while x is not None:
+            x.paragraphs += long
+            x.holds = x.holds or inner
+            inner = inner or (x.main and not x.doubt)
+            x = x.up
+    todo = [root]
+    while todo:
+        x = todo.pop()
+        if x.doubt and not (2 * x.paragraphs > total if x.doubt == 1 else x.paragraphs == total > 0):
+            x.aside, x.less = x.aside or not x.holds, True
+        x.main = x.main and not x.less
+        for child in x.down:
+            child.aside, child.less = child.aside or x.aside, child.less or x.less
+            todo.append(child)
 
 
 def main_text(page: str | None) -> str:
@@ -165,13 +205,19 @@ def main_text(page: str | None) -> str:
         while x is not None:
             x.size += len(text)
             x = x.up
-    final = {i: n.points * (1 - min(n.linked / n.size, 1.0) if n.size else 0.0) for i, n in scored.items()}
+    final = {i: n.points * (1 - min(n.linked / n.size, 1.0) if n.size else 0.0) * (0.5 if n.less else 1) for i, n in scored.items()}
     # an element that calls itself the article is taken at its word
     best = max([n for n in scored.values() if n.main] or scored.values(), key=lambda n: final[id(n)])
     keep = {id(best)}
-    if not best.main and best.up is not None:
+    # beside an element that calls itself the article only what lies in the same main element, or does so too, may belong to it
+    around = best.up
+    while around is not None and not around.main:
+        around = around.up
+    if best.up is not None:
         for other in best.up.down:
             share = other.linked / other.size if other.size else 1.0
+            if best.main and around is None and not other.main:
+                continue
             if other is not best and (final.get(id(other), 0.0) >= 0.2 * final[id(best)] or other.tag in ("p", "h1", "h2", "h3", "pre", "blockquote", "ul", "ol", "table")
                                       and share < 0.3):
                 keep.add(id(other))

@@ -119,6 +119,23 @@ def test_main_text():
     assert page_text.main_text("<div>" * 3000 + "<p>deep</p>") == "deep"
 
 
+LONG = "Words of the article, long enough, with commas, to be scored well. "
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<body><form id=aspnetForm><div class=menu><a href=x>Menu</a></div><div id=c><p>{LONG}</p><p>{LONG}</p></div></form></body>", [LONG, LONG]),
+    (f"<div class='layout with-sidebar'><article><p>{LONG}</p></article><div class=sidebar><p>Side, text</p></div></div>", [LONG]),
+    (f"<div class='no-sidebar'><div><p>{LONG}</p><p>{LONG}</p></div></div><div class=sidebar><p>Side, text</p></div>", [LONG, LONG]),
+    (f"<main><article><p>{LONG * 3}</p></article><article><p>{LONG * 2}</p></article></main>", [LONG * 3, LONG * 2]),
+    (f"<article><h1>Title</h1><div itemprop=articleBody><p>{LONG}</p><p>{LONG}</p></div></article>", ["Title", LONG, LONG]),
+    (f"<div class=x><p>{LONG * 3}</p></div><aside><article><p>{LONG}</p></article></aside>", [LONG * 3]),
+    (f"<div class=x><p>{LONG}</p></div><div class=comments><p>{LONG}</p><p>{LONG}</p></div>", [LONG]),
+    (f"<article><header><h1>Title</h1></header><p>{LONG}</p></article><aside><p>Aside, text</p></aside>", [LONG]),
+])
+def test_wrapped_and_divided_articles(page, want):
+    assert page_text.main_text(page) == " ".join(x.strip() for x in want)
+
+
 def test_pages_table(spark):
     rows = [(1, "u", PAGE, "c"), (1, "u", PAGE, "c"), (2, None, None, "c"), (None, "v", "<p>" + "w " * 50_000, "c")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
