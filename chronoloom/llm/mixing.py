@@ -3,7 +3,8 @@
 Every source gets a share of the words of the mix.  A document of a source whose
 target is r times its size is taken floor(r) times for certain; for the rest,
 documents are ranked by random odds over inclusion odds, and the first ones are
-taken until the missing words are reached.  Random numbers are hashes of the
+taken until the missing words are reached.  Within a source the inclusion
+odds are the same, so the order there is simple random order.  Random numbers are hashes of the
 document, so reruns agree.
 
 The order is cut into buckets by its (uniformly distributed) rank value: sums
