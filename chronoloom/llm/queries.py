@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers as vocabularies
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronoloom.llm import exact_dedup, merge_replay, minhash, mixing, page_text, phrases, quality, token_files, topk, toxicity
+from chronoloom.llm import (exact_dedup, merge_replay, minhash, mixing, page_text, phrases, prefix_trie, ptolemaic, quality, rank_array,
+                            token_files, topk, toxicity)
 from chronoloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +105,59 @@ def op6_toxicity(spark, sf_dir):
 @query("op2_quality")
 def op2_quality(spark, sf_dir):
     return quality.scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("rank")
+
+
+def _clustering_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds one after the other; a vector is a list of integers."""
+    square = "list_sum(list_transform(list_zip(v.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    parts = [f"""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR), q) - 1)::INTEGER AS cluster, q FROM v
+  ORDER BY cluster LIMIT {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (SELECT r, vec_id, v.q, cluster, {square} AS distance FROM v CROSS JOIN c{i} c
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, cluster) = 1)""")
+        if i < rounds:
+            parts.append(f"""m{i} AS (SELECT cluster, p, sum(x)::BIGINT AS s, count(*) AS n FROM
+  (SELECT cluster, unnest(q) AS x, unnest(range(1, 65)) AS p FROM a{i}) GROUP BY cluster, p),
+c{i + 1} AS MATERIALIZED (SELECT cluster, coalesce(f.q, c{i}.q) AS q FROM c{i} LEFT JOIN
+  (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY p) AS q FROM m{i} GROUP BY cluster) f USING (cluster))""")
+    return ",\n".join(parts) + f"""
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(c{rounds}.q, ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} USING (cluster)"""
+
+
+@query("op11_ptolemaic", _clustering_sql())
+def op11_ptolemaic(spark, sf_dir):
+    return ptolemaic.clusters(read_table(spark, sf_dir, "embeddings")).drop("measured")
+
+
+@query("op12_prefix_trie", """
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS f, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''),
+    lambda x: ascii(x)::BIGINT), lambda crc, byte: list_reduce([xor(crc, byte)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+    lambda u, z: CASE WHEN u % 2 = 1 THEN xor(u // 2, 3988292384) ELSE u // 2 END)), 4294967295) % 9 AS h FROM t),
+r AS (SELECT c.conv_id, 0 AS own, p, role, text FROM c JOIN t ON t.conv_id = c.f AND p <= h
+  UNION ALL SELECT c.conv_id, 1, p, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND p > h),
+k AS (SELECT conv_id, strlen(text) AS bytes, list(md5(strlen(role) || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY own, p) AS key FROM r
+  UNION ALL SELECT conv_id, 0, [] FROM c),
+n AS (SELECT key, len(key) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM k GROUP BY key),
+kids AS (SELECT key[1:depth - 1] AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+up AS (SELECT n.key[1:i] AS key, (n_convs - 1) * bytes AS worth, (n_children IS NULL)::INTEGER AS leaf
+  FROM (SELECT key, n_convs, bytes, unnest(range(0, depth + 1)) AS i FROM n) n LEFT JOIN kids USING (key)),
+below AS (SELECT key, sum(worth)::BIGINT AS saved_tokens, sum(leaf)::BIGINT AS n_leaves FROM up GROUP BY key),
+ends AS (SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256 FROM
+  (SELECT conv_id, max_by(key, len(key)) AS key FROM k GROUP BY conv_id) GROUP BY key)
+SELECT n.conv_id, n.depth, o.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+  coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM n LEFT JOIN n o ON n.depth > 0 AND o.key = n.key[1:n.depth - 1] LEFT JOIN kids ON kids.key = n.key
+JOIN below ON below.key = n.key LEFT JOIN ends ON ends.key = n.key""")
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(read_table(spark, sf_dir, "conversations"))
+
+
+@query("op13_rank_array")
+def op13_rank_array(spark, sf_dir):
+    return rank_array.encoded(read_table(spark, sf_dir, "documents"), vocabularies.path("word_bpe_49k.json"))
