@@ -57,12 +57,12 @@ def innovations(base: DataFrame, spec: SeriesSpec, order: int | None = None, m:
 
     Lags follow from each key's own length unless ``order`` is given.
     """
-    rows = cut_lineage(base.where("_w IS NOT NULL"))
+    rows = cut_lineage(base)  # missing values stay: lags count periods
 
     def own(n: int) -> list[int]:
         return long_lags(int(n), m) if order is None else list(range(1, order + 1))
 
-    longest = rows.groupBy(*spec.by).count().agg(F.max("count")).first()[0] or 0
+    longest = rows.groupBy(*spec.by).agg(F.count("_w").alias("count")).agg(F.max("count")).first()[0] or 0
     lags = own(longest)
     apart = sorted({0, *lags, *(abs(i - j) for i in lags for j in lags)})
     mid = centred(rows, spec, "_w")

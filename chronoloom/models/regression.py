@@ -9,10 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from chronoloom.operators.blocks import cut_lineage, windowed
-from chronoloom.operators.linalg import gram, gram_arrays, solve
-from chronoloom.operators.stats import acf, levinson, partial_from
-from chronoloom.series import SeriesSpec, require_gapless
+from chronoloom.models.arma_errors import arimax, error_kinds, forecast_arimax  # noqa: F401
+from chronoloom.operators.linalg import gram, solve
+from chronoloom.series import SeriesSpec
 
 TREND = "trend"
 
@@ -109,78 +108,3 @@ def forecast_tslm(future: DataFrame, spec: SeriesSpec, terms: dict[str, Column],
     base = future.withColumn("_x", _row_vector(terms)).join(fit.select(*spec.by, "model", "beta", "xtx_inv", "sigma2"), spec.by)
     sd = F.sqrt(F.col("sigma2") * (1.0 + F.expr(_LEVER)))
     return base.select(*spec.by, *extra, "model", spec.index, spec.t, F.expr(_DOT).alias("mean"), sd.alias("sigma"))
-
-
-# ---- regression with autoregressive errors ------------------------------
-
-def ar_order(arrays: DataFrame, spec: SeriesSpec, max_order: int) -> DataFrame:
-    """Order by AICc from partial autocorrelations; coefficients ``phi``."""
-    best = F.expr(f"""array_min(transform(sequence(0, {max_order}), k -> struct(
-        n * ln(aggregate(slice(_p, 1, k), 1.0D, (v, a) -> v * (1 - a * a))) + 2 * (k + 1) + 2 * (k + 1) * (k + 2) / greatest(n - k - 2, 1) AS aicc,
-        k AS k)))""")
-    out = arrays.withColumn("_p", partial_from(F.col("r"))).withColumn("_b", best)
-    return out.select(*spec.by, F.col("_b.k").alias("ar_order"), levinson(F.col("r"), F.col("_b.k")).alias("phi"))
-
-
-def arimax(df: DataFrame, spec: SeriesSpec, y: str, terms: dict[str, Column], max_order: int = 5, passes: int = 2,
-           model: str = "arimax") -> DataFrame:
-    """Regression with AR(p) errors by repeated quasi-differencing.
-
-    Each pass: residual autocorrelations give p and phi; then y and every
-    regressor are filtered by 1 - phi(B) and regressed again.
-    """
-    require_gapless(spec, "a regression with autoregressive errors")
-    p, k = len(terms) + 1, 1
-    rows = df.select(*spec.by, spec.t, F.col(y).cast("double").alias("_y"), _row_vector(terms).alias("_x"))
-    rows = rows.withColumn("_v", F.concat("_x", F.array("_y"))).persist()
-    # one row per key: cut after each step, so that no step is planned twice
-    fit = cut_lineage(solve(gram_arrays(rows.where("_y IS NOT NULL"), spec.by, "_v", p, k)))
-    names = F.array(*[F.lit(n) for n in ("intercept", *terms)])
-    for _ in range(passes):
-        resid = rows.join(fit.select(*spec.by, "beta"), spec.by).withColumn("_e", F.col("_y") - F.expr(_DOT))
-        ar = cut_lineage(ar_order(acf(resid, spec, "_e", max_order), spec, max_order))
-        lagged = windowed(rows.select(*spec.by, spec.t, "_v"), spec, {
-            f"_v{j}": (lambda w, j=j: F.lag("_v", j).over(w)) for j in range(1, max_order + 1)}, before=max_order)
-        lagged = lagged.join(ar, spec.by)
-        stacked = "array(" + ", ".join(f"_v{j}" for j in range(1, max_order + 1)) + ")"
-        lagged = lagged.withColumn("_l", F.expr(f"slice({stacked}, 1, ar_order)"))
-        filtered = F.expr("""transform(_v, (x, i) -> x - aggregate(zip_with(_l, phi, (v, c) -> v[i] * c), 0.0D, (s, a) -> s + a))""")
-        ready = lagged.where("forall(_l, v -> v IS NOT NULL)").select(*spec.by, filtered.alias("_v"))
-        # rows next to a NULL response drop out of the sums
-        ready = ready.where(F.element_at("_v", -1).isNotNull())
-        fit = cut_lineage(solve(gram_arrays(ready, spec.by, "_v", p, k)).join(ar, spec.by))
-    rows.unpersist()
-    return fit.withColumns({"model": F.lit(model), "terms": names})
-
-
-def error_kinds(df: DataFrame, spec: SeriesSpec, y: str, terms: dict[str, Column], fit: DataFrame, max_order: int = 5) -> DataFrame:
-    """Regression residuals and innovations of an ``arimax`` fit."""
-    base = df.withColumn("_x", _row_vector(terms)).join(fit.select(*spec.by, "beta", "phi", "ar_order"), spec.by)
-    base = base.withColumn("regression", F.col(y) - F.expr(_DOT)).drop("_x", "beta")
-    out = windowed(base, spec, {f"_e{j}": (lambda w, j=j: F.lag("regression", j).over(w)) for j in range(1, max_order + 1)}, before=max_order)
-    stacked = "array(" + ", ".join(f"_e{j}" for j in range(1, max_order + 1)) + ")"
-    past = F.expr(f"aggregate(zip_with(slice({stacked}, 1, ar_order), phi, (e, c) -> e * c), 0.0D, (s, v) -> s + v)")
-    return out.withColumn("innovation", F.col("regression") - past).drop("phi", "ar_order", *[f"_e{j}" for j in range(1, max_order + 1)])
-
-
-def forecast_arimax(future: DataFrame, resid: DataFrame, spec: SeriesSpec, terms: dict[str, Column], fit: DataFrame,
-                    h: int, max_order: int = 5) -> DataFrame:
-    """Regression mean plus the autoregressive continuation of the errors.
-
-    ``resid`` holds the regression residuals; only the last few are used.
-    """
-    last = resid.groupBy(*spec.by).agg(F.max(spec.t).alias("_last"))
-    tail = (resid.join(last, spec.by).where(F.col(spec.t) > F.col("_last") - max_order)
-                 .groupBy(*spec.by).agg(F.reverse(F.array_sort(F.collect_list(F.struct(spec.t, "regression"))))["regression"].alias("_e")))
-    path = F.expr(f"""aggregate(sequence(1, {h}), struct(_e AS e, CAST(array() AS array<double>) AS o),
-        (s, i) -> named_struct('e', concat(array(aggregate(zip_with(slice(s.e, 1, size(phi)), phi, (e, c) -> e * c), 0.0D, (u, v) -> u + v)), s.e),
-                         'o', concat(s.o, array(aggregate(zip_with(slice(s.e, 1, size(phi)), phi, (e, c) -> e * c), 0.0D, (u, v) -> u + v)))),
-        s -> s.o)""")
-    psi = F.expr(f"""aggregate(sequence(1, {h}), array(1.0D), (s, i) ->
-        concat(s, array(aggregate(zip_with(reverse(slice(s, greatest(1, i - size(phi) + 1), least(i, size(phi)))), slice(phi, 1, least(i, size(phi))), (a, c) -> a * c), 0.0D, (u, v) -> u + v))))""")
-    coefs = fit.select(*spec.by, "model", "beta", "phi", "sigma2").join(tail, spec.by)
-    coefs = coefs.withColumns({"_path": path, "_psi": psi})
-    base = future.withColumn("_x", _row_vector(terms)).join(coefs, spec.by)
-    var = F.expr("aggregate(slice(_psi, 1, h), 0.0D, (s, v) -> s + v * v)")
-    return base.select(*spec.by, "model", spec.index, spec.t, "h", (F.expr(_DOT) + F.element_at("_path", F.col("h"))).alias("mean"),
-                       F.sqrt(F.col("sigma2") * var).alias("sigma"))

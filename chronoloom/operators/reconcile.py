@@ -6,17 +6,10 @@ columns of ``by`` (model, period), ``mean`` and optionally ``sigma``.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.functions import pandas_udf
 
-from chronoloom.operators.blocks import cut_lineage
-from chronoloom.operators.hierarchy import (
-    Structure, aggregate_key, ancestors, at_level, flags, label_margins, node_id, structure_keys)
-
-DENSE_NODES = 1500  # largest node count whose dense matrices go through the driver
-PROBES = 200  # random errors behind the sigmas of larger hierarchies
+from chronoloom.operators import mint
+from chronoloom.operators.hierarchy import Structure, aggregate_key, at_level, flags, structure_keys
 
 
 def bottom_up(fc: DataFrame, structure: Structure, by: list[str]) -> DataFrame:
@@ -79,179 +72,24 @@ def middle_out(fc: DataFrame, structure: Structure, by: list[str], split: int =
     return aggregate_key(leaves, structure, by, [F.sum("mean").alias("mean")])
 
 
-def _node_table(fc: DataFrame, structure: Structure) -> list:
-    """Distinct nodes on the driver, after checking that they fit."""
-    keys = structure_keys(structure)
-    nodes = fc.select(*keys, *flags(structure)).distinct().withColumn("_node", node_id(structure))
-    rows = nodes.orderBy("_node").limit(DENSE_NODES + 1).collect()
-    return rows
-
-
-def summing_matrix(nodes: list, structure: Structure) -> np.ndarray:
-    keys = structure_keys(structure)
-    leaves = [r for r in nodes if not any(r[f"is_agg_{k}"] for k in keys)]
-    out = np.zeros((len(nodes), len(leaves)))
-    for i, node in enumerate(nodes):
-        for j, leaf in enumerate(leaves):
-            out[i, j] = all(node[f"is_agg_{k}"] or node[k] == leaf[k] for k in keys)
-    return out
-
-
-def _vectors(df: DataFrame, structure: Structure, nodes: list, by: list[str], cols: list[str]) -> DataFrame:
-    """One row per ``by`` with the node values as arrays in node order."""
-    n = len(nodes)
-    packed = (df.withColumn("_node", node_id(structure)).groupBy(*by)
-                .agg(F.array_sort(F.collect_list(F.struct("_node", *cols))).alias("_v")))
-    check = F.when(F.size("_v") == n, F.col("_v")).otherwise(
-        F.raise_error(F.lit("every node needs a value in every period")))
-    packed = packed.withColumn("_v", check)
-    return packed.select(*by, *[F.col(f"_v.{c}").alias(c) for c in cols])
-
-
-def shrunk_covariance(resid: DataFrame, structure: Structure, nodes: list, t: str) -> tuple[np.ndarray, float]:
-    """Shrunk covariance of one-step residuals; node count already checked.
-
-    Tasks reduce their periods to two node x node sums before anything moves.
-    """
-    n = len(nodes)
-    full = resid.where(F.col("resid").isNotNull()).withColumn("_node", node_id(structure)).groupBy(t).agg(
-        F.array_sort(F.collect_list(F.struct("_node", "resid"))).alias("_v"))
-    rows = full.where(F.size("_v") == n).select(F.col("_v.resid").alias("e"))
-
-    def partial(batches):
-        count, g, g2 = 0, np.zeros((n, n)), np.zeros((n, n))
-        for pdf in batches:
-            if len(pdf):
-                x = np.stack(pdf["e"].to_numpy())
-                count += len(x)
-                g += x.T @ x
-                g2 += (x * x).T @ (x * x)
-        if count:
-            yield pd.DataFrame({"c": [count], "g": [g.ravel()], "g2": [g2.ravel()]})
-
-    parts = rows.coalesce(8).mapInPandas(partial, "c long, g array<double>, g2 array<double>").collect()
-    count = sum(p["c"] for p in parts)
-    if count < 2:
-        raise ValueError("too few complete residual rows")
-    g = sum(np.array(p["g"]) for p in parts).reshape(n, n)
-    g2 = sum(np.array(p["g2"]) for p in parts).reshape(n, n)
-    cov = g / count
-    var = np.where(np.diag(cov) > 0, np.diag(cov), 1e-12)
-    scale = np.sqrt(np.outer(var, var))
-    corr = cov / scale
-    spread = (g2 / scale ** 2 - (g / scale) ** 2 / count) / (count * (count - 1))
-    off = ~np.eye(n, dtype=bool)
-    lam = float(np.clip(spread[off].sum() / max((corr[off] ** 2).sum(), 1e-300), 0.0, 1.0))
-    return lam * np.diag(var) + (1.0 - lam) * cov, lam
-
-
 def min_trace(fc: DataFrame, structure: Structure, by: list[str], method: str = "ols",
               resid: DataFrame | None = None, t: str = "t") -> DataFrame:
-    """Trace-minimising reconciliation.
-
-    Up to ``DENSE_NODES`` nodes the projection is one small matrix, applied to
-    each step's vector of node forecasts.  Larger hierarchies with ``ols`` use
-    conjugate gradients on joins and never form a matrix.
-    """
-    nodes = _node_table(fc, structure)
-    if len(nodes) > DENSE_NODES:
-        if method != "ols":
-            raise ValueError("mint_shrink needs a dense covariance; use ols for this many nodes")
-        out = min_trace_cg(fc.drop("sigma"), structure, by).withColumn("_node", node_id(structure))
-        if "sigma" in fc.columns:
-            out = out.join(_probed_sigma(fc, structure, by), [*by, "_node"])
-        return label_margins(out.drop("_node"), structure)
-    s = summing_matrix(nodes, structure)
-    n = len(nodes)
-    if method == "ols":
-        w, cor = np.eye(n), np.eye(n)
-    else:
-        w, _ = shrunk_covariance(resid, structure, nodes, t)
-        sd = np.sqrt(np.diag(w))
-        cor = w / np.outer(sd, sd)
-    winv_s = np.linalg.solve(w, s)
-    m = s @ np.linalg.solve(s.T @ winv_s, winv_s.T)
-    has_sigma = "sigma" in fc.columns
-
-    @pandas_udf("struct<mean:array<double>,sigma:array<double>>")
-    def project(mean: pd.Series, sigma: pd.Series) -> pd.DataFrame:
-        y = np.stack(mean.to_numpy()) @ m.T
-        sg = np.stack(sigma.to_numpy())
-        out = []
-        for row in sg:  # one step: diag(M C M') with C from the step's own sigmas
-            out.append(np.sqrt(np.maximum(((m * row) @ cor * (m * row)).sum(axis=1), 0.0)))
-        return pd.DataFrame({"mean": list(y), "sigma": out})
-
-    base = fc if has_sigma else fc.withColumn("sigma", F.lit(0.0))
-    vec = _vectors(base, structure, nodes, by, ["mean", "sigma"]).withColumn("_p", project("mean", "sigma"))
-    names = F.array(*[F.struct(*[F.lit(r[k]).alias(k) for k in structure_keys(structure)],
-                               *[F.lit(r[f]).alias(f) for f in flags(structure)]) for r in nodes])
-    out = vec.select(*by, F.posexplode(F.arrays_zip(F.col("_p.mean").alias("mean"), F.col("_p.sigma").alias("sigma"))).alias("_i", "_x"))
-    out = out.withColumn("_k", F.element_at(names, F.col("_i") + 1))
-    cols = [*structure_keys(structure), *flags(structure)]
-    return out.select(*by, *[F.col(f"_k.{c}").alias(c) for c in cols], F.col("_x.mean").alias("mean"),
-                      *([F.col("_x.sigma").alias("sigma")] if has_sigma else []))
-
-
-def min_trace_cg(fc: DataFrame, structure: Structure, by: list[str], steps: int = 60, tol: float = 1e-10) -> DataFrame:
-    """OLS reconciliation without matrices: solve S'S b = S'y for the leaves.
+    """Trace-minimising reconciliation: least squares (``ols``) or with the
+    shrunk covariance of one-step residuals (``mint_shrink``).
 
-    S b is the roll-up of leaf values and S'v the sum of each leaf's ancestors,
-    so both are grouped sums; one system per value of ``by``.  ``tol`` is
-    relative to the largest right-hand side.
+    One way for hierarchies of any size (``operators.mint``): no node table on
+    the driver, no matrix of nodes by nodes, sigmas exact.
     """
-    keys, fl = structure_keys(structure), flags(structure)
-
-    def down(nodes: DataFrame, col: str) -> DataFrame:
-        """Sum over the ancestors of each leaf."""
-        spread = ancestors(leaf_keys, structure).select(
-            *[F.col(k).alias(f"_l_{k}") for k in keys], *by, node_of("_n"))
-        right = nodes.select(*by, node_id(structure).alias("_node"), F.col(col).alias("_v"))
-        return (spread.join(right, [*by, "_node"]).groupBy(*[F.col(f"_l_{k}").alias(k) for k in keys], *by)
-                      .agg(F.sum("_v").alias(col)))
-
-    def node_of(name: str):
-        return F.concat_ws("|", *[
-            F.when(F.col(f"{name}.is_agg_{k}"), F.lit("*")).when(F.col(f"{name}.{k}").isNull(), F.lit("?"))
-             .otherwise(F.concat(F.lit("="), F.col(f"{name}.{k}").cast("string"))) for k in keys]).alias("_node")
-
-    def up(leaves: DataFrame, col: str) -> DataFrame:
-        return aggregate_key(leaves, structure, by, [F.sum(col).alias(col)])
-
-    leaf_keys = cut_lineage(at_level(fc, structure, keys).select(*keys, *by))
-    r = down(fc.select(*keys, *fl, *by, F.col("mean").alias("_r")), "_r")
-    state = cut_lineage(r.select(*keys, *by, F.lit(0.0).alias("_b"), "_r", F.col("_r").alias("_p")))
-    begin = state.groupBy(*by).agg(F.sum(F.col("_r") * F.col("_r")).alias("_rr")).agg(F.max("_rr")).first()[0] or 0.0
-    for _ in range(steps):
-        ap = down(up(state.select(*keys, *by, "_p"), "_p"), "_p").withColumnRenamed("_p", "_ap")
-        joined = state.join(ap, [*keys, *by])
-        sums = joined.groupBy(*by).agg(F.sum(F.col("_r") * F.col("_r")).alias("_rr"), F.sum(F.col("_p") * F.col("_ap")).alias("_pap"))
-        moved = joined.join(sums, by).withColumn("_a", F.coalesce(F.col("_rr") / F.nullif("_pap", F.lit(0.0)), F.lit(0.0)))
-        moved = cut_lineage(moved.select(*keys, *by, (F.col("_b") + F.col("_a") * F.col("_p")).alias("_b"),
-                                         (F.col("_r") - F.col("_a") * F.col("_ap")).alias("_r"), "_p", "_rr"))
-        new = moved.groupBy(*by).agg(F.sum(F.col("_r") * F.col("_r")).alias("_new"))
-        worst = new.agg(F.max("_new")).first()[0]
-        state = moved.join(new, by).select(
-            *keys, *by, "_b", "_r", (F.col("_r") + F.coalesce(F.col("_new") / F.nullif("_rr", F.lit(0.0)), F.lit(0.0)) * F.col("_p")).alias("_p"))
-        if worst is None or worst <= tol ** 2 * begin:
-            break
-    else:
-        raise RuntimeError(f"no convergence in {steps} steps; residual {worst ** 0.5:.3g}")
-    return up(state.select(*keys, *by, F.col("_b").alias("mean")), "mean")
-
+    if method not in ("ols", "mint_shrink"):
+        raise ValueError(method)
+    if method == "mint_shrink" and resid is None:
+        raise ValueError("mint_shrink needs residuals")
+    return mint.min_trace(fc, structure, by, resid if method == "mint_shrink" else None, t)
 
-def _probed_sigma(fc: DataFrame, structure: Structure, by: list[str], probes: int = 0) -> DataFrame:
-    """Sigma of every reconciled node: independent base errors, drawn by hash, go through the same reconciliation.
 
-    With R probes a sigma is off by about 1 / sqrt(2 R) of itself.
-    """
-    from chronoloom.functions.draws import normal
-    keys, fl = structure_keys(structure), flags(structure)
-    drawn = fc.withColumn("_probe", F.explode(F.sequence(F.lit(1), F.lit(probes or PROBES))))
-    error = normal(11, F.col("_probe"), node_id(structure), *[F.col(c) for c in by])
-    drawn = drawn.select(*keys, *fl, *by, "_probe", (F.coalesce("sigma", F.lit(0.0)) * error).alias("mean"))
-    out = min_trace_cg(drawn, structure, [*by, "_probe"], tol=1e-6)
-    return out.groupBy(*by, node_id(structure).alias("_node")).agg(F.sqrt(F.avg(F.col("mean") * F.col("mean"))).alias("sigma"))
+def min_trace_cg(fc: DataFrame, structure: Structure, by: list[str]) -> DataFrame:
+    """Least squares for the means alone."""
+    return min_trace(fc.drop("sigma"), structure, by)
 
 
 def reconcile(fc: DataFrame, methods: dict[str, DataFrame], by_model: str = "model") -> DataFrame:

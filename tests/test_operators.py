@@ -322,18 +322,6 @@ def test_reconciliations_are_coherent(spark):
     assert gap.where(F.abs(F.col("m1") - F.col("m2")) > 1e-8).count() == 0
 
 
-def test_large_hierarchies_keep_their_sigmas(spark, monkeypatch):
-    fc = hier(spark).where("t = 1").withColumn("sigma", 1.0 + F.abs(F.col("mean")) / 10).cache()
-    dense = rc.min_trace(fc, STRUCT, ["t"], "ols")
-    monkeypatch.setattr(rc, "DENSE_NODES", 0)
-    free = rc.min_trace(fc, STRUCT, ["t"], "ols")
-    assert sorted(free.columns) == sorted(dense.columns)
-    both = dense.join(free.withColumnsRenamed({"mean": "m2", "sigma": "s2"}), ["a", "b", "c", "t", *hy.flags(STRUCT)])
-    rows = both.collect()
-    assert len(rows) == fc.count()
-    assert all(abs(r["mean"] - r.m2) < 1e-6 and abs(r.s2 / r.sigma - 1) < 0.25 for r in rows)
-
-
 def test_real_null_keys_are_not_margins(spark):
     df = spark.createDataFrame([(None, 1, 2.0), ("x", 1, 3.0)], "k string, t long, y double")
     out = hy.aggregate_key(df, [["k"]], ["t"], [F.sum("y").alias("y")])
