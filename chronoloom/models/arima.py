@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
+from chronoloom.functions.calendar import horizon
 from chronoloom.operators.blocks import cut_lineage, lag_columns
 from chronoloom.operators.linalg import _solve, gram
 from chronoloom.operators.stats import centred
@@ -98,6 +99,18 @@ def _largest_inverse_root(coefs: dict[int, float]) -> float:
     return float(np.abs(np.roots(poly)).max()) if len(poly) > 1 else 0.0
 
 
+def _pull_in(terms: list[str], beta, limit: float = 1 / 1.001) -> list[float]:
+    """Coefficients whose inverse roots are at most ``limit``: c_k becomes c_k r^k, which moves all roots of a part by r."""
+    out = dict(zip(terms, map(float, beta)))
+    for prefix, sign in (("ar", 1.0), ("ma", -1.0)):
+        own = {k: int(k[2:]) for k in out if k.startswith(prefix)}
+        root = _largest_inverse_root({lag: sign * out[k] for k, lag in own.items()})
+        if root > limit:
+            for k, lag in own.items():
+                out[k] *= (limit / root) ** lag
+    return [out[k] for k in terms]
+
+
 def _levels(candidates: list[Order]) -> list[Order]:
     """Highest orders to search, from those of the candidates down to what short series allow."""
     top = Order(*[max(getattr(c, k) for c in candidates) for k in ("p", "q", "P", "Q")])
@@ -119,7 +132,8 @@ def fit_arima(df: DataFrame, spec: SeriesSpec, y: str, candidates: list[Order],
     """Fit every candidate to every series and keep the lowest AICc.
 
     ``d`` is a number or a frame (keys, d, big_d).  Candidates with a root on
-    or inside the unit circle are rejected.  All candidates of a series share
+    or inside the unit circle are rejected; where all of them are, the best one
+    is kept with its roots moved just outside.  All candidates of a series share
     one sample; where that would be less than three rows a coefficient of the
     largest one, the highest orders are left out for that series.
     """
@@ -177,6 +191,8 @@ def fit_arima(df: DataFrame, spec: SeriesSpec, y: str, candidates: list[Order],
                     best = (row.order, row.terms, row.beta, row.se, root, row.sigma2, row.loglik, row.aic, row.aicc, row.bic)
                 if root <= 1 / 1.001:
                     break
+            if best and best[4] > 1 / 1.001:  # nothing stable to choose from: as near as the circle allows
+                best = (*best[:2], _pull_in(best[1], best[2]), best[3], 1 / 1.001, *best[5:])
             out.append(best or (None,) * 10)
         return pd.DataFrame(out, columns=["order", "terms", "beta", "se", "root", "sigma2", "loglik", "aic", "aicc", "bic"])
 
@@ -231,7 +247,8 @@ def _project(terms: pd.Series, beta: pd.Series, d: pd.Series, big_d: pd.Series,
     return pd.DataFrame(rows, columns=["mean", "sigma"])
 
 
-def forecast_arima(fit: DataFrame, spec: SeriesSpec, h: int) -> DataFrame:
+def forecast_arima(fit: DataFrame, spec: SeriesSpec, h: int | str | None = None) -> DataFrame:
+    h = horizon(h, spec.unit, spec.period)
     step = pandas_udf(_project, "struct<mean:array<double>,sigma:array<double>>")
     out = fit.withColumn("_f", step("terms", "beta", "d", "big_d", "m", "sigma2", "w_tail", "e_tail", "y_tail", F.lit(h)))
     out = out.select(*spec.by, "model", "t_last", F.posexplode(F.arrays_zip(F.col("_f.mean").alias("mean"), F.col("_f.sigma").alias("sigma"))).alias("_i", "_x"))

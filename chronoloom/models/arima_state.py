@@ -199,23 +199,64 @@ def psi_sums(hole: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _one_way(rows: DataFrame, spec: SeriesSpec, fit: DataFrame, heads: DataFrame, backward: bool, block: int | None) -> DataFrame:
+def _scan(rows: DataFrame, spec: SeriesSpec, fit: DataFrame, backward: bool, block: int | None) -> tuple[DataFrame, DataFrame]:
+    """The whole state run over rows (keys, t, ``_v``), forwards or backwards: (keys, t, ``_to``) and the last states.
+
+    Values before the first known ones repeat these in mirrored order.
+    """
+    known = rows.where("_v IS NOT NULL")
+    m = int(round(spec.m))
+    reach = max([1, *lags_of(fit, "ar")]) + 2 + (m if m > 1 else 0)
+    edge = F.max(spec.t) if backward else F.min(spec.t)
+    far = F.abs(F.col(spec.t) - F.col("_edge"))
+    heads = known.join(known.groupBy(*spec.by).agg(edge.alias("_edge")), spec.by).where(far < reach).groupBy(*spec.by).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(far.alias("i"), "_v"))), lambda x: x["_v"]).alias("_head"))
+
     def system(terms: pd.Series, beta: pd.Series, d: pd.Series, big_d: pd.Series, m: pd.Series, head: pd.Series) -> pd.DataFrame:
         out = []
         for nm, b, di, bd, mi, first in zip(terms, beta, d, big_d, m, head):
-            known, gain, hole = state_form(nm, b, di, bd, mi, backward)
+            step, gain, hole = state_form(nm, b, di, bd, mi, backward)
             size = len(gain)
             p = size - 1 - max(max(_split(nm, b)[2], default=0), 1)
             x0 = np.zeros(size)
-            own = np.asarray(first, float)[:p]  # values before the first one repeat the first ones in mirrored order
+            own = np.asarray(first, float)[:p]
             x0[:len(own)], x0[len(own):p], x0[-1] = own, own[-1], 1.0
-            out.append((known.ravel(), gain, hole.ravel(), x0))
+            out.append((step.ravel(), gain, hole.ravel(), x0))
         return pd.DataFrame(out, columns=["A", "b", "hole", "x0"])
 
     systems = fit.join(heads, spec.by).select(*spec.by, pandas_udf(system, _SYSTEM)("terms", "beta", "d", "big_d", "m", "_head").alias("s")).select(*spec.by, "s.*")
     way = -F.col(spec.t) if backward else F.col(spec.t)
-    out, _ = affine_scan(rows.withColumn("_at", way.cast("long")), spec.by, "_at", "_v", systems, {"_to": 0}, [], block)
-    return out.select(*spec.by, (-F.col("_at") if backward else F.col("_at")).alias(spec.t), F.col("_to").alias("_back" if backward else "_forth"))
+    out, last = affine_scan(rows.withColumn("_at", way.cast("long")), spec.by, "_at", "_v", systems, {"_to": 0}, [], block)
+    return out.select(*spec.by, (-F.col("_at") if backward else F.col("_at")).alias(spec.t), "_to"), last
+
+
+def end_states(df: DataFrame, spec: SeriesSpec, y: str, fit: DataFrame, block: int | None = None) -> DataFrame:
+    """(keys, x): the state of ``state_form`` after the last row, with the innovations of ``innovations_of``.
+
+    Missing values have moved on by their forecasts.
+    """
+    rows = cut_lineage(df.select(*spec.by, spec.t, F.col(y).cast("double").alias("_v")))
+    values = _scan(rows, spec, fit, False, block)[0]
+    shocks = innovations_of(rows, spec, "_v", fit, block).select(*spec.by, spec.t, "_e")
+    m = int(round(spec.m))
+    reach = max([m, 1, *lags_of(fit, "ar"), *lags_of(fit, "ma")]) + m + 2  # all lags, and the differences
+    last = rows.groupBy(*spec.by).agg(F.max(spec.t).alias("_last"))
+    tail = values.join(last, spec.by).where(F.col(spec.t) > F.col("_last") - reach).join(shocks, [*spec.by, spec.t]).groupBy(*spec.by).agg(
+        F.reverse(F.array_sort(F.collect_list(F.struct(spec.t, "_to", F.coalesce("_e", F.lit(0.0)).alias("_e"))))).alias("_a"))
+
+    def assemble(terms: pd.Series, beta: pd.Series, d: pd.Series, big_d: pd.Series, m: pd.Series, to: pd.Series, e: pd.Series) -> pd.Series:
+        out = []
+        for nm, b, di, bd, mi, ys, es in zip(terms, beta, d, big_d, m, to, e):
+            size = len(state_form(nm, b, di, bd, mi)[1])
+            q = max(max(_split(nm, b)[2], default=0), 1)
+            p = size - 1 - q
+            x = np.zeros(size)
+            x[:min(p, len(ys))], x[p:p + min(q, len(es))], x[-1] = ys[:p], es[:q], 1.0
+            out.append(x.tolist())
+        return pd.Series(out)
+
+    return fit.join(tail, spec.by).select(*spec.by, pandas_udf(assemble, "array<double>")(
+        "terms", "beta", "d", "big_d", "m", F.col("_a._to"), F.col("_a._e")).alias("x"))
 
 
 def interpolate_arima(df: DataFrame, spec: SeriesSpec, y: str, fit: DataFrame, block: int | None = None) -> DataFrame:
@@ -228,18 +269,9 @@ def interpolate_arima(df: DataFrame, spec: SeriesSpec, y: str, fit: DataFrame, b
     """
     require_gapless(spec, "an ARIMA model")
     rows = cut_lineage(df.select(*spec.by, spec.t, F.col(y).cast("double").alias("_v")))
-    known = rows.where("_v IS NOT NULL")
-    m = int(round(spec.m))
-    reach = max([1, *lags_of(fit, "ar")]) + 2 + (m if m > 1 else 0)
-    ends = known.groupBy(*spec.by).agg(F.min(spec.t).alias("_first"), F.max(spec.t).alias("_last"))
-    near = known.join(ends, spec.by)
     out = rows
-    for backward in (False, True):
-        far = (F.col("_last") - F.col(spec.t)) if backward else (F.col(spec.t) - F.col("_first"))
-        heads = near.where(far < reach).groupBy(*spec.by).agg(
-            F.transform(F.array_sort(F.collect_list(F.struct(far.alias("i"), "_v"))), lambda x: x["_v"]).alias("_head"))
-        out = out.join(_one_way(rows, spec, fit, heads, backward, block), [*spec.by, spec.t], "left")
-    out = out.join(ends, spec.by, "left")
+    for backward, name in ((False, "_forth"), (True, "_back")):
+        out = out.join(_scan(rows, spec, fit, backward, block)[0].withColumnRenamed("_to", name), [*spec.by, spec.t], "left")
     # places in a gap: the known values on either side, found by running maxima over blocks
     edges = _edges(out, spec)
     inner = F.col("_v").isNull() & F.col("_i").isNotNull() & F.col("_j").isNotNull()

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from chronoloom.functions.calendar import horizon
 from chronoloom.operators.blocks import lag_columns
 from chronoloom.series import SeriesSpec, require_gapless
 
@@ -80,8 +81,9 @@ def point_and_sigma(h: Column, m: int) -> tuple[Column, Column]:
     return mean, F.sqrt(F.col("sigma2") * grow)
 
 
-def forecast_simple(fit: DataFrame, spec: SeriesSpec, h: int) -> DataFrame:
-    """Forecast table (keys, model, index, t, h, mean, sigma): no shuffle."""
+def forecast_simple(fit: DataFrame, spec: SeriesSpec, h: int | str | None = None) -> DataFrame:
+    """Forecast table (keys, model, index, t, h, mean, sigma): no shuffle.  ``h``: steps, "3 years", or None for two seasons."""
+    h = horizon(h, spec.unit, spec.period)
     out = fit.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(h))))
     mean, sigma = point_and_sigma(F.col("h"), int(round(spec.m)))
     t = (F.col("t_last") + F.col("h")).cast("long")

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
+from chronoloom.functions.calendar import horizon
 from chronoloom.operators.blocks import block_arrays, cut_lineage
 from chronoloom.series import SeriesSpec, require_gapless
 
@@ -325,9 +326,10 @@ def _path_sigma(h: int):
     return pandas_udf(sigma, "array<double>")
 
 
-def forecast_ets(fit: DataFrame, spec: SeriesSpec, h: int) -> DataFrame:
+def forecast_ets(fit: DataFrame, spec: SeriesSpec, h: int | str | None = None) -> DataFrame:
     """Point forecasts and sigmas from stored states: closed form for additive
     errors and seasons, simulated paths for the other forms."""
+    h = horizon(h, spec.unit, spec.period)
     name = F.coalesce(F.col("spec_name"), F.col("model")) if "spec_name" in fit.columns else F.col("model")
     plain = F.startswith(name, F.lit("ETS(A")) & ~F.endswith(name, F.lit(",M)"))
     drawn = _path_sigma(h)(name, "params", "state", "sigma2") if "model" in fit.columns else F.lit(None)

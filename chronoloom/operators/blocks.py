@@ -96,23 +96,33 @@ def running_sums(df: DataFrame, by: list[str], t: str, sums: dict[str, Column],
     return out.drop("_blk", *[f"{p}{n}" for n in sums for p in ("_v_", "_r_", "_o_")])
 
 
-def row_numbers(df: DataFrame, by: list[str], order: Column, bucket: Column, name: str = "rn",
+def row_numbers(df: DataFrame, by: list[str], order: Column, bucket: Column | None = None, name: str = "rn",
                 descending: bool = False) -> DataFrame:
-    """``row_number`` along ``order`` per key, counted bucket by bucket.
+    """``row_number`` along ``order`` per key, whatever the share of a key or a stretch of time.
 
-    ``bucket`` must grow with ``order`` (a coarser truncation of it).  Counts
-    per bucket are pre-aggregated and prefix-summed; only rows of one bucket
-    are sorted together.
+    Rows are range-partitioned by key and order, so a hot key spreads over as
+    many tasks as its rows fill.  Only the first key of a task can have begun
+    in earlier ones: what it needs to know is one row for each task.
+    ``bucket`` is not needed any more and kept for callers that pass it.
     """
-    base = df.withColumn("_b", bucket)
-    counts = base.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
-    b_order = F.desc("_b") if descending else F.asc("_b")
-    earlier = Window.partitionBy(*by).orderBy(b_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by, "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*by, "_b").orderBy(order.desc() if descending else order.asc())
-    return (base.join(offsets, [*by, "_b"])
-                .withColumn(name, (F.row_number().over(inside) + F.col("_off")).cast("long"))
-                .drop("_b", "_off"))
+    del bucket
+    way = order.desc() if descending else order.asc()
+    keys = [F.col(c) for c in by]
+    laid = cut_lineage(df.withColumn("_o", order).repartitionByRange(*keys, way).sortWithinPartitions(*keys, way))
+    at = F.monotonically_increasing_id()  # task number and place, fixed by the checkpoint
+    laid = laid.withColumn("_id", at).withColumn("_task", F.shiftright("_id", 33))
+    counts = laid.groupBy(*by, "_task").agg(F.count(F.lit(1)).alias("_n"))
+    # keys that lie in more than one task; one task holds at most one such key from before
+    split = counts.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_task", "_n"))).alias("_t")).where(F.size("_t") > 1)
+    split = split.select(*by, F.explode(F.transform("_t", lambda x, i: F.struct(x["_task"].alias("_task"), F.aggregate(
+        F.slice("_t", F.lit(1), i), F.lit(0).cast("long"), lambda s, v: s + v["_n"]).alias("_off")))).alias("_x"))
+    split = split.select(*[F.col(c).alias(f"_k_{c}") for c in by], F.col("_x._task").alias("_k_task"), F.col("_x._off").alias("_off")).where("_off > 0")
+    inside = Window.partitionBy(*by, "_task").orderBy("_id")
+    same = F.col("_task") == F.col("_k_task")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    out = laid.withColumn("_in", F.row_number().over(inside)).join(F.broadcast(split), same, "left")
+    return out.withColumn(name, (F.col("_in") + F.coalesce("_off", F.lit(0))).cast("long")).select(*[c for c in df.columns if c != name], name)
 
 
 def block_arrays(df: DataFrame, by: list[str], t: str, cols: list[str], block: int | None = None,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chronoloom.functions.calendar import partial_date, period_number, truncate
+from chronoloom.functions.calendar import horizon, partial_date, period_number, truncate
 from chronoloom.operators.blocks import BLOCK, lag_columns, row_numbers
 from chronoloom.series import SeriesSpec
 
@@ -77,8 +77,9 @@ def fill_gaps(df: DataFrame, spec: SeriesSpec, values: dict | None = None, full:
     return out.select(*spec.by, spec.index, spec.t, *measures), spec.with_(gapless=True)
 
 
-def new_data(df: DataFrame, spec: SeriesSpec, n: int) -> DataFrame:
-    """The next ``n`` index values of each key, with the step number ``h``."""
+def new_data(df: DataFrame, spec: SeriesSpec, n: int | str | None = None) -> DataFrame:
+    """The next ``n`` index values of each key, with the step number ``h``; ``n`` as in forecasts (steps, "2 weeks", None)."""
+    n = horizon(n, spec.unit, spec.period)
     last = df.groupBy(*spec.by).agg(F.max(spec.t).alias("_last"))
     out = last.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(n))))
     t = (F.col("_last") + F.col("h")).cast("long")

@@ -8,36 +8,50 @@ statistics (the usual "type 7").
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from chronoloom.operators.blocks import cut_lineage
 
 CUTS = 64
+#: Distinct values of a range that one task may sort.
+BUDGET = 1_000_000
 
 
 def group_quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float]) -> DataFrame:
-    """One row per group with a column per named probability."""
+    """One row per group with a column per named probability.
+
+    The ranges that hold the wanted ranks are cut again until none has more than
+    BUDGET distinct values, so the size of a group does not matter.
+    """
     whole = not by
     if whole:  # one group: a constant key keeps the plan the same
         df, by = df.withColumn("_all", F.lit(0)), ["_all"]
     counted = (df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v"))
                  .agg(F.count("*").alias("_c")))
-    cuts = counted.groupBy(*by).agg(
-        F.percentile_approx("_v", [i / CUTS for i in range(1, CUTS)], 1000).alias("_cuts"),
-        F.sum("_c").alias("_n"))
-    placed = counted.join(cuts, by)
-    # binary position of the value among the cut points
-    rank = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    placed = placed.withColumn("_r", rank)
-    ranges = placed.groupBy(*by, "_r").agg(F.sum("_c").alias("_rc"), F.max("_n").alias("_n"))
-    before = Window.partitionBy(*by).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.withColumn("_from", F.coalesce(F.sum("_rc").over(before), F.lit(0)))
-    # ranks (0-based) wanted in each range: floor and ceil of p * (n - 1)
+    sizes = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("_k"), F.sum("_c").alias("_n"))
+    active = counted.join(sizes.select(*by, "_n"), by).withColumns({"_path": F.lit(""), "_base": F.lit(0).cast("long")})
+    # ranks (0-based) wanted: floor and ceil of p * (n - 1)
     wanted = F.array(*[F.struct(F.lit(name).alias("name"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("pos"))
                        for name, p in probs.items()])
-    hit = F.filter(wanted, lambda q: (F.ceil(q["pos"]) >= F.col("_from"))
-                   & (F.floor(q["pos"]) < F.col("_from") + F.col("_rc")))
-    targets = ranges.withColumn("_q", hit).where(F.size("_q") > 0).select(*by, "_r", "_from", "_q")
-    inside = Window.partitionBy(*by, "_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    rows = placed.select(*by, "_r", "_v", "_c").join(targets, [*by, "_r"])
+    while True:
+        within = [*by, "_path"]
+        cuts = active.groupBy(*within).agg(F.percentile_approx("_v", [i / CUTS for i in range(1, CUTS)], 1000).alias("_cuts"))
+        # binary position of the value among the cut points
+        placed = active.join(cuts, within).withColumn("_r", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+        ranges = placed.groupBy(*within, "_r").agg(F.sum("_c").alias("_rc"), F.count(F.lit(1)).alias("_k"), F.max("_n").alias("_n"), F.max("_base").alias("_base"))
+        before = Window.partitionBy(*within).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+        ranges = ranges.withColumn("_from", F.col("_base") + F.coalesce(F.sum("_rc").over(before), F.lit(0)))
+        hit = F.filter(wanted, lambda q: (F.ceil(q["pos"]) >= F.col("_from"))
+                       & (F.floor(q["pos"]) < F.col("_from") + F.col("_rc")))
+        targets = ranges.withColumn("_q", hit).where(F.size("_q") > 0).select(*within, "_r", "_from", "_q", "_k")
+        rows = placed.select(*within, "_r", "_v", "_c", "_n").join(targets, [*within, "_r"])
+        if not sizes.where(F.col("_k") > BUDGET).take(1):  # a group within the budget needs no further cut
+            break
+        rows = cut_lineage(rows)
+        if not rows.where(F.col("_k") > BUDGET).take(1):
+            break
+        active = rows.select(*by, "_v", "_c", "_n", F.concat("_path", F.lit("/"), F.col("_r").cast("string")).alias("_path"), F.col("_from").alias("_base"))
+    inside = Window.partitionBy(*within, "_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_hi", F.col("_from") + F.sum("_c").over(inside)).withColumn("_lo", F.col("_hi") - F.col("_c"))
     rows = rows.withColumn("_one", F.explode("_q"))
     pos = F.col("_one.pos")

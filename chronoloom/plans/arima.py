@@ -50,7 +50,7 @@ def arima_forecast(spark, d):
 LONG = 6  # lags of the long autoregression of the fits that are checked in SQL
 
 
-def _arma11(df, spec):
+def arma11(df, spec):
     return ar.fit_arima(df, spec, "y", [ar.Order(1, 1, constant=False)], d=1, long_order=LONG)
 
 
@@ -62,7 +62,7 @@ _RES11 = _FIT11 + ",\n" + innovation_ctes("om")
 def arima_augment(spark, d):
     """One-step fitted values and innovations of ARIMA(1,1,1)."""
     df, spec = orders_monthly(spark, d)
-    return fitted.augment_arima(df, spec, "y", _arma11(df, spec)).drop("t")
+    return fitted.augment_arima(df, spec, "y", arma11(df, spec)).drop("t")
 
 
 @query("arima_ljung_box", _RES11 + ",\nre AS (SELECT priority, t, e FROM ar_e WHERE e IS NOT NULL),\n" + acf_cte("ac", "re", "priority", "e", 10) + f"""
@@ -71,7 +71,7 @@ SELECT priority, stat, greatest(0, {chi2_sql('stat', 8)}) AS pvalue FROM (
 def arima_ljung_box(spark, d):
     """White-noise test of the innovations, two coefficients taken off."""
     df, spec = orders_monthly(spark, d)
-    res = fitted.augment_arima(df, spec, "y", _arma11(df, spec)).where("resid IS NOT NULL")
+    res = fitted.augment_arima(df, spec, "y", arma11(df, spec)).where("resid IS NOT NULL")
     return st.portmanteau(st.acf(res, spec, "resid", 10), spec, 10, 2)
 
 
@@ -84,7 +84,7 @@ def arima_refit(spark, d):
     """Coefficients from training, innovations over all rows: errors of the test rows, and the next month's forecast."""
     df, spec = orders_monthly(spark, d)
     train, _ = split(df)
-    fit = _arma11(train, spec)
+    fit = arma11(train, spec)
     again = fitted.refit_arima(df, spec, "y", fit)
     e = F.when(F.col("month") >= F.lit(LAST_DAY).cast("date"), F.col("resid"))
     scores = fitted.augment_arima(df, spec, "y", fit).groupBy("priority").agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"))
@@ -99,7 +99,7 @@ JOIN ar_f USING (priority)""")
 def arima_fitted_h(spark, d):
     """Fitted values three steps ahead of ARIMA(1,1,1)."""
     df, spec = orders_monthly(spark, d)
-    return fitted.fitted_h(df, spec, "y", _arma11(df, spec), 3).drop("t")
+    return fitted.fitted_h(df, spec, "y", arma11(df, spec), 3).drop("t")
 
 
 @query("arima_tidy", _FIT11 + """
@@ -107,7 +107,7 @@ SELECT priority, 'arima' AS model, term, estimate, std_error, estimate / std_err
   SELECT priority, unnest(['ar1', 'ma1']) AS term, unnest([phi, theta]) AS estimate, unnest([sqrt(sbb / det * s2), sqrt(saa / det * s2)]) AS std_error FROM ar_f)""")
 def arima_tidy(spark, d):
     df, spec = orders_monthly(spark, d)
-    return fitted.tidy_arima(_arma11(df, spec), spec)
+    return fitted.tidy_arima(arma11(df, spec), spec)
 
 
 @query("arima_roots", _FIT11 + """
@@ -116,7 +116,7 @@ SELECT priority, 'arima' AS model, kind, CAST(1 AS INTEGER) AS number, re, 0.0::
 def arima_roots(spark, d):
     """Inverse roots of the autoregressive and the moving-average part."""
     df, spec = orders_monthly(spark, d)
-    return fitted.roots_arima(_arma11(df, spec), spec)
+    return fitted.roots_arima(arma11(df, spec), spec)
 
 
 @query("arima_glance", _FIT11 + """
@@ -125,7 +125,7 @@ SELECT priority, 'arima' AS model, '(1,1)(0,0)' AS "order", CAST(1 AS INTEGER) A
   n * ln(sse / n) + 6 + 3 * (ln(n) - 2) AS bic, greatest(abs(phi), abs(theta)) AS largest_inverse_root FROM ar_f""")
 def arima_glance(spark, d):
     df, spec = orders_monthly(spark, d)
-    return fitted.glance_arima(_arma11(df, spec), spec)
+    return fitted.glance_arima(arma11(df, spec), spec)
 
 
 @query("interpolate_arima", "WITH RECURSIVE " + EH + ",\n" + gap_sql("eh", "event_type", "hour"))

@@ -20,17 +20,17 @@ def arma11_ctes(src: str, lags: int) -> str:
     back = ", ".join(f"lag(x, {k}) OVER p AS x{k}" for k in range(1, lags + 1))
     sums = ", ".join(["sum(x * x)", *[f"coalesce(sum(x * x{k}), 0)" for k in range(1, lags + 1)]])
     toeplitz = "[" + ", ".join("[" + ", ".join([*[f"c[{abs(i - j) + 1}]" for j in range(lags)], f"c[{i + 2}]"]) + "]" for i in range(lags)) + "]"
-    fit = " - ".join(["x", *[f"s.x[{k}] * x{k}" for k in range(1, lags + 1)]])
+    fit = " - ".join(["l.x", *[f"s.x[{k}] * x{k}" for k in range(1, lags + 1)]])
     return f"""ar_w AS (SELECT priority, t, y - lag(y) OVER (PARTITION BY priority ORDER BY t) AS w FROM {src}),
 ar_x AS (SELECT priority, t, w, w - avg(w) OVER (PARTITION BY priority) AS x FROM ar_w WHERE w IS NOT NULL),
 ar_l AS (SELECT *, {back} FROM ar_x WINDOW p AS (PARTITION BY priority ORDER BY t)),
 ar_c AS (SELECT priority, [{sums}] AS c FROM ar_l GROUP BY priority),
 {solve_ctes("ar_s", "ar_c", "priority", toeplitz, lags)},
-ar_i AS (SELECT l.priority, t, w, {fit} AS e FROM (SELECT * FROM ar_l) l JOIN ar_s s USING (priority)),
+ar_i AS (SELECT l.priority, t, w, {fit} AS e FROM ar_l l JOIN ar_s s USING (priority)),
 ar_p AS (SELECT priority, w, lag(w) OVER p AS a, lag(e) OVER p AS b FROM ar_i WINDOW p AS (PARTITION BY priority ORDER BY t)),
 ar_g AS (SELECT priority, count(*) AS n, sum(a * a) AS saa, sum(a * b) AS sab, sum(b * b) AS sbb, sum(a * w) AS saw, sum(b * w) AS sbw, sum(w * w) AS sww
   FROM ar_p WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY priority),
-ar_f AS (SELECT *, sse / (n - 2) AS s2 FROM (SELECT *, sww - phi * saw - theta * sbw AS sse FROM (
+ar_f AS (SELECT * REPLACE (least(greatest(phi, -1 / 1.001), 1 / 1.001) AS phi, least(greatest(theta, -1 / 1.001), 1 / 1.001) AS theta), sse / (n - 2) AS s2 FROM (SELECT *, sww - phi * saw - theta * sbw AS sse FROM (
   SELECT *, saa * sbb - sab * sab AS det, (saw * sbb - sbw * sab) / (saa * sbb - sab * sab) AS phi, (sbw * saa - saw * sab) / (saa * sbb - sab * sab) AS theta FROM ar_g)))"""
 
 

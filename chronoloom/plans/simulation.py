@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chronoloom.models import paths as pt
 from chronoloom.models import smoothing as sm
 from chronoloom.models.simple import augment_simple, fit_simple
 from chronoloom.operators import decompose as dc
@@ -11,9 +12,13 @@ from chronoloom.operators import simulate as si
 from chronoloom.operators.accuracy import crps_sample
 from chronoloom.operators.blocks import cut_lineage
 from chronoloom.operators.forecast import sample_distribution, sum_distributions
-from chronoloom.plans.base import orders_monthly, split, with_ctes
+from chronoloom.operators.index import difference
+from chronoloom.plans.arima import LONG, arma11
+from chronoloom.plans.arima_sql import arma11_ctes, innovation_ctes
+from chronoloom.plans.base import OM, orders_monthly, split, with_ctes
 from chronoloom.plans.catalog import query
 from chronoloom.plans.simple import FCS_ALL, FIT, forecasts, whole
+from chronoloom.plans.smoothing import ALPHAS, ses_sql
 
 TIMES, H, SEED = 100, 12, 7
 
@@ -117,3 +122,50 @@ def bagging(spark, d):
     fc = sm.forecast_ets(sm.ets_auto(paths, spec, "sim"), spec, H)
     return fc.groupBy("priority", "month").agg(F.avg("mean").alias("mean"), F.min("mean").alias("lo"), F.max("mean").alias("hi"))
 
+
+
+_REPS, _AHEAD = 50, 6
+_UNIT = lambda side: f"(('0x' || substr(md5('{SEED}|{side}|' || priority || '|' || rep || '|' || h), 1, 8))::BIGINT + 0.5) / 4294967296.0"
+_COMBINED = "WITH RECURSIVE " + ",\n".join([OM, arma11_ctes("om", LONG), innovation_ctes("om"), ses_sql("om")]) + f""",
+zz AS (SELECT priority, rep, h, sqrt(-2 * ln({_UNIT("u")})) * cos(2 * pi() * {_UNIT("v")}) AS z FROM (SELECT DISTINCT priority FROM om),
+  (SELECT unnest(range(1, {_REPS + 1})) AS rep), (SELECT unnest(range(1, {_AHEAD + 1})) AS h)),
+en AS (SELECT priority, max_by(y, t) AS y, max_by(w, t) AS w, max_by(e, t) AS e FROM ar_e GROUP BY priority),
+pa AS (SELECT priority, rep, 0 AS h, en.y, en.w, en.e FROM en, (SELECT unnest(range(1, {_REPS + 1})) AS rep)
+  UNION ALL SELECT p.priority, p.rep, z.h, p.y + phi * p.w + theta * p.e + sqrt(s2) * z.z, phi * p.w + theta * p.e + sqrt(s2) * z.z, sqrt(s2) * z.z
+  FROM pa p JOIN zz z ON z.priority = p.priority AND z.rep = p.rep AND z.h = p.h + 1 JOIN ar_f f ON f.priority = p.priority),
+nn AS (SELECT priority, count(*) AS n FROM om GROUP BY priority),
+ps AS (SELECT b.priority, z.rep, z.h, b.b.l + sqrt(b.b.sse / (n - 1)) * (z.z + b.b.a * coalesce(sum(z.z) OVER (PARTITION BY z.priority, z.rep ORDER BY z.h
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS y FROM b JOIN zz z USING (priority) JOIN nn USING (priority)),
+ma AS (SELECT *, count(*) OVER w AS c, (sum(y) OVER w - 0.5 * first_value(y) OVER w - 0.5 * last_value(y) OVER w) / 12 AS tr FROM om
+  WINDOW w AS (PARTITION BY priority ORDER BY t ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)),
+sf AS (SELECT priority, t % 12 AS p, avg(y - tr) FILTER (c = 13) AS f FROM ma GROUP BY ALL),
+sn AS (SELECT priority, p, f - avg(f) OVER (PARTITION BY priority) AS s FROM sf),
+ad AS (SELECT om.priority, om.t, om.y - s AS a, om.y - s - lag(om.y - s) OVER (PARTITION BY om.priority ORDER BY om.t) AS d FROM om JOIN sn ON sn.priority = om.priority AND sn.p = om.t % 12),
+ae AS (SELECT priority, max(t) AS t1, max_by(a, t) AS a, sqrt(avg(d * d)) AS sd FROM ad GROUP BY priority),
+pd AS (SELECT ae.priority, z.rep, z.h, ae.a + sd * sum(z.z) OVER (PARTITION BY z.priority, z.rep ORDER BY z.h) + s AS y
+  FROM ae JOIN zz z USING (priority) JOIN sn ON sn.priority = ae.priority AND sn.p = (t1 + z.h) % 12),
+cm AS (SELECT priority, rep, h, avg(y) AS sim FROM (SELECT priority, rep, h, y FROM pa WHERE h > 0 UNION ALL SELECT * FROM ps UNION ALL SELECT * FROM pd) GROUP BY ALL)"""
+
+
+@query("combine_models", _COMBINED + """
+SELECT priority, CAST(h AS INTEGER) AS h, avg(sim) AS mean, stddev_pop(sim) AS sd FROM cm GROUP BY priority, h
+UNION ALL SELECT priority, 0, avg(s), stddev_pop(s) FROM (SELECT priority, rep, sum(sim) AS s FROM cm GROUP BY ALL) GROUP BY priority""")
+def combine_models(spark, d):
+    """Mean of ARIMA(1,1,1), simple smoothing and a decomposition forecast, path by path; step 0 is the sum over the horizon."""
+    df, spec = orders_monthly(spark, d)
+    zero, one = F.lit(0.0), F.lit(1.0)
+    arima = pt.arima_form(df, spec, "y", arma11(df, spec))
+    ses = sm.ses_grid(df, spec, "y", ALPHAS).select("priority", "t_last", F.array("alpha", zero, zero, one).alias("params"),
+                                                    F.array("level", zero, zero, zero, zero).alias("state"), (F.col("sse") / (F.col("n") - 1)).alias("sigma2"))
+    dcmp = dc.classical(df, spec, "y")
+    steps = difference(dcmp, spec, "season_adjust", "_d")
+    walk = steps.groupBy("priority").agg(F.max("t").alias("t_last"), F.max_by("season_adjust", "t").alias("a"), F.avg(F.col("_d") * F.col("_d")).alias("sigma2"))
+    walk = walk.select("priority", "t_last", F.array(one, zero, zero, one).alias("params"), F.array("a", zero, zero, zero, zero).alias("state"), "sigma2")
+    tail = dcmp.join(walk.select("priority", "t_last"), "priority").where(F.col("t") > F.col("t_last") - 12)
+    cycle = tail.groupBy("priority").agg(F.transform(F.array_sort(F.collect_list(F.struct("t", "season"))), lambda x: x["season"]).alias("cycle"))
+    forms = arima.unionByName(pt.ets_form(ses, spec, "ses")).unionByName(pt.with_season(pt.ets_form(walk, spec), spec, cycle, "decomposition"))
+    sims = cut_lineage(pt.combine(pt.paths(forms, spec, _REPS, _AHEAD, SEED), spec))
+    step = sims.groupBy("priority", "h").agg(F.avg("sim").alias("mean"), F.stddev_pop("sim").alias("sd"))
+    total = sims.groupBy("priority", "rep").agg(F.sum("sim").alias("s")).groupBy("priority").agg(
+        F.lit(0).alias("h"), F.avg("s").alias("mean"), F.stddev_pop("s").alias("sd"))
+    return step.unionByName(total)

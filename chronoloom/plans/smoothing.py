@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chronoloom.models import ets_components as parts
 from chronoloom.models import smoothing as sm
 from chronoloom.operators.crossval import summarise_errors
 from chronoloom.operators.index import stretch
@@ -15,14 +16,14 @@ HOLT = [(a, b, 1.0) for a in (0.1, 0.3, 0.5, 0.7, 0.9) for b in (0.05, 0.1, 0.2)
 DAMPED = [(a, b, p) for a in (0.1, 0.5, 0.9) for b in (0.05, 0.2) for p in (0.8, 0.9, 0.98)]
 
 
-def _ses_sql(src, last=True):
+def ses_sql(src, last=True):
     return f"""i AS (SELECT *, row_number() OVER (PARTITION BY priority ORDER BY t) AS i, count(*) OVER (PARTITION BY priority) AS n FROM {src}),
 r AS (SELECT priority, a, CAST(0 AS BIGINT) AS i, n, y AS l, 0.0::DOUBLE AS sse FROM i, (SELECT unnest({ALPHAS}::DOUBLE[]) AS a) WHERE i = 1
   UNION ALL SELECT r.priority, a, i.i, r.n, l + a * (y - l), sse + (y - l) * (y - l) FROM r JOIN i ON r.priority = i.priority AND i.i = r.i + 1),
 b AS (SELECT priority, arg_min({{'a': a, 'l': l, 'sse': sse}}, sse) AS b FROM r WHERE i = n GROUP BY priority)"""
 
 
-@query("ses", "WITH RECURSIVE " + OM + ",\n" + _ses_sql("om") + "\nSELECT priority, b.a AS alpha, b.l AS level, b.sse AS sse FROM b")
+@query("ses", "WITH RECURSIVE " + OM + ",\n" + ses_sql("om") + "\nSELECT priority, b.a AS alpha, b.l AS level, b.sse AS sse FROM b")
 def ses(spark, d):
     df, spec = orders_monthly(spark, d)
     return sm.ses_grid(df, spec, "y", ALPHAS).select("priority", "alpha", "level", "sse")
@@ -96,7 +97,7 @@ def croston(spark, d):
 _SES_PATH = f"""tr AS (SELECT * FROM om WHERE month < DATE '{LAST_DAY}')"""
 
 
-@query("refit", "WITH RECURSIVE " + OM + ",\n" + _SES_PATH + ",\n" + _ses_sql("tr") + f""",
+@query("refit", "WITH RECURSIVE " + OM + ",\n" + _SES_PATH + ",\n" + ses_sql("tr") + f""",
 te AS (SELECT *, row_number() OVER (PARTITION BY priority ORDER BY t) AS i FROM om WHERE month >= DATE '{LAST_DAY}'),
 q AS (SELECT te.priority, te.i, te.y, b.b.a AS a, b.b.l AS f FROM te JOIN b USING (priority) WHERE te.i = 1
   UNION ALL SELECT q.priority, te.i, te.y, a, f + a * (q.y - f) FROM q JOIN te ON q.priority = te.priority AND te.i = q.i + 1)
@@ -159,3 +160,52 @@ def cross_validate_ets(spark, d):
         e = fc.join(q.select("priority", "t", "y"), ["priority", "t"]).select(F.lit(name).alias("model"), "y", (F.col("y") - F.col("mean")).alias("error"))
         out = e if out is None else out.unionByName(e)
     return summarise_errors(out, ["model"])
+
+
+@query("components_ets", _holt_sql(HOLT).rsplit("SELECT priority, x.a", 1)[0].rstrip() + """,
+q AS (SELECT i.priority, i.i, i.t, i.month, i.y, x.a AS ca, x.b AS cb, y AS l, 0.0::DOUBLE AS b, 0.0::DOUBLE AS e FROM i JOIN g USING (priority) WHERE i.i = 1
+  UNION ALL SELECT q.priority, i.i, i.t, i.month, i.y, ca, cb, l + b + ca * (i.y - l - b), b + cb * (i.y - l - b), i.y - l - b
+  FROM q JOIN i ON i.priority = q.priority AND i.i = q.i + 1)
+SELECT priority, month, y, l AS level, b AS slope, 0.0::DOUBLE AS season, e AS remainder FROM q""")
+def components_ets(spark, d):
+    """Level, slope and one-step error of Holt's method with the parameters of the grid."""
+    df, spec = orders_monthly(spark, d)
+    first = df.groupBy("priority").agg(F.min_by("y", "t").alias("y0"))
+    zero = F.lit(0.0)
+    fit = sm.trend_grid(df, spec, "y", HOLT).join(first, "priority").select(
+        "priority", F.lit("ETS(A,A,N)").alias("model"), F.array("alpha", "beta", zero, F.lit(1.0)).alias("params"), F.array("y0", zero, zero, zero, zero).alias("start"))
+    return parts.components(df, spec, "y", fit).drop("t")
+
+
+@query("components_holt_winters", "WITH RECURSIVE " + OM + """,
+i AS (SELECT *, row_number() OVER (PARTITION BY priority ORDER BY t) AS i, count(*) OVER (PARTITION BY priority) AS n FROM om),
+hd AS (SELECT priority, y, (i - 1) // 12 AS c, (i - 1) % 12 AS j FROM i WHERE i <= 12 * least(n // 12, 5)),
+mc AS (SELECT priority, c, avg(y) AS m FROM hd GROUP BY ALL),
+sl AS (SELECT priority, max(c) AS c1, min_by(m, c) AS m0, (max_by(m, c) - min_by(m, c)) / (12 * max(c)) AS b FROM mc GROUP BY priority),
+sj AS (SELECT hd.priority, j, avg(y - m - b * (j - 5.5)) AS s FROM hd JOIN mc USING (priority, c) JOIN sl ON sl.priority = hd.priority GROUP BY ALL),
+st AS (SELECT priority, any_value(m0 - b * 6.5) AS l, any_value(b) AS b, list(s - a ORDER BY j) AS s FROM
+  (SELECT *, avg(s) OVER (PARTITION BY priority) AS a FROM sj JOIN sl USING (priority)) GROUP BY priority),
+r AS (SELECT priority, 0 AS i, NULL::DATE AS month, NULL::DOUBLE AS y, l, b, s, 0.0::DOUBLE AS e FROM st
+  UNION ALL SELECT priority, i, month, y, mu - s1 + 0.3::DOUBLE * e, b + 0.05::DOUBLE * e, list_append(s[2:12], s1 + 0.2::DOUBLE * e), e FROM (
+    SELECT r.priority, i.i, i.month, i.y, r.b, r.s, r.s[1] AS s1, r.l + r.b + r.s[1] AS mu, i.y - r.l - r.b - r.s[1] AS e FROM r JOIN i ON i.priority = r.priority AND i.i = r.i + 1))
+SELECT priority, month, y, l AS level, b AS slope, s[12] AS season, e AS remainder FROM r WHERE i > 0""")
+def components_holt_winters(spark, d):
+    """Components of the additive seasonal form with given parameters."""
+    df, spec = orders_monthly(spark, d)
+    fit = parts.given_parameters(df, spec, "y", sm.Ets("A", "A", "A"), 0.3, 0.05, 0.2)
+    return parts.components(df, spec, "y", fit).drop("t")
+
+
+@query("forecast_horizon", with_ctes(OM, body="""SELECT f.priority, asked, h, f.month, model, CASE model WHEN 'naive' THEN y1 WHEN 'drift' THEN y1 + h * slope ELSE s.y END AS mean FROM (
+  SELECT *, make_date((t1 + h) // 12, (t1 + h) % 12 + 1, 1) AS month, t1 - 11 + (h - 1) % 12 AS ts FROM (
+    SELECT priority, max(t) AS t1, max_by(y, t) AS y1, (max_by(y, t) - min_by(y, t)) / (count(*) - 1) AS slope FROM om GROUP BY priority),
+    (SELECT '3 years' AS asked, CAST(unnest(range(1, 37)) AS INTEGER) AS h UNION ALL SELECT 'default', CAST(unnest(range(1, 25)) AS INTEGER)),
+    (SELECT unnest(['naive', 'drift', 'snaive']) AS model)) f JOIN om s ON s.priority = f.priority AND s.t = f.ts"""))
+def forecast_horizon(spark, d):
+    """Forecasts for "3 years", and for the default of two seasons."""
+    from chronoloom.models.simple import fit_simple, forecast_simple
+    df, spec = orders_monthly(spark, d)
+    fit = fit_simple(df, spec, "y", {k: k for k in ("naive", "drift", "snaive")})
+    both = forecast_simple(fit, spec, "3 years").withColumn("asked", F.lit("3 years")).unionByName(
+        forecast_simple(fit, spec).withColumn("asked", F.lit("default")))
+    return both.select("priority", "asked", "h", "month", "model", "mean")
