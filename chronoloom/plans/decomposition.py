@@ -168,3 +168,22 @@ def interpolate(spark, d):
 def clean_outliers(spark, d):
     df, spec = ship_daily(spark, d)
     return dc.clean_outliers(df, spec, "y")
+
+
+@query("decomposition_forecast_log", with_ctes(OM, """ly AS (SELECT priority, t, ln(y) AS y FROM om)""",
+    """ma AS (SELECT *, count(*) OVER w AS c, (sum(y) OVER w - 0.5 * first_value(y) OVER w - 0.5 * last_value(y) OVER w) / 12 AS tr FROM ly
+  WINDOW w AS (PARTITION BY priority ORDER BY t ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING))""",
+    "sf AS (SELECT priority, t % 12 AS p, avg(y - tr) FILTER (c = 13) AS f FROM ma GROUP BY ALL)",
+    "sn AS (SELECT priority, p, f - avg(f) OVER (PARTITION BY priority) AS s FROM sf)",
+    "ad AS (SELECT ly.priority, ly.t, y - s AS a FROM ly JOIN sn ON sn.priority = ly.priority AND sn.p = ly.t % 12)",
+    "en AS (SELECT priority, max(t) AS t1, max_by(a, t) AS a1, (max_by(a, t) - min_by(a, t)) / (count(*) - 1) AS b FROM ad GROUP BY priority)",
+    body="""SELECT en.priority, make_date((t1 + h) // 12, (t1 + h) % 12 + 1, 1) AS month, h, exp(a1 + h * b + s) AS median
+  FROM en, (SELECT CAST(unnest(range(1, 13)) AS INTEGER) AS h) JOIN sn ON sn.p = (t1 + h) % 12 AND sn.priority = en.priority"""))
+def decomposition_forecast_log(spark, d):
+    """Logarithms decomposed; drift on the adjusted series, the last cycle again on top, back on the scale of the data."""
+    from chronoloom.functions.transforms import box_cox_transform
+    from chronoloom.models.decomposition import decomposition_forecast as compose, plain, seasonal
+    df, spec = orders_monthly(spark, d)
+    dcmp = dc.classical(df.withColumn("y", F.log("y")), spec, "y")
+    out = compose(dcmp, spec, 12, {"season_adjust": plain("drift"), "season": seasonal(12)}, transform=box_cox_transform(0))
+    return out.select("priority", "month", "h", "median")

@@ -82,3 +82,25 @@ def test_horizons(spark):
     spec = SPEC.with_(unit="quarter", index="idx")
     assert forecast_simple(fit, spec, "2 years").count() == 8 and forecast_simple(fit, spec).count() == 8 and forecast_simple(fit, spec, 3).count() == 3
     assert forecast_arima(fits(spark).limit(0).withColumns({"t_last": F.lit(1), "w_tail": F.array(F.lit(1.0)), "e_tail": F.array(F.lit(1.0)), "y_tail": F.array(F.lit(1.0))}), spec).count() == 0
+
+
+def test_decomposition_forecasts_compose(spark):
+    """Two seasons and smoothing: means add up, and so do the variances that are asked for."""
+    from chronoloom.models.decomposition import decomposition_forecast, plain, seasonal, smoothing
+    n = np.arange(48)
+    df = frame(spark, {"a": noisy(48), "b": noisy(48, seed=2)}).withColumns({
+        "s4": F.element_at(F.array(*map(F.lit, (1.0, 2.0, 3.0, -6.0))), F.pmod("t", F.lit(4)).cast("int") + 1),
+        "s6": F.element_at(F.array(*map(F.lit, (0.5, 0.1, 0.0, -0.1, -0.2, -0.3))), F.pmod("t", F.lit(6)).cast("int") + 1)})
+    df = df.withColumn("adj", F.col("y") - F.col("s4") - F.col("s6")).cache()
+    specs = [sm.Ets(), sm.Ets("A", "A")]
+    out = {(r.key, r.h): r for r in decomposition_forecast(df, SPEC, 12, {"adj": smoothing(*specs), "s4": seasonal(4), "s6": seasonal(6)}).collect()}
+    own = {(r.key, r.h): r for r in sm.forecast_ets(sm.fit_ets(df, SPEC, "adj", specs, m=1), SPEC, 12).collect()}
+    last = {(r.key, r.t): (r.s4, r.s6) for r in df.collect()}
+    assert len(out) == 24
+    for (k, h), r in out.items():
+        want = own[k, h]["mean"] + last[k, 48 - 3 + (h - 1) % 4][0] + last[k, 48 - 5 + (h - 1) % 6][1]
+        assert np.isclose(r["mean"], want) and np.isclose(r.sigma, own[k, h].sigma)
+    wide = decomposition_forecast(df, SPEC, 3, {"adj": plain("naive"), "y": seasonal(4)}, season_sigma=True).where("h = 1 AND key = 'a'").first()
+    one = {m: forecast_simple(fit_simple(df, SPEC, c, {m: m}), SPEC, 1).where("key = 'a'").first().sigma for m, c in (("naive", "adj"), ("snaive", "y"))}
+    assert np.isclose(wide.sigma ** 2, one["naive"] ** 2 + one["snaive"] ** 2)
+    assert decomposition_forecast(df.limit(0), SPEC, 3, {"adj": plain("naive")}).count() == 0
