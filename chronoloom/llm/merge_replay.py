@@ -14,6 +14,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,10 @@ from chronoloom.llm.common import slices
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Texts fall into blanks and runs of other characters, each with the blank before it; words lie within these.
 CHUNK = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
-#: Distinct chunks remembered by one Python worker.
-REMEMBERED = 400_000
+#: Distinct chunks remembered by one Python worker, and how many a step may add before they are encoded.
+REMEMBERED, FRESH = 250_000, 100_000
+#: Bytes of text in a slice, bytes of words replayed at a time, and characters of a text that are numbered at a time.
+SLICE, REPLAYED, NUMBERED = 2 << 20, 1 << 20, 1 << 19
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -269,28 +272,66 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.chunks, self.flat, self.ends = _Chunks(), np.empty(0, np.uint32), np.empty(0, np.int64)
+        self.chunks, self.flat, self.ends, self.seen = _Chunks(), np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _forget_rare(self) -> None:
+        """Keep the half of the chunks that came up most."""
+        keep = np.sort(np.argsort(-self.seen, kind="stable")[:REMEMBERED // 2])
+        names = list(self.chunks)
+        self.chunks = _Chunks((names[i], n) for n, i in enumerate(keep.tolist()))
+        self.flat, self.ends, self.seen = gather(self.flat, self.ends, keep), np.cumsum(np.diff(self.ends, prepend=0)[keep]), self.seen[keep]
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Encode new chunks: their distinct words replay together, about REPLAYED bytes at a time."""
+        words: dict[bytes, int] = {}
+        cut, sizes, held = [], [], 0
+
+        def settle():
+            nonlocal words, cut, sizes, held
+            flat, ends = replay_many(list(words), self.ranks, self.pairs)
+            own = np.array(cut, np.int64)
+            length = np.append(0, np.cumsum(np.diff(ends, prepend=0)[own]))[np.cumsum(sizes)]
+            base = self.ends[-1] if len(self.ends) else 0
+            self.flat, self.ends = np.concatenate([self.flat, gather(flat, ends, own)]), np.concatenate([self.ends, base + length])
+            words, cut, sizes, held = {}, [], [], 0
+
+        for c in chunks:
+            own = [words.setdefault(w.encode("utf-8", "surrogatepass"), len(words)) for w in self.pattern.findall(c)]
+            cut += own
+            sizes.append(len(own))
+            held += len(c)
+            if held >= REPLAYED:
+                settle()
+        if sizes:
+            settle()
+
+    def _settle(self, pending: list[tuple[int, np.ndarray]], out: list[list[np.ndarray]]) -> None:
+        known = len(self.ends)
+        if len(self.chunks) > known:
+            self._learn(list(self.chunks)[known:])
+            self.seen = np.append(self.seen, np.zeros(len(self.chunks) - known, np.int64))
+        for doc, numbers in pending:
+            out[doc].append(gather(self.flat, self.ends, numbers))
+            self.seen += np.bincount(numbers, minlength=len(self.seen))
+        pending.clear()
+        if len(self.chunks) > REMEMBERED:
+            self._forget_rare()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.chunks) > REMEMBERED:
-            self.forget()
-        old = len(self.chunks)
-        number = self.chunks.__getitem__
-        docs = [np.fromiter(map(number, CHUNK.findall(t)), np.int64) for t in texts]
-        if len(self.chunks) > old:
-            words: dict[bytes, int] = {}
-            cut, sizes = [], []
-            for c in list(self.chunks)[old:]:
-                own = [words.setdefault(w.encode("utf-8", "surrogatepass"), len(words)) for w in self.pattern.findall(c)]
-                cut += own
-                sizes.append(len(own))
-            flat, ends = replay_many(list(words), self.ranks, self.pairs)
-            cut_ = np.array(cut, np.int64)
-            length = np.append(0, np.cumsum(np.diff(ends, prepend=0)[cut_]))[np.cumsum(sizes)]
-            base = self.ends[-1] if old else 0
-            self.flat = np.concatenate([self.flat, gather(flat, ends, cut_)])
-            self.ends = np.concatenate([self.ends, base + length])
-        return [gather(self.flat, self.ends, d) for d in docs]
+        """Ids of each text.  The table of chunks is looked at while texts are numbered, so it stays bounded within a text, too."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        pending: list[tuple[int, np.ndarray]] = []
+        for doc, text in enumerate(texts):
+            found = iter(CHUNK.findall(text)) if len(text) <= NUMBERED else (m.group() for m in CHUNK.finditer(text))
+            while True:
+                numbers = np.fromiter(map(self.chunks.__getitem__, islice(found, FRESH)), np.int32)
+                if not len(numbers):
+                    break
+                pending.append((doc, numbers))
+                if len(self.chunks) - len(self.ends) > FRESH:
+                    self._settle(pending, out)
+        self._settle(pending, out)
+        return [np.concatenate(o) if len(o) > 1 else o[0] if o else np.empty(0, np.uint32) for o in out]
 
     def decode(self, ids: np.ndarray) -> bytes:
         table = self.bytes_of
@@ -314,12 +355,13 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
 
     The digests are over the ids as little-endian unsigned 32-bit integers and
     over the decoded bytes.  Null and empty texts have no tokens.  Rows are
-    independent: repeated rows give repeated results, an empty table none.
+    independent: repeated rows give repeated results, an empty table none.  A very
+    long text is numbered in steps, so beside its own ids a worker holds no more than for short ones.
     ``ranks_path`` must exist on every executor.
     """
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks_path, pattern)
-        for part in slices(parts, "text", 16 << 20):
+        for part in slices(parts, "text", SLICE):
             ids = enc.encode([t or "" for t in part.column("text").to_pylist()])
             cols = [part.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
                     pa.array([hashlib.sha256(x.astype("<u4", copy=False)).hexdigest() for x in ids]),

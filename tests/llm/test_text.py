@@ -142,3 +142,30 @@ def test_pages_table(spark):
     out = page_text.extracted(df).collect()
     assert len(out) == 4 and all(r.n_chars == len(r.text) for r in out)
     assert page_text.extracted(df.limit(0)).count() == 0
+
+
+def test_distinct_runs_stay_bounded(bpe):
+    """A text of a million different runs, in one piece and cut over texts: right ids, and a small table."""
+    import subprocess
+    import sys
+    code = """
+import resource, sys
+sys.path.insert(0, %r)
+import numpy as np, public_tokenizers as v
+from chronoloom.llm import merge_replay
+enc = merge_replay.Encoder(merge_replay.load_ranks(v.path("byte_bpe_multi_50k.tiktoken")), v.PATTERN)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+rng = np.random.default_rng(1)
+text = " ".join("".join(map(chr, w)) for w in rng.integers(97, 123, (1_300_000, 8)).tolist())
+enc.encode([text[i:i + 100_000] for i in range(0, 3_000_000, 100_000)])
+n = len(enc.encode([text])[0])
+assert len(enc.chunks) <= merge_replay.REMEMBERED + merge_replay.FRESH
+print(n, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    n, more = map(int, subprocess.run([sys.executable, "-c", code % root], capture_output=True, text=True, check=True, timeout=300).stdout.split())
+    rng = np.random.default_rng(1)
+    text = " ".join("".join(map(chr, w)) for w in rng.integers(97, 123, (1_300_000, 8)).tolist())
+    assert n == len(bpe[1].encode_ordinary(text))
+    assert more < 600  # MB, the text's own million Python strings while it is made among them
