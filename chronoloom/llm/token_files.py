@@ -19,6 +19,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from chronoloom.llm.common import scratch_folder, slices
@@ -54,10 +55,12 @@ class ChunkEncoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        bytes_ = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {c: bytes_.pre_tokenize_str(chr(c))[0][0] for c in range(0xc0, 0x100)}
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        for token, i in vocab.items():
+            self.ends_word[i] = token.endswith("</w>")
         self.forget()
 
     def forget(self) -> None:
@@ -70,21 +73,29 @@ class ChunkEncoder:
         self.chunks = _Chunks((names[i], n) for n, i in enumerate(keep.tolist()))
         self.flat, self.ends, self.seen = gather(self.flat, self.ends, keep), np.cumsum(np.diff(self.ends, prepend=0)[keep]), self.seen[keep]
 
-    def _ids(self, words: list[bytes]) -> list[list[int]]:
-        """Latin words go to the tokenizer's model, as its own first steps would hand them on; others through all steps."""
-        ids: list[list[int]] = [[]] * len(words)
-        model, latin, rest = self.tokenizer.model.tokenize, self.LATIN.fullmatch, []
-        for i, w in enumerate(words):
-            text = w.decode("utf-8", "surrogatepass")
-            if latin(text):
-                ids[i] = [t.id for t in model(text.lower().translate(self.letters))]
-            else:
-                rest.append((i, text))
+    def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one after the other, and the size of each.
+
+        Latin words go to the tokenizer many at a time, with a blank between
+        them: each ends with a token that ends a word.
+        """
+        texts = [w.decode("utf-8", "surrogatepass") for w in words]
+        latin = np.fromiter((self.LATIN.fullmatch(t) is not None for t in texts), bool, len(texts))
+        plain, rest = np.flatnonzero(latin), np.flatnonzero(~latin)
+        batch = self.tokenizer.encode_batch_fast
+        joined = [" ".join([texts[i] for i in plain[a:a + self.CALL].tolist()]) for a in range(0, len(plain), self.CALL)]
+        flat = [np.array(e.ids, np.uint32) for e in batch(joined, add_special_tokens=False)] if joined else []
+        head = np.concatenate(flat) if flat else np.empty(0, np.uint32)
+        ends = np.flatnonzero(self.ends_word[head]) + 1
+        if len(ends) != len(plain):
+            raise ValueError("the tokenizer does not end its words with </w>")
+        ids: list[list[int]] = []
         for a in range(0, len(rest), self.CALL):
-            part = rest[a:a + self.CALL]
-            for (i, _), e in zip(part, self.tokenizer.encode_batch_fast([t for _, t in part], add_special_tokens=False)):
-                ids[i] = e.ids
-        return ids
+            ids += [e.ids for e in batch([texts[i] for i in rest[a:a + self.CALL].tolist()], add_special_tokens=False)]
+        size = np.append(np.diff(ends, prepend=0), np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat = np.append(head, np.fromiter(chain.from_iterable(ids), np.uint32, sum(map(len, ids))))
+        order = np.argsort(np.append(plain, rest))
+        return gather(flat, np.cumsum(size), order), size[order]
 
     def _fresh(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and sizes of new chunks: heads and the marks behind them are encoded apart."""
@@ -95,14 +106,13 @@ class ChunkEncoder:
                 pairs.append((words[head], words[c[len(head):]]))
             else:
                 pairs.append((words[c], -1))
-        ids = self._ids(list(words))
-        size = np.append(np.fromiter(map(len, ids), np.int64, len(ids)), 0)
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        flat, size = self._ids(list(words))
+        size = np.append(size, 0)
         both = np.array(pairs, np.int64).reshape(-1, 2)
         index = both.ravel()
         return gather(flat, np.cumsum(size[:-1]), index[index >= 0]), size[both].sum(axis=1)
 
-    def encode(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the end of each text; ``end`` is appended to each text."""
         if len(self.chunks) > REMEMBERED:
             self.forget_rare()
@@ -111,22 +121,25 @@ class ChunkEncoder:
             self.flat, self.ends, self.seen = np.array([end], np.uint32), np.array([1]), np.array([2**40])
         old = len(self.chunks)
         number = self.chunks.__getitem__
-        index = []
-        for t in texts:
-            raw = t.encode("utf-8", "surrogatepass")
-            words = (raw if b"<|" in raw else raw.lower()).split()
-            if end is not None:
-                words.append(b"\n")
-            index.append(np.fromiter(map(number, words), np.int64, len(words)))
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        texts = pc.fill_null(texts, "")
+        lists = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
+        runs = lists.flatten().dictionary_encode()
+        names = runs.dictionary.cast(pa.binary()).to_pylist()
+        known = np.fromiter(map(number, names), np.int64, len(names))
+        every = known[np.asarray(runs.indices)]
+        at = np.asarray(lists.offsets)[1:] - np.asarray(lists.offsets)[0]
+        if end is not None:
+            every = np.insert(every, at, 0)
+            at = at + np.arange(1, len(at) + 1)
         if len(self.chunks) > old:
             flat, size = self._fresh(list(self.chunks)[old:])
             base = self.ends[-1] if old else 0
             self.flat = np.concatenate([self.flat, flat])
             self.ends = np.concatenate([self.ends, base + np.cumsum(size)])
-        every = np.concatenate(index) if index else np.empty(0, np.int64)
         self.seen = np.append(self.seen, np.zeros(len(self.chunks) - len(self.seen), np.int64)) + np.bincount(every, minlength=len(self.chunks))
         to = np.append(0, np.cumsum(np.diff(self.ends, prepend=0)[every]))
-        return gather(self.flat, self.ends, every), to[np.cumsum([len(d) for d in index])]
+        return gather(self.flat, self.ends, every), to[at]
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end: int | None = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -136,7 +149,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end: int | None = 1,
             _ENCODERS[tokenizer_path] = ChunkEncoder(tokenizer_path)
         enc, place = _ENCODERS[tokenizer_path], 0
         for part in slices(parts, "text", 2 << 20):
-            ids, ends = enc.encode([t or "" for t in part.column("text").to_pylist()], end)
+            ids, ends = enc.encode(part.column("text"), end)
             sizes = np.diff(ends, prepend=0)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(sizes), pa.array(place + ends - sizes),
@@ -202,7 +215,8 @@ def checksums(rows: DataFrame) -> DataFrame:
 def tokenized(docs: DataFrame, tokenizer_path: str, end: int | None = 1, path: str | None = None) -> DataFrame:
     """Encode, write, and read back: doc_id, start, n_tokens, ids_crc32.
 
-    Null and empty texts hold the end id only.  Rows that repeat an id are rows
+    Null and empty texts hold the end id only; a very long text is one row, and
+    a worker holds its ids while it writes them.  Rows that repeat an id are rows
     of their own, next to each other; rows without id come first.  An empty
     table writes no rows.
     """
