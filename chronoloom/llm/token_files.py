@@ -12,7 +12,6 @@ token of the whole collection the file starts.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -47,20 +46,18 @@ class ChunkEncoder:
     left as they are.
     """
 
-    MARKS = b".,;:!?*#%&$|)"
+    MARKS = ".,;:!?*#%&$|)"
     #: Words of Latin letters: one word for the tokenizer, in composed form, lowered letter by letter.
-    LATIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+    LATIN = "^[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
     #: Runs that one call encodes.
     CALL = 4_096
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends_word = np.zeros(max(vocab.values(), default=0) + 1, bool)
-        for token, i in vocab.items():
-            self.ends_word[i] = token.endswith("</w>")
+        bytes_ = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: bytes_.pre_tokenize_str(chr(c))[0][0] for c in range(0xc0, 0x100)}
         self.forget()
 
     def forget(self) -> None:
@@ -73,44 +70,43 @@ class ChunkEncoder:
         self.chunks = _Chunks((names[i], n) for n, i in enumerate(keep.tolist()))
         self.flat, self.ends, self.seen = gather(self.flat, self.ends, keep), np.cumsum(np.diff(self.ends, prepend=0)[keep]), self.seen[keep]
 
-    def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words, one after the other, and the size of each.
 
-        Latin words go to the tokenizer many at a time, with a blank between
-        them: each ends with a token that ends a word.
+        Latin words go to the tokenizer's model, as its own first steps would
+        hand them on; others through all steps.
         """
-        texts = [w.decode("utf-8", "surrogatepass") for w in words]
-        latin = np.fromiter((self.LATIN.fullmatch(t) is not None for t in texts), bool, len(texts))
-        plain, rest = np.flatnonzero(latin), np.flatnonzero(~latin)
-        batch = self.tokenizer.encode_batch_fast
-        joined = [" ".join([texts[i] for i in plain[a:a + self.CALL].tolist()]) for a in range(0, len(plain), self.CALL)]
-        flat = [np.array(e.ids, np.uint32) for e in batch(joined, add_special_tokens=False)] if joined else []
-        head = np.concatenate(flat) if flat else np.empty(0, np.uint32)
-        ends = np.flatnonzero(self.ends_word[head]) + 1
-        if len(ends) != len(plain):
-            raise ValueError("the tokenizer does not end its words with </w>")
-        ids: list[list[int]] = []
-        for a in range(0, len(rest), self.CALL):
-            ids += [e.ids for e in batch([texts[i] for i in rest[a:a + self.CALL].tolist()], add_special_tokens=False)]
-        size = np.append(np.diff(ends, prepend=0), np.fromiter(map(len, ids), np.int64, len(ids)))
-        flat = np.append(head, np.fromiter(chain.from_iterable(ids), np.uint32, sum(map(len, ids))))
-        order = np.argsort(np.append(plain, rest))
+        plain = np.asarray(pc.match_substring_regex(texts, self.LATIN))
+        some, rest = np.flatnonzero(plain), np.flatnonzero(~plain)
+        model, letters = self.tokenizer.model.tokenize, self.letters
+        ids = [[t.id for t in model(w)] for w in (x if x.isascii() else x.lower().translate(letters) for x in texts.take(pa.array(some)).to_pylist())]
+        others = texts.take(pa.array(rest)).to_pylist()
+        for a in range(0, len(others), self.CALL):
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast(others[a:a + self.CALL], add_special_tokens=False)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        order = np.argsort(np.append(some, rest))
         return gather(flat, np.cumsum(size), order), size[order]
 
     def _fresh(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and sizes of new chunks: heads and the marks behind them are encoded apart."""
-        words, pairs = _Chunks(), []
-        for c in chunks:
-            head = c.rstrip(self.MARKS)
-            if len(head) < len(c) and head and head[-1:].isalnum() and b"<|" not in c:
-                pairs.append((words[head], words[c[len(head):]]))
-            else:
-                pairs.append((words[c], -1))
-        flat, size = self._ids(list(words))
-        size = np.append(size, 0)
-        both = np.array(pairs, np.int64).reshape(-1, 2)
-        index = both.ravel()
-        return gather(flat, np.cumsum(size[:-1]), index[index >= 0]), size[both].sum(axis=1)
+        runs = pa.array(chunks, pa.binary()).cast(pa.string())
+        heads = pc.ascii_rtrim(runs, characters=self.MARKS)
+        cut = np.asarray(pc.and_(pc.and_(pc.less(pc.binary_length(heads), pc.binary_length(runs)), pc.match_substring_regex(heads, "[0-9A-Za-z]$")),
+                                 pc.invert(pc.match_substring(runs, "<|"))))
+        at = np.flatnonzero(cut)
+        own = pc.if_else(pa.array(cut), heads, runs)
+        marked = pa.array(at)
+        tail = (np.asarray(pc.binary_length(runs)) - np.asarray(pc.binary_length(heads)))[at].tolist()
+        marks = pa.array([r[-n:] for r, n in zip(runs.take(marked).to_pylist(), tail)], pa.string())
+        words = pa.concat_arrays([own, marks]).dictionary_encode()
+        flat, size = self._ids(words.dictionary)
+        index = np.asarray(words.indices).astype(np.int64)
+        both = np.full((len(runs), 2), -1, np.int64)
+        both[:, 0], both[at, 1] = index[:len(runs)], index[len(runs):]
+        ends, size = np.cumsum(size), np.append(size, 0)
+        every = both.ravel()
+        return gather(flat, ends, every[every >= 0]), size[both].sum(axis=1)
 
     def encode(self, texts: pa.Array | list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the end of each text; ``end`` is appended to each text."""
