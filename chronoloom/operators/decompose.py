@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from math import ceil
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, NumericType, StructField, StructType
 
-from chronoloom.operators.blocks import BLOCK, cut_lineage, windowed
+from chronoloom.operators.blocks import BLOCK, cut_lineage, halo_frame, windowed
+from chronoloom.operators.loess import local_lines, stl_block
 from chronoloom.operators.quantile import group_quantiles
 from chronoloom.series import SeriesSpec, require_gapless
 
-LOESS_BLOCK = 1024  # smaller than BLOCK: smoothing is heavy per row, so long series are spread wider
+LOESS_BLOCK = 1024  # smaller than BLOCK: smoothing is heavy per row, so long series are spread wider; 8 reaches at least
 
 
 def next_odd(x: float) -> int:
@@ -90,91 +94,63 @@ def classical(df: DataFrame, spec: SeriesSpec, y: str, m: int | None = None, kin
 
 # ---- loess -------------------------------------------------------------
 
-def loess_value(pts: str, at: str, lo: str, hi: str, q: int) -> Column:
-    """Local linear value at ``at`` from points (p, v, w) around it.
+def _in_blocks(df: DataFrame, spec: SeriesSpec, reach: int, smooth, names: list[str]) -> DataFrame:
+    """Add the columns ``names`` of numpy work on blocks of consecutive periods with ``reach`` periods around them.
 
-    Uses the q nearest positions of the dense range [lo, hi], tricube weights
-    times the robustness weights ``w``.  One SQL expression: the one-element
-    ``transform``s name the window ends and the reach, so each is computed once.
+    ``smooth(columns)`` gets the columns of a block in order of time as numpy
+    arrays and returns one array for each name.
     """
-    n = f"({hi} - {lo} + 1)"
-    left = f"least(greatest({at} - {q // 2}, {lo}), {hi} - {q} + 1)"
-    return F.expr(f"""
-      get(transform(array(struct(if({n} <= {q}, {lo}, {left}) AS l, if({n} <= {q}, {hi}, {left} + {q} - 1) AS r)), g ->
-      get(transform(array(greatest({at} - g.l, g.r - {at}) + greatest(floor(({q} - {n}) / 2), 0)), h ->
-        aggregate(
-          transform(
-            transform(filter({pts}, p -> p.p BETWEEN g.l AND g.r),
-                      p -> struct(CAST(p.p - ({at}) AS DOUBLE) AS d, abs(p.p - ({at})) / h AS r, p.v AS v, p.w AS w)),
-            e -> struct(e.d AS d, e.v AS v, e.w * CASE WHEN e.r > 0.999D THEN 0.0D WHEN e.r <= 0.001D THEN 1.0D
-                                                       ELSE pow(1 - pow(e.r, 3), 3) END AS k)),
-          struct(0.0D AS s0, 0.0D AS s1, 0.0D AS s2, 0.0D AS t0, 0.0D AS t1),
-          (s, e) -> struct(s.s0 + e.k AS s0, s.s1 + e.k * e.d AS s1, s.s2 + e.k * e.d * e.d AS s2,
-                           s.t0 + e.k * e.v AS t0, s.t1 + e.k * e.d * e.v AS t1),
-          s -> if(s.s0 * s.s2 - s.s1 * s.s1 > 1e-6D * s.s0 * s.s0,
-                  (s.s2 * s.t0 - s.s1 * s.t1) / (s.s0 * s.s2 - s.s1 * s.s1), s.t0 / nullif(s.s0, 0.0D)))), 0)), 0)""")
-
-
-def _points(window: Window, p: str, v: str, w: str, q: int) -> Column:
-    cell = F.when(F.col(v).isNotNull(), F.struct(F.col(p).alias("p"), F.col(v).alias("v"), F.col(w).alias("w")))
-    return F.collect_list(cell).over(window.rowsBetween(-(q - 1), q - 1))
+    cut, _ = halo_frame(df, spec.by, spec.t, reach, reach, max(LOESS_BLOCK, 8 * reach))
+    fields = [df.schema[c] for c in df.columns if c not in names]
+    keep, t = [f.name for f in fields], spec.t
+    numbers = [c for c in df.columns if c not in spec.by and isinstance(df.schema[c].dataType, NumericType)]
+
+    def one(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column(t).to_numpy(), kind="stable")
+        # a number is a plain array; NULL is NaN
+        arrays = {c: table.column(c).to_numpy()[order] for c in numbers}
+        home = table.column("_home").to_numpy()[order]
+        out = table.select(keep).take(pa.array(order[home]))
+        for name, values in zip(names, smooth(arrays)):
+            out = out.append_column(name, pa.array(values[home], pa.float64(), from_pandas=True))
+        return out
+
+    return cut.groupBy(*spec.by, "_blk").applyInArrow(one, StructType([*fields, *[StructField(n, DoubleType()) for n in names]]))
 
 
 def loess(df: DataFrame, spec: SeriesSpec, v: str, q: int, out: str, weight: str | None = None) -> DataFrame:
-    """Local linear smooth of each series with span ``q`` periods."""
+    """Local linear smooth of each series with span ``q`` periods; NULLs weigh nothing."""
     require_gapless(spec, "loess")
-    ends = df.groupBy(*spec.by).agg(F.min(spec.t).alias("_lo"), F.max(spec.t).alias("_hi"))
-    base = df.join(ends, spec.by).withColumn("_w", F.col(weight) if weight else F.lit(1.0))
-    smooth = windowed(base, spec, {"_pts": lambda w: _points(w, spec.t, v, "_w", q)}, q - 1, q - 1,
-                      block=max(LOESS_BLOCK, 8 * q))
-    return smooth.withColumn(out, loess_value("_pts", spec.t, "_lo", "_hi", q)
-                             ).drop("_pts", "_lo", "_hi", "_w")
+    ends = df.groupBy(*spec.by).agg(F.min(spec.t).alias("_from"), F.max(spec.t).alias("_to"))
+    base = df.join(ends, spec.by).withColumns({"_v": F.col(v).cast("double"), "_wt": F.col(weight) if weight else F.lit(1.0)})
+    t = spec.t
+
+    def smooth(c):
+        return [local_lines(c["_v"], c["_wt"], int(c[t][0]), int(c["_from"][0]), int(c["_to"][0]), q, int(c[t][0]), int(c[t][-1]))]
+
+    return _in_blocks(base, spec, q - 1, smooth, [out]).drop("_from", "_to", "_v", "_wt")
 
 
 def _stl_pass(df: DataFrame, spec: SeriesSpec, m: int, s_window, t_window: int, l_window: int) -> DataFrame:
-    """One inner pass over (keys, t, _y, _w, _tr, _lo, _hi): new _se and _tr."""
-    keep = [*spec.by, spec.t, "_y", "_w", "_lo", "_hi"]
-    base = df.withColumns({"_d": F.col("_y") - F.col("_tr"), **_position(spec, m)})
-    if s_window == "periodic":
-        means = base.groupBy(*spec.by, "_p").agg((F.sum(F.col("_d") * F.col("_w")) / F.nullif(F.sum("_w"), F.lit(0.0))).alias("_f"))
-        base = base.join(means, [*spec.by, "_p"])
-        at = {k: F.col("_f") for k in (-1, 0, 1)}
-    else:
-        q = int(s_window)
-        base = base.withColumns({"_cl": F.ceil((F.col("_lo") - F.col("_p")) / m), "_ch": F.floor((F.col("_hi") - F.col("_p")) / m)})
-        base = windowed(base, spec, {"_pts": lambda w: _points(w, "_c", "_d", "_w", q)}, q - 1, q - 1,
-                        by=[*spec.by, "_p"], t="_c", block=max(LOESS_BLOCK // m, 8 * q))
-        at = {k: loess_value("_pts", f"(_c + {k})", "_cl", "_ch", q) for k in (-1, 0, 1)}
-    # smoothed cycles, one more at each end
-    none = F.lit(None).cast("struct<k:int,v:double>")
-    own = F.struct(F.lit(0).alias("k"), at[0].alias("v"))
-    before = F.when(F.col(spec.t) < F.col("_lo") + m, F.struct(F.lit(-1).alias("k"), at[-1].alias("v"))).otherwise(none)
-    after = F.when(F.col(spec.t) > F.col("_hi") - m, F.struct(F.lit(1).alias("k"), at[1].alias("v"))).otherwise(none)
-    ext = base.withColumn("_e", F.explode(F.array_compact(F.array(before, own, after))))
-    real = F.col("_e.k") == 0
-    ext = ext.select(*spec.by, (F.col(spec.t) + F.col("_e.k") * m).cast("long").alias(spec.t), F.when(real, F.col("_y")).alias("_y"),
-                     "_w", "_lo", "_hi", F.col("_e.v").alias("_cyc"))
-    box = [1.0]
-    for width in (m, m, 3):
-        box = [sum(box[i - j] for j in range(width) if 0 <= i - j < len(box)) / width for i in range(len(box) + width - 1)]
-    weights = _constants(box)
-    halo = m + l_window + t_window
-
-    def low(w):
-        arr = F.collect_list("_cyc").over(w.rowsBetween(-m, m))
-        return F.when(F.size(arr) == 2 * m + 1, F.aggregate(F.zip_with(arr, weights, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
-
-    from chronoloom.operators.blocks import halo_frame
-    out, w = halo_frame(ext, spec.by, spec.t, halo, halo, max(LOESS_BLOCK, 8 * halo))
-    out = out.withColumn("_low", low(w)).withColumn("_one", F.lit(1.0))
-    inside = F.col(spec.t).between(F.col("_lo"), F.col("_hi"))
-    out = out.withColumn("_lp", F.when(inside, F.col("_low")))
-    out = out.withColumn("_pts", _points(w, spec.t, "_lp", "_one", l_window))
-    out = out.withColumn("_se", F.when(inside, F.col("_cyc") - loess_value("_pts", spec.t, "_lo", "_hi", l_window)))
-    out = out.withColumn("_ds", F.col("_y") - F.col("_se"))
-    out = out.withColumn("_pts", _points(w, spec.t, "_ds", "_w", t_window))
-    out = out.withColumn("_tr", loess_value("_pts", spec.t, "_lo", "_hi", t_window))
-    return out.where(F.col("_home") & inside).select(*keep, "_se", "_tr")
+    """One inner pass over (keys, t, _y, _w, _tr, _lo, _hi): new _se and _tr, with one shuffle of blocks.
+
+    A constant season takes its means over all blocks first.
+    """
+    base = df.select(*spec.by, spec.t, "_y", "_w", "_lo", "_hi", F.col("_tr").alias("_tr0"))
+    constant = s_window == "periodic"
+    q = None if constant else int(s_window)
+    if constant:
+        base = base.withColumn("_p", F.pmod(F.col(spec.t), F.lit(m)))
+        means = base.groupBy(*spec.by, "_p").agg(
+            (F.sum((F.col("_y") - F.col("_tr0")) * F.col("_w")) / F.nullif(F.sum("_w"), F.lit(0.0))).alias("_f"))
+        base = base.join(means, [*spec.by, "_p"]).drop("_p")
+    t = spec.t
+
+    def smooth(c):
+        return stl_block(int(c[t][0]), c["_y"], c["_w"], c["_tr0"], int(c["_lo"][0]), int(c["_hi"][0]), m, q, l_window, t_window, c.get("_f"))
+
+    reach = (0 if constant else q * m) + 2 * m + l_window + t_window
+    return _in_blocks(base, spec, reach, smooth, ["_se", "_tr"]).select(*spec.by, spec.t, "_y", "_w", "_lo", "_hi", "_se", "_tr")
 
 
 def stl(df: DataFrame, spec: SeriesSpec, y: str, m: int | None = None, s_window=11, t_window: int | None = None,
@@ -205,32 +181,55 @@ def stl(df: DataFrame, spec: SeriesSpec, y: str, m: int | None = None, s_window=
     cur = run(cur, 1 if (robust or m == 1) else inner)
     for _ in range(outer if robust else 0):
         cur = cut_lineage(cur.withColumn("_r", F.abs(F.col("_y") - F.col("_tr") - F.col("_se"))))
-        med = group_quantiles(cur, spec.by, "_r", {"_h": 0.5})
-        u = F.col("_r") / F.nullif(6.0 * F.col("_h"), F.lit(0.0))
-        bi = F.when(u.isNull() | (u <= 0.001), 1.0).when(u > 0.999, 0.0).otherwise((1.0 - u * u) * (1.0 - u * u))
-        cur = run(cur.join(med, spec.by).withColumn("_w", bi).drop("_r", "_h"), 1)
+        cur = run(_bisquare(cur, spec), 1)
     out = cur.select(*spec.by, spec.t, F.col("_y").alias(y), F.col("_tr").alias("trend"), F.col("_se").alias("season"))
     return _finish(out.withColumn(spec.index, spec.index_expr(F.col(spec.t))), spec, y)
 
 
-def stl_multi(df: DataFrame, spec: SeriesSpec, y: str, periods: list[int], rounds: int = 2) -> DataFrame:
+def _bisquare(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Replace ``_w`` by bisquare weights of the absolute remainders ``_r``: 0 from six medians on."""
+    med = group_quantiles(df, spec.by, "_r", {"_h": 0.5})
+    u = F.col("_r") / F.nullif(6.0 * F.col("_h"), F.lit(0.0))
+    bi = F.when(u.isNull() | (u <= 0.001), 1.0).when(u > 0.999, 0.0).otherwise((1.0 - u * u) * (1.0 - u * u))
+    return df.join(med, spec.by).withColumn("_w", bi).drop("_r", "_h")
+
+
+def stl_multi(df: DataFrame, spec: SeriesSpec, y: str, periods: list[int], rounds: int = 2, robust: bool = False,
+              outer: int = 3) -> DataFrame:
     """Several seasons: strip one after another, shortest first.
 
     The rounds take the place of the inner passes: every season is smoothed
-    once per round, given the others of the round before.
+    once per round, given the trend and the others of the round before.  Robust
+    fits take one such round and ``outer`` more whose weights come from the
+    remainder that all seasons leave together, so an outlier counts little in
+    every season; what it moved at first goes away over these rounds.
     """
-    base = df.select(*spec.by, spec.t, F.col(y).cast("double").alias("_yy")).withColumns(
-        {f"season_{p}": F.lit(0.0) for p in periods})
-    for r in range(rounds):
-        for i, p in enumerate(sorted(periods)):
-            others = sum((F.col(f"season_{o}") for o in periods if o != p), F.lit(0.0))
-            part = stl(base.withColumn("_v", F.col("_yy") - others), spec, "_v", p, s_window=11 + 4 * i, inner=1)
-            part = part.select(*spec.by, spec.t, F.col("season").alias("_s"), F.col("trend").alias("_t"))
-            base = base.drop("_t").join(part, [*spec.by, spec.t]).withColumn(f"season_{p}", F.col("_s")).drop("_s")
+    require_gapless(spec, "a decomposition")
+    periods = sorted(periods)
+    ends = df.groupBy(*spec.by).agg(F.min(spec.t).alias("_lo"), F.max(spec.t).alias("_hi"))
+    checked = F.coalesce(F.col(y).cast("double"), F.raise_error(F.lit("a decomposition needs values in every period")).cast("double"))
+    names = [f"season_{p}" for p in periods]
+    base = df.select(*spec.by, spec.t, checked.alias("_yy")).join(ends, spec.by).withColumns(
+        {"_w": F.lit(1.0), "_t": F.lit(0.0), **{n: F.lit(0.0) for n in names}})
+
+    def all_seasons(base: DataFrame) -> DataFrame:
+        for i, (p, name) in enumerate(zip(periods, names)):
+            s_window = 11 + 4 * i
+            others = sum((F.col(n) for n in names if n != name), F.lit(0.0))
+            part = base.select(*spec.by, spec.t, (F.col("_yy") - others).alias("_y"), "_w", F.col("_t").alias("_tr"), "_lo", "_hi")
+            part = _stl_pass(part, spec, p, s_window, next_odd(1.5 * p / (1 - 1.5 / s_window)), next_odd(p))
+            part = part.select(*spec.by, spec.t, F.col("_se").alias("_s"), F.col("_tr").alias("_t"))
+            base = base.drop("_t").join(part, [*spec.by, spec.t]).withColumn(name, F.col("_s")).drop("_s")
             base = cut_lineage(base)
-    total = sum((F.col(f"season_{p}") for p in periods), F.lit(0.0))
+        return base
+
+    total = sum((F.col(n) for n in names), F.lit(0.0))
+    for _ in range(1 if robust else rounds):
+        base = all_seasons(base)
+    for _ in range(outer if robust else 0):
+        base = all_seasons(_bisquare(base.withColumn("_r", F.abs(F.col("_yy") - F.col("_t") - total)), spec))
     return base.select(*spec.by, spec.index_expr(F.col(spec.t)).alias(spec.index), spec.t, F.col("_yy").alias(y),
-                       F.col("_t").alias("trend"), *[f"season_{p}" for p in sorted(periods)],
+                       F.col("_t").alias("trend"), *names,
                        (F.col("_yy") - F.col("_t") - total).alias("remainder"), (F.col("_yy") - total).alias("season_adjust"))
 
 

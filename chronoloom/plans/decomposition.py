@@ -9,8 +9,9 @@ from chronoloom.operators import decompose as dc
 from chronoloom.operators import features as ft
 from chronoloom.operators import stats as st
 from chronoloom.operators.blocks import cut_lineage
-from chronoloom.plans.base import EH, OM, events_hourly, orders_monthly, ship_daily, with_ctes
+from chronoloom.plans.base import EH, OM, SD, events_hourly, orders_monthly, ship_daily, with_ctes
 from chronoloom.plans.catalog import query
+from chronoloom.plans.stl_sql import STL_NAIVE, STRENGTHS, multi_query, stl_query, x11_query
 
 _COLS = ("priority", "month", "y", "trend", "season", "remainder", "season_adjust")
 
@@ -37,44 +38,53 @@ def classical_multiplicative(spark, d):
     return dc.classical(df, spec, "y", kind="multiplicative").select(*_COLS)
 
 
-@query("stl")
+@query("stl", stl_query(OM, "om", "priority"))
 def stl(spark, d):
     df, spec = orders_monthly(spark, d)
     return dc.stl(df, spec, "y").select(*_COLS)
 
 
-@query("stl_periodic")
+@query("stl_periodic", stl_query(SD, "sd", "flag", "day", 7, s_window="periodic"))
 def stl_periodic(spark, d):
     df, spec = ship_daily(spark, d)
     return dc.stl(df, spec, "y", s_window="periodic").select("flag", "day", "y", "trend", "season", "remainder", "season_adjust")
 
 
-@query("stl_robust")
+@query("stl_robust", stl_query(OM, "om", "priority", robust=True))
 def stl_robust(spark, d):
     df, spec = orders_monthly(spark, d)
     return dc.stl(df, spec, "y", robust=True).select(*_COLS)
 
 
-@query("stl_multiple_seasons")
+@query("stl_multiple_seasons", multi_query(EH, "eh", "event_type", "hour", "n", [24, 168]))
 def stl_multiple(spark, d):
     df, spec = events_hourly(spark, d)
     return dc.stl_multi(df, spec, "n", [24, 168])
 
 
-@query("components", with_ctes(OM, body="SELECT priority, month, y, y AS identity FROM om"))
+@query("stl_multiple_robust", multi_query(EH, "eh", "event_type", "hour", "n", [24, 168], robust=True))
+def stl_multiple_robust(spark, d):
+    """Two seasons whose weights come from one common remainder."""
+    df, spec = events_hourly(spark, d)
+    return dc.stl_multi(df, spec, "n", [24, 168], robust=True)
+
+
+@query("components", stl_query(OM, "om", "priority", body="""SELECT priority, month, om.y, trend, season, remainder, trend + season + remainder AS identity
+FROM om JOIN (SELECT * EXCLUDE (y) FROM {d}) USING (priority, t)"""))
 def components(spark, d):
+    """Every component, and what they add up to."""
     df, spec = orders_monthly(spark, d)
     out = dc.stl(df, spec, "y")
-    return out.select("priority", "month", "y", (F.col("trend") + F.col("season") + F.col("remainder")).alias("identity"))
+    return out.select("priority", "month", "y", "trend", "season", "remainder", (F.col("trend") + F.col("season") + F.col("remainder")).alias("identity"))
 
 
-@query("x11")
+@query("x11", x11_query(OM, "om"))
 def x11(spark, d):
     df, spec = orders_monthly(spark, d)
     return dc.x11(df, spec, "y").select(*_COLS)
 
 
-@query("feat_stl")
+@query("feat_stl", stl_query(OM, "om", "priority", more=STRENGTHS, body="SELECT * FROM zs JOIN zp USING (priority) JOIN ze USING (priority)"))
 def feat_stl(spark, d):
     df, spec = orders_monthly(spark, d)
     return _stl_features(df, spec)
@@ -87,7 +97,7 @@ def _stl_features(df, spec):
     return ft.join_features([dc.strengths(dcmp, spec), r], spec.by)
 
 
-@query("nsdiffs")
+@query("nsdiffs", stl_query(OM, "om", "priority", more=STRENGTHS, body="SELECT priority, CASE WHEN seasonal_strength > 0.64 THEN 1 ELSE 0 END AS nsdiffs FROM zs"))
 def nsdiffs(spark, d):
     df, spec = orders_monthly(spark, d)
     return dc.nsdiffs(dc.strengths(dc.stl(df, spec, "y"), spec), spec)
@@ -139,7 +149,7 @@ def augment_join(spark, d):
     return df.join(F.broadcast(top), spec.by).select(*spec.by, "month", "y", "pc1")
 
 
-@query("decomposition_forecast")
+@query("decomposition_forecast", stl_query(OM, "om", "priority", body=STL_NAIVE))
 def decomposition_forecast(spark, d):
     df, spec = orders_monthly(spark, d)
     return stl_forecast(df, spec, 12)
@@ -164,7 +174,16 @@ def interpolate(spark, d):
     return dc.interpolate(df, spec, "y").select("event_type", "hour", "y")
 
 
-@query("clean_outliers")
+_BRIDGE = """SELECT flag, day, t, sd.y, remainder, outlier, coalesce(v, pv + (nv - pv) * (t - pt) / (nt - pt)::DOUBLE, pv, nv) AS clean FROM (
+  SELECT *, last_value(v IGNORE NULLS) OVER p AS pv, last_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER p AS pt,
+    first_value(v IGNORE NULLS) OVER n AS nv, first_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER n AS nt
+  FROM (SELECT *, CASE WHEN NOT outlier THEN y END AS v FROM (SELECT *, remainder < q1 - 3 * (q3 - q1) OR remainder > q3 + 3 * (q3 - q1) AS outlier
+    FROM (SELECT *, quantile_cont(remainder, 0.25) OVER k AS q1, quantile_cont(remainder, 0.75) OVER k AS q3 FROM {d} WINDOW k AS (PARTITION BY flag))))
+  WINDOW p AS (PARTITION BY flag ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         n AS (PARTITION BY flag ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) JOIN sd USING (flag, t)"""
+
+
+@query("clean_outliers", stl_query(SD, "sd", "flag", "day", 7, s_window="periodic", robust=True, body=_BRIDGE))
 def clean_outliers(spark, d):
     df, spec = ship_daily(spark, d)
     return dc.clean_outliers(df, spec, "y")

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from chronoloom.models import arima as ar
 from chronoloom.models import regression as rg
 from chronoloom.models import smoothing as sm
 from chronoloom.operators import decompose as dc
+from chronoloom.operators import loess as ls
 from chronoloom.operators import features as ft
 from chronoloom.operators import hierarchy as hy
 from chronoloom.operators import index as ix
@@ -178,6 +181,67 @@ def test_stl_does_not_depend_on_blocks(spark, s_window, monkeypatch):
     assert np.allclose(out[0][["trend", "season"]], out[1][["trend", "season"]])
 
 
+@pytest.mark.parametrize("q", [7, 8, 101, 900, 2001])
+def test_kernel_matches_explicit_lines(q):
+    rng = np.random.default_rng(q)
+    v, w = 1e6 + rng.normal(0, 1, 1200), rng.uniform(0, 1, 1200)
+    w[300:420] = 0.0  # a stretch without weight, wider than the short spans
+    v[50], v[51] = np.nan, np.inf
+    got = ls.local_lines(v, w, 10, 10, 1209, q, 9, 1210)
+    seen = np.isfinite(v)
+    n = 1200
+    at = np.arange(9, 1211)
+    left = np.clip(at - q // 2, 10, max(10, 1209 - q + 1)) if n > q else np.full(len(at), 10)
+    right = left + q - 1 if n > q else np.full(len(at), 1209)
+    reach = np.maximum(at - left, right - at) + max((q - n) // 2, 0)
+    want = ls._explicit(np.where(seen, v - 1e6, 0.0), np.where(seen, w, 0.0), 10, at, left, right, reach) + 1e6
+    assert np.array_equal(np.isnan(got), np.isnan(want))
+    assert np.nanmax(np.abs(got - want)) < 1e-6
+
+
+def test_kernel_in_parts_equals_whole():
+    """A part of a series with its surroundings gives the numbers of the whole."""
+    v = np.random.default_rng(3).normal(0, 1, 5000)
+    one = np.ones(5000)
+    whole = ls.local_lines(v, one, 0, 0, 4999, 301, 0, 4999)
+    part = ls.local_lines(v[1000:2000], one[:1000], 1000, 0, 4999, 301, 1300, 1699)
+    assert np.allclose(whole[1300:1700], part)
+
+
+def test_kernel_time_grows_with_n_log_n():
+    """A season of 1,440 periods: ten times the rows take nowhere near a hundred times as long."""
+    took = []
+    for n in (20_000, 200_000):
+        v = np.sin(np.arange(n) * 2 * np.pi / 1440)
+        t0 = time.perf_counter()
+        ls.stl_block(0, v, np.ones(n), np.zeros(n), 0, n - 1, 1440, 11, 1441, 2501)
+        took.append(time.perf_counter() - t0)
+    assert took[1] < 30 * took[0] + 1
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 9])
+def test_stl_of_short_series(spark, n):
+    """Shorter than a season or two: rows stay, nothing fails."""
+    out = dc.stl(frame(spark, {"a": noisy(n), "b": noisy(40)}), SPEC, "y").toPandas()
+    assert (out.key == "a").sum() == n and (out.key == "b").sum() == 40
+
+
+def test_robust_seasons_share_their_weights(spark):
+    """One outlier moves the seasons little in the robust form, and a lot in the plain one."""
+    t = np.arange(240)
+    clean = 10 + 2 * np.sin(2 * np.pi * t / 4) + 3 * np.sin(2 * np.pi * t / 12)
+    y = clean + np.random.default_rng(5).normal(0, 0.1, 240)
+    hit = y.copy()
+    hit[117] += 60
+    err = {}
+    for robust in (False, True):
+        a = dc.stl_multi(frame(spark, {"a": y}), SPEC, "y", [4, 12], robust=robust).orderBy("t").toPandas()
+        b = dc.stl_multi(frame(spark, {"a": hit}), SPEC, "y", [4, 12], robust=robust).orderBy("t").toPandas()
+        err[robust] = max(np.abs(a[c] - b[c]).max() for c in ("season_4", "season_12"))
+        assert np.allclose(b.trend + b.season_4 + b.season_12 + b.remainder, hit)
+    assert err[True] < 1.5 and err[False] > 5
+
+
 def test_stl_rejects_nulls(spark):
     with pytest.raises(Exception, match="values in every period"):
         dc.stl(frame(spark, {"a": [1.0, None, 3.0, 4.0] * 4}), SPEC, "y").collect()
