@@ -1,13 +1,17 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Every source gets a share of the words of the mix.  A document of a source whose
-target is r times its size is taken floor(r) times for certain; for the rest,
-documents are ranked by random odds over inclusion odds, and the first ones are
-taken until the missing words are reached.  Within a source the inclusion
-odds are the same, so the order there is simple random order.  Random numbers are hashes of the
+Every source gets a share of the words of the mix.  A source whose target is r
+times its size gives floor(r) whole copies of each document for certain.  The
+words that are then missing come from a sample with unequal chances: a
+document's inclusion chance is in proportion to its size, so every word of a
+source is as likely to be drawn as any other within a document that is not
+certain; where that would pass 1 the document is one more certain whole copy, and
+the chances of the others rise until the expected words are the missing ones.
+Documents are ranked by random odds over inclusion odds, and the first ones are
+taken until the missing words are reached.  Random numbers are hashes of the
 document, so reruns agree.
 
-The order is cut into buckets by its (uniformly distributed) rank value: sums
+The order is cut into buckets by its rank value against the source's mean odds: sums
 per bucket locate the bucket in which a source reaches its target; only the
 rows of that bucket, a bounded number, are walked in order.  What is too long
 there is left out and the gap goes on to the buckets behind, round by round,
@@ -65,20 +69,27 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3
         text_col: str = "text", source_col: str = "source", bucket: int = BUCKET) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, copies.
 
-    ``taken`` is ``copies * size`` words.  Null texts have size 0; documents of
+    ``taken`` is ``copies * size`` words; ``chance`` is the inclusion chance of one
+    more copy (1 where it is certain, 0 where a source needs none).  Null texts have size 0; documents of
     size 0 are not drawn.  Null sources form one source.  Repeated rows are
     documents of their own and share a rank.
     """
     sizes = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"),
                                 n_words(text_col).alias("size"), F.xxhash64(text_or_empty(text_col)).alias("mark")), "sizes")
     targets = written(source_targets(sizes, weights, most), "targets")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    df = (_on_source(sizes, targets).withColumn("whole", F.floor(rate)).withColumn("part", rate - F.col("whole"))
-          .withColumn("u", uniform(seed, "doc_id", "mark")))
+    chances = written(_chances(sizes, targets), "chances")
+    df = _on_source(_on_source(sizes, targets), chances).withColumn("u", uniform(seed, "doc_id", "mark"))
+    certain = F.col("size") > F.col("edge_size")
+    df = df.withColumn("whole", F.coalesce(F.floor(_rate()), F.lit(0)) + F.when(certain, 1).otherwise(0))
+    # chance of one more copy; 0 where there is none or it is certain
+    df = df.withColumn("part", F.when((F.col("size") > 0) & (F.col("gap0") > 0) & ~certain,
+                                      F.least(F.lit(1.0), F.col("slope") * F.col("size"))).otherwise(F.lit(0.0)))
     odds = F.col("u") / (1 - F.col("u"))
     df = df.withColumn("rank", F.when(F.col("part") > 0, odds * (1 - F.col("part")) / F.col("part")))
-    # the rank value brought back to (0, 1): buckets of about equal numbers of rows
-    spread = odds / (1 + odds)
+    # against the mean odds of the source and brought back to (0, 1): buckets of like numbers of rows
+    mean = F.least(F.col("gap0") / F.col("source_size"), F.lit(1 - 1e-9))
+    against = F.col("rank") * mean / (1 - mean)
+    spread = F.coalesce(against / (1 + against), F.lit(1.0))
     df = df.withColumn("bucket", F.floor(spread * F.greatest(F.lit(1), F.floor(F.col("n_docs") / bucket))))
     open_ = df.where((F.col("part") > 0) & (F.col("size") > 0))
     ranges, picked, gaps = _fill(open_)
@@ -90,7 +101,34 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3
     extra = (F.col("part") > 0) & (F.col("size") > 0) & (F.col("ranged") | F.col("p_mark").isNotNull())
     copies = F.col("whole") + F.when(extra, 1).otherwise(0)
     return df.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).cast("long").alias("taken"),
-                     copies.cast("int").alias("copies"))
+                     copies.cast("int").alias("copies"),
+                     F.when(F.col("size") > F.col("edge_size"), 1.0).otherwise(F.col("part")).alias("chance"))
+
+
+def _rate() -> Column:
+    return F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+
+
+def _chances(sizes: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per source: edge_size, slope, gap0.
+
+    After the copies that all documents have in common, documents longer than
+    ``edge_size`` get one more for certain; the others have the chance slope *
+    size, which adds up to ``gap0`` expected words.  This works on one row per
+    source and size.
+    """
+    per = sizes.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+    per = _on_source(per, targets).withColumn("gap", F.col("target") - F.floor(_rate()) * F.col("source_size"))
+    words = (F.col("n") * F.col("size")).cast("double")
+    down = Window.partitionBy("source").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    up = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, 0)
+    per = per.withColumn("above", F.coalesce(F.sum(words).over(down), F.lit(0.0))).withColumn("squares", F.sum(words * F.col("size")).over(up))
+    per = per.withColumn("slope", (F.col("gap") - F.col("above")) / F.col("squares"))
+    # the longest size whose chance is no more than 1 when all longer ones are certain
+    fits = (F.col("gap") > 0) & (F.col("slope") * F.col("size") <= 1 + 1e-9)
+    best = per.groupBy("source").agg(F.max(F.when(fits, F.struct(
+        F.col("size").alias("edge_size"), "slope", (F.col("gap") - F.col("above")).alias("gap0")))).alias("b"))
+    return best.where("b IS NOT NULL").select("source", "b.edge_size", "b.slope", "b.gap0")
 
 
 def _fill(open_: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -103,7 +141,7 @@ def _fill(open_: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     and the last gaps.
     """
     gaps = written(open_.groupBy("source").agg(
-        F.lit(0).cast("long").alias("first"), F.max(F.col("target") - F.col("whole") * F.col("source_size")).alias("gap")), "gaps")
+        F.lit(0).cast("long").alias("first"), F.max("gap0").alias("gap")), "gaps")
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     ranges, picked, last = [], [], []
     while True:

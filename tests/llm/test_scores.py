@@ -193,3 +193,27 @@ def test_bigger_odds_are_drawn_more_often(docs):
             drawn[r.doc_id] += r.copies
     a = [drawn[i] for i in range(0, 40, 2)]
     assert sum(a) == 12 * 10 and len(set(a)) > 1 and max(a) < 12
+
+
+def test_inclusion_follows_size(docs):
+    """Chances are in proportion to size, add up to the missing words, and are met over many sources."""
+    rows = [(1000 * s + i, "w " * (30 if i < 30 else 10), f"s{s:03d}") for s in range(60) for i in range(90)]
+    got = mixing.mix(docs(rows), bucket=20).toPandas()
+    got["rate"] = (got.target / got.source_size).round(6)
+    for rate, gap in ((0.5, 750), (1.5, 750), (1.0, 0)):
+        part = got[got.rate == rate]
+        extra = part.copies - int(rate)
+        assert abs((part.chance * part["size"]).sum() - 20 * gap) < 1e-6 * 20 * 750 and extra.isin([0, 1]).all()
+        long_, short = part["size"] == 30, part["size"] == 10
+        if gap:
+            assert abs(part.chance[long_].iloc[0] / part.chance[short].iloc[0] - 3) < 1e-9
+            assert abs(extra[long_].mean() - part.chance[long_].iloc[0]) < 0.05 and abs(extra[short].mean() - part.chance[short].iloc[0]) < 0.04
+
+
+def test_a_document_whose_chance_would_pass_one_is_certain(docs):
+    """100 words in 1 document and 1 word in 300, half of them wanted: the long one always comes, the others fill the rest."""
+    rows = [(i, "w", "a") for i in range(300)] + [(500, "w " * 100, "a"), (501, "w " * 400, "b")]
+    for seed in (4,):
+        got = {r.doc_id: r for r in mixing.mix(docs(rows), weights=(1, 3), seed=seed).collect()}
+        assert got[500].chance == 1.0 and got[500].copies == 1
+        assert abs(got[0].chance - 100 / 300) < 1e-9 and sum(r.taken for i, r in got.items() if i < 501) == 200
