@@ -11,9 +11,11 @@ windows.
    id); the others are copies of it in full.
 2. Anchors that occur once are dropped.  The text of the other pieces is dealt
    out by anchor.  A task reads its pieces anchor by anchor, collects about
-   SHARD windows, confirms those whose words occur more than once, compiles them
-   into one automaton over word numbers, and streams the shard's pieces through
-   it: each hit that is not the first occurrence is a range to remove.
+   SHARD windows and compiles the passages that recur into one automaton over
+   word numbers: whole pieces that stand in several places, and the windows that
+   unlike pieces share.  The shard's distinct pieces are streamed through it;
+   each hit that is not the first occurrence is a range to remove, in every place
+   of the piece.
 3. An anchor with more than HOT pieces (a line that a third of the documents
    share) does not fit a task: its windows are dealt out one by one by a 128-bit
    hash of their words, where partial minima find the first occurrence.  This is
@@ -30,14 +32,18 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from chronoloom.llm.common import WordHashes, mix64, run_starts, slices, written
+from chronoloom.llm.common import mix64, run_starts, slices, written
 from chronoloom.llm.minhash import constants
 
 WINDOW, GRAM = 20, 6
 #: Pieces of one anchor that one task takes; windows in one automaton.
 HOT, SHARD = 200, 40_000
+#: Bytes of a word that is hashed by itself; the lowest 0 to 8 bytes of a number.
+LONG, MASKS = 64, np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 PRINTS = "doc_id long, digest binary, n_words long, sha string, anchors array<long>"
@@ -46,27 +52,27 @@ RANGES = "doc_id long, digest binary, start long, stop long"
 RESULT = "doc_id long, digest binary, n_removed long, kept_sha256 string, kept_text string"
 
 
-def pieces_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, last window and anchor hash of each piece of a document with word hashes ``h``."""
+def pieces_of(h: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window, last window and anchor hash of each piece; ``h``: the word hashes of documents that end at ``ends``."""
     n = len(h) - WINDOW + 1
     if n <= 0:
         none = np.empty(0, np.int64)
         return none, none, np.empty(0, np.uint64)
     c = constants(GRAM, 3)
-    grams = np.zeros(len(h) - GRAM + 1, np.uint64)
+    low = np.zeros(len(h) - GRAM + 1, np.uint64)
     for j in range(GRAM):
-        grams += h[j:len(grams) + j] * c[j]
-    grams = mix64(grams)
-    low, at = grams[:n].copy(), np.zeros(n, np.int64)
-    for j in range(1, WINDOW - GRAM + 1):
-        here = grams[j:n + j]
-        better = here <= low
-        np.copyto(low, here, where=better)
-        at[better] = j
-    at += np.arange(n)
-    first = run_starts(at)
-    last = np.append(first[1:], n) - 1
-    return first, last, low[first]
+        low += h[j:len(low) + j] * c[j]
+    low = mix64(low)
+    at, width, span = np.arange(len(low)), 1, WINDOW - GRAM + 1
+    while width < span:  # minima of twice the width, the last place on ties
+        step = min(width, span - width)
+        later = low[step:] <= low[:-step]
+        low, at = np.where(later, low[step:], low[:-step]), np.where(later, at[step:], at[:-step])
+        width += step
+    whole = np.flatnonzero(np.repeat(ends, np.diff(ends, prepend=0))[:n] - np.arange(n) >= WINDOW)
+    first = run_starts(at[whole])
+    last = whole[np.append(first[1:], len(whole)) - 1] if len(whole) else whole
+    return whole[first], last, low[whole[first]]
 
 
 def window_hashes(h: np.ndarray, seed: int) -> np.ndarray:
@@ -78,8 +84,43 @@ def window_hashes(h: np.ndarray, seed: int) -> np.ndarray:
     return mix64(total)
 
 
-def _split(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").split()
+class Words:
+    """The words of some texts, one after the other."""
+
+    def __init__(self, texts: pa.Array):
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = lists.flatten()
+        there = np.asarray(pc.binary_length(words)) > 0  # white space at either end makes an empty word
+        offsets = np.asarray(lists.offsets)
+        #: Where each text begins and ends, in words.
+        self.ends = np.append(0, np.cumsum(there))[offsets[1:] - offsets[0]]
+        self.starts = np.append(0, self.ends[:-1])
+        self.words = words if there.all() else words.filter(pa.array(there))
+        #: All words joined by one space, and at which byte each of them begins.
+        self.joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(self.words)], pa.int32()), self.words), " ")[0].as_buffer().to_pybytes()
+        self.at = np.append(0, np.cumsum(np.asarray(pc.binary_length(self.words)).astype(np.int64) + 1))
+
+    def passages(self, a: np.ndarray, b: np.ndarray) -> list[bytes]:
+        """Words a to b (exclusive), joined by one space."""
+        joined = self.joined
+        return [joined[x:y] for x, y in zip(self.at[a].tolist(), (self.at[b] - 1).tolist())]
+
+    def texts(self) -> list[bytes]:
+        return [t if n else b"" for t, n in zip(self.passages(self.starts, self.ends), (self.ends - self.starts).tolist())]
+
+    def hashes(self) -> np.ndarray:
+        """64-bit hash of each word: eight bytes of all words at a time, long words one by one."""
+        size = np.diff(self.at) - 1
+        eights = np.ndarray(len(self.joined) + 1, "<u8", self.joined + bytes(8), strides=(1,))
+        h, left = mix64(size.astype(np.uint64)), np.flatnonzero(size <= LONG)
+        for k in range(0, LONG, 8):
+            left = left[size[left] > k]
+            if not len(left):
+                break
+            h[left] = mix64(h[left] ^ (eights[self.at[left] + k] & MASKS[np.minimum(size[left] - k, 8)]))
+        for i in np.flatnonzero(size > LONG).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(self.joined[self.at[i]:self.at[i] + size[i]])
+        return h
 
 
 def _digest(joined: bytes) -> bytes:
@@ -87,93 +128,104 @@ def _digest(joined: bytes) -> bytes:
 
 
 def _print_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache = WordHashes()
     for part in slices(batches, "text"):
-        digests, counts, shas, anchors = [], [], [], []
-        for t in part.column("text"):
-            words = _split(t.as_py())
-            joined = b" ".join(words)
-            digests.append(_digest(joined))
-            counts.append(len(words))
-            shas.append(hashlib.sha256(joined).hexdigest())
-            anchors.append(pieces_of(cache.array(words))[2].view(np.int64))
-        ends = np.cumsum([0, *map(len, anchors)]).astype(np.int32)
+        words = Words(part.column("text"))
+        texts = words.texts()
+        first, _, keys = pieces_of(words.hashes(), words.ends)
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(shas),
-             pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(anchors)))],
+            [part.column("doc_id"), pa.array(list(map(_digest, texts)), pa.binary()), pa.array(words.ends - words.starts, pa.int64()),
+             pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+             pa.ListArray.from_arrays(pa.array(np.append(0, np.searchsorted(first, words.ends)), pa.int32()), pa.array(keys.view(np.int64)))],
             ["doc_id", "digest", "n_words", "sha", "anchors"])
 
 
 def _piece_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, text, digest, wanted: piece numbers, hot: of them the hot ones) to pieces."""
-    cache = WordHashes()
     for part in slices(batches, "text", 1 << 20):
-        out: dict[str, list] = {k: [] for k in ("key", "hot", "low", "doc_id", "digest", "start", "words")}
-
-        def add(key, hot, low, start, words):
-            for name, v in zip(out, (key, hot, low, doc, digest, start, words)):
-                out[name].append(v)
-
-        for doc, text, digest, wanted in zip(*[part.column(c).to_pylist() for c in ("doc_id", "text", "digest", "wanted")]):
-            words = _split(text)
-            if _digest(b" ".join(words)) != digest:  # another text under the same id
-                continue
-            h = cache.array(words)
-            first, last, keys = pieces_of(h)
-            signed, one, two = keys.view(np.int64), None, None
-            for w in wanted:
-                p = w["piece"]
-                a, b = int(first[p]), int(last[p])
-                if not w["hot"]:
-                    add(int(signed[p]), False, 0, a, b" ".join(words[a:b + WINDOW]))
-                    continue
-                if one is None:
-                    one, two = window_hashes(h, 11).view(np.int64), window_hashes(h, 12).view(np.int64)
-                for i in range(a, b + 1):
-                    add(int(one[i]), True, int(two[i]), i, None)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out["key"], pa.int64()), pa.array(out["hot"], pa.bool_()), pa.array(out["low"], pa.int64()),
-             pa.array(out["doc_id"], pa.int64()), pa.array(out["digest"], pa.binary()), pa.array(out["start"], pa.int64()),
-             pa.array(out["words"], pa.binary())], list(out))
+        words = Words(part.column("text"))
+        h = words.hashes()
+        first, last, keys = pieces_of(h, words.ends)
+        # another text under the same id has another digest
+        own = np.fromiter(map(bytes.__eq__, map(_digest, words.texts()), part.column("digest").to_pylist()), bool, part.num_rows)
+        lists = part.column("wanted")
+        row = np.repeat(np.arange(part.num_rows), np.where(own, np.asarray(pc.list_value_length(lists)), 0))
+        named = lists.filter(pa.array(own)).flatten()
+        piece = np.searchsorted(first, words.starts)[row] + np.asarray(named.field("piece"))
+        hot = np.asarray(named.field("hot").cast(pa.int8())) > 0
+
+        def out(key, is_hot, low, row, at, texts):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(key, pa.int64()), pa.array(np.full(len(row), is_hot)), pa.array(low, pa.int64()), part.column("doc_id").take(pa.array(row)),
+                 part.column("digest").take(pa.array(row)), pa.array(at - words.starts[row], pa.int64()), texts],
+                ["key", "hot", "low", "doc_id", "digest", "start", "words"])
+
+        some, p = row[~hot], piece[~hot]
+        yield out(keys.view(np.int64)[p], False, np.zeros(len(p), np.int64), some, first[p], pa.array(words.passages(first[p], last[p] + WINDOW), pa.binary()))
+        if hot.any():
+            some, p = row[hot], piece[hot]
+            n = last[p] - first[p] + 1
+            at = np.arange(n.sum()) + np.repeat(first[p] - (np.cumsum(n) - n), n)
+            one, two = (window_hashes(h, seed).view(np.int64)[at] for seed in (11, 12))
+            yield out(one, True, two, np.repeat(some, n), at, pa.nulls(len(at), pa.binary()))
+
+
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = len(self) + 1
+        return value
 
 
 def locate(shard: list[tuple]) -> list[tuple]:
-    """Ranges of all windows of the shard's pieces (doc_id, digest, start, words) that also start earlier.
+    """Ranges of all windows of the shard's pieces (anchor, doc_id, digest, start, words) that also start earlier.
 
-    Words become numbers, recurring windows the patterns of one automaton, and
-    every piece is streamed through it.
+    Words become numbers, recurring passages the patterns of one automaton, and
+    every distinct piece is streamed through it.  A window has its anchor at one
+    place, so no window stands twice in a piece: windows recur in copies of a
+    piece, which are one pattern, or in unlike pieces of one anchor.
     """
-    numbers: dict[bytes, int] = {}
-    pieces = []
-    seen: dict[tuple, list] = {}  # window -> [first place, occurrences]
-    for doc, digest, start, words in shard:
-        seq = tuple([numbers.setdefault(w, len(numbers) + 1) for w in words.split(b" ")])
-        pieces.append((doc, digest, start, seq))
-        for i in range(len(seq) - WINDOW + 1):
-            place = (doc, digest, start + i)
-            known = seen.setdefault(seq[i:i + WINDOW], [place, 0])
-            known[1] += 1
-            if place < known[0]:
-                known[0] = place
-    patterns = [(w, first) for w, (first, count) in seen.items() if count > 1]
+    places: dict[bytes, list[tuple]] = {}
+    alike: dict[int, list[bytes]] = {}
+    for anchor, doc, digest, start, words in shard:
+        known = places.get(words)
+        if known is None:
+            places[words] = [(doc, digest, start)]
+            alike.setdefault(anchor, []).append(words)
+        else:
+            known.append((doc, digest, start))
+    number = _Numbers().__getitem__
+    sequences = {words: tuple(map(number, words.split(b" "))) for words in places}
+    patterns = {sequences[words]: min(at) for words, at in places.items() if len(at) > 1}
+    for group in alike.values():
+        if len(group) == 1:
+            continue
+        seen: dict[tuple, tuple] = {}  # window -> first place
+        for words in group:
+            (doc, digest, start), seq = min(places[words]), sequences[words]
+            for i in range(len(seq) - WINDOW + 1):
+                window, place = seq[i:i + WINDOW], (doc, digest, start + i)
+                known = seen.setdefault(window, place)
+                if known is not place:
+                    seen[window] = patterns[window] = min(known, place)
     if not patterns:
         return []
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for i, (w, _) in enumerate(patterns):
-        automaton.add_word(w, i)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for passage, first in patterns.items():
+        automaton.add_word(passage, (len(passage), first))
     automaton.make_automaton()
     found = []
-    for doc, digest, start, seq in pieces:
-        runs: list[list[int]] = []
-        for end, i in automaton.iter(seq):
-            at = start + end - WINDOW + 1
-            if (doc, digest, at) == patterns[i][1]:
-                continue
-            if runs and at <= runs[-1][1]:
-                runs[-1][1] = at + WINDOW
-            else:
-                runs.append([at, at + WINDOW])
-        found += [(doc, digest, a, b) for a, b in runs]
+    for words, at in places.items():
+        hits = [(end - n + 1, n, first) for end, (n, first) in automaton.iter(sequences[words])]
+        for doc, digest, start in at:
+            runs: list[list[int]] = []
+            for i, n, first in hits:
+                a = start + i
+                if (doc, digest, a) <= first:
+                    continue
+                if runs and a <= runs[-1][1]:
+                    runs[-1] = [min(runs[-1][0], a), max(runs[-1][1], a + n)]
+                else:
+                    runs.append([a, a + n])
+            found += [(doc, digest, a, b) for a, b in runs]
     return found
 
 
@@ -188,12 +240,13 @@ def _locate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                                           ["doc_id", "digest", "start", "stop"])
 
     for batch in batches:
-        for k, doc, digest, start, words in zip(*[batch.column(c).to_pylist() for c in ("key", "doc_id", "digest", "start", "words")]):
+        numbers = [np.asarray(batch.column(c)).tolist() for c in ("key", "doc_id", "start")]
+        for k, doc, start, digest, words in zip(*numbers, *[batch.column(c).to_pylist() for c in ("digest", "words")]):
             if k != key and windows >= SHARD:
                 yield out()
                 shard, windows = [], 0
             key = k
-            shard.append((doc, digest, start, words))
+            shard.append((k, doc, digest, start, words))
             windows += words.count(b" ") - WINDOW + 2
     if shard:
         yield out()
@@ -201,19 +254,22 @@ def _locate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _keep_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "text"):
-        rows = []
-        for doc, text, digest, ranges in zip(*[part.column(c).to_pylist() for c in ("doc_id", "text", "digest", "ranges")]):
-            words = _split(text)
-            if _digest(b" ".join(words)) != digest:
+        words, lists, rows = Words(part.column("text")), part.column("ranges"), []
+        flat, offsets = lists.flatten(), np.append(0, np.cumsum(np.asarray(pc.list_value_length(lists)))).tolist()
+        ranges = list(zip(*[np.asarray(flat.field(c)).tolist() for c in ("start", "stop")]))
+        for i, (doc, digest, text, a, b) in enumerate(zip(part.column("doc_id").to_pylist(), part.column("digest").to_pylist(), words.texts(),
+                                                          words.starts.tolist(), words.ends.tolist())):
+            if _digest(text) != digest:
                 continue
-            kept, end = [], 0
-            for r in sorted((r["start"], r["stop"]) for r in ranges):
-                if r[0] > end:
-                    kept += words[end:r[0]]
-                end = max(end, r[1])
-            kept += words[end:]
-            joined = b" ".join(kept)
-            rows.append((doc, digest, len(words) - len(kept), hashlib.sha256(joined).hexdigest(), joined.decode("utf-8", "surrogatepass")))
+            spans, end = [], a
+            for start, stop in sorted(ranges[offsets[i]:offsets[i + 1]]):
+                if a + start > end:
+                    spans.append((end, a + start))
+                end = max(end, a + stop)
+            if b > end:
+                spans.append((end, b))
+            joined = b" ".join(words.passages(*np.array(spans, np.int64).reshape(-1, 2).T))
+            rows.append((doc, digest, b - a - sum(y - x for x, y in spans), hashlib.sha256(joined).hexdigest(), joined.decode("utf-8", "surrogatepass")))
         cols = list(zip(*rows)) or [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.string()))],
                                          ["doc_id", "digest", "n_removed", "kept_sha256", "kept_text"])

@@ -1,8 +1,11 @@
 import hashlib
 import random
 import re
+from types import SimpleNamespace
 
+import ahocorasick
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,6 +190,50 @@ def test_passages_against_brute_force(docs, monkeypatch, hot, shard):
             assert hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256
 
 
+def test_passages_work_once(monkeypatch):
+    """A piece that stands in many places is one pattern and is streamed once."""
+    done = []
+
+    class Counting:
+        def __init__(self, *args):
+            self.real = ahocorasick.Automaton(*args)
+
+        def add_word(self, words, value):
+            done.append(len(words))
+            return self.real.add_word(words, value)
+
+        def make_automaton(self):
+            return self.real.make_automaton()
+
+        def iter(self, words):
+            done.append(len(words))
+            return self.real.iter(words)
+
+    monkeypatch.setattr(phrases, "ahocorasick", SimpleNamespace(Automaton=Counting, STORE_INTS=ahocorasick.STORE_INTS, STORE_ANY=ahocorasick.STORE_ANY,
+                                                                KEY_SEQUENCE=ahocorasick.KEY_SEQUENCE))
+    words = [b"w%d" % i for i in range(50)]
+    rows = [(7, i, bytes(16), 3, b" ".join(words[:40])) for i in range(100)] + [(7, 100, bytes(16), 0, b" ".join(words[10:40]))]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["key", "doc_id", "digest", "start", "words"])
+    gone = {}
+    for part in phrases._locate_batches(iter([batch])):
+        for r in part.to_pylist():
+            gone.setdefault(r["doc_id"], set()).update(range(r["start"], r["stop"]))
+    assert gone == {i: set(range(3, 43)) for i in range(1, 100)} | {100: set(range(30))}
+    assert sum(done) <= 40 + 11 * 20 + 40 + 30  # one whole piece, the windows both pieces share, two streams
+
+
+def test_words_by_arrow():
+    texts = [None, "", " \n", " a  b\x0bc\x1c\x85d ", "é\u3000ü x" + "y" * 70, "x" + "y" * 70 + " a", "aaaaaaaa aaaaaaaaa a\0 a"]
+    split = [(t or "").encode().split() for t in texts]
+    for k in (0, 3):  # a slice, too
+        words = phrases.Words(pa.array(texts, pa.string()).slice(k))
+        assert words.texts() == [b" ".join(w) for w in split[k:]]
+        assert (words.ends - words.starts).tolist() == [len(w) for w in split[k:]]
+        flat = [w for ws in split[k:] for w in ws]
+        pairs = set(zip(flat, words.hashes().tolist()))
+        assert len(pairs) == len(set(flat)) == len({h for _, h in pairs})
+
+
 def test_passages_edges(docs):
     assert phrases.repeated_passages(docs([])).count() == 0
     t = " ".join(map(str, range(30)))
