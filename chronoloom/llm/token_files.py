@@ -36,6 +36,16 @@ class _Chunks(dict):
         return value
 
 
+def _bytes(words: pa.Array) -> list[bytes]:
+    """The strings of an array without nulls, cut from its buffer."""
+    if not len(words):
+        return []
+    _, offsets, data = words.cast(pa.binary()).buffers()
+    ends = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words) + 1].tolist()
+    data = data.to_pybytes() if data else b""
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
 class ChunkEncoder:
     """Ids of texts for a tokenizer that lower-cases and whose words hold no white space.
 
@@ -49,15 +59,28 @@ class ChunkEncoder:
     MARKS = ".,;:!?*#%&$|)"
     #: Words of Latin letters: one word for the tokenizer, in composed form, lowered letter by letter.
     LATIN = "^[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
-    #: Runs that one call encodes.
-    CALL = 4_096
+    #: Runs that one call encodes, and Latin words that go to the tokenizer's model as one text.
+    CALL, LINE = 4_096, 256
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         bytes_ = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {c: bytes_.pre_tokenize_str(chr(c))[0][0] for c in range(0xc0, 0x100)}
+        #: The letter that stands for each byte in the model's vocabulary; Latin words hold a-z and pairs of C3 and one of 80 to BF.
+        self.letters = np.zeros(256, "<u4")
+        for c in (" ", *map(chr, range(ord("a"), ord("z") + 1))):
+            self.letters[ord(c)] = ord(c)
+        for c in map(chr, range(0xc0, 0x100)):
+            self.letters[list(c.encode())] = [ord(x) for x in bytes_.pre_tokenize_str(c)[0][0]]
+        vocab, last = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix
+        #: Whether an id is the last one of a word; None where the model does not tell.
+        self.last = None
+        if last and all(chr(c) + x in vocab for c in self.letters[self.letters > 32].tolist() for x in ("", last)):
+            self.last = np.zeros(max(vocab.values()) + 1, bool)
+            self.last[[i for name, i in vocab.items() if name.endswith(last)]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -74,17 +97,22 @@ class ChunkEncoder:
         """Ids of distinct words, one after the other, and the size of each.
 
         Latin words go to the tokenizer's model, as its own first steps would
-        hand them on; others through all steps.
+        hand them on, many in one text; others through all steps.
         """
-        plain = np.asarray(pc.match_substring_regex(texts, self.LATIN))
+        plain = np.asarray(pc.match_substring_regex(texts, self.LATIN)) & (self.last is not None)
         some, rest = np.flatnonzero(plain), np.flatnonzero(~plain)
-        model, letters = self.tokenizer.model.tokenize, self.letters
-        ids = [[t.id for t in model(w)] for w in (x if x.isascii() else x.lower().translate(letters) for x in texts.take(pa.array(some)).to_pylist())]
-        others = texts.take(pa.array(rest)).to_pylist()
+        words = pc.utf8_lower(texts.take(pa.array(some)))
+        cuts = np.append(np.arange(0, len(some), self.LINE), len(some))
+        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), words), " ").cast(pa.binary()).to_pylist()
+        lines = [self.letters[np.frombuffer(line, np.uint8)].tobytes().decode("utf-32-le") for line in lines]
+        found = self.model.encode_batch_fast(lines, add_special_tokens=False)
+        ours = np.fromiter(chain.from_iterable([e.ids for e in found]), np.uint32)
+        size = np.diff(np.flatnonzero(self.last[ours]), prepend=-1) if len(some) else np.empty(0, np.int64)
+        ids, others = [], texts.take(pa.array(rest)).to_pylist()
         for a in range(0, len(others), self.CALL):
             ids += [e.ids for e in self.tokenizer.encode_batch_fast(others[a:a + self.CALL], add_special_tokens=False)]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        size = np.append(size, np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat = np.append(ours, np.fromiter(chain.from_iterable(ids), np.uint32))
         order = np.argsort(np.append(some, rest))
         return gather(flat, np.cumsum(size), order), size[order]
 
@@ -96,9 +124,8 @@ class ChunkEncoder:
                                  pc.invert(pc.match_substring(runs, "<|"))))
         at = np.flatnonzero(cut)
         own = pc.if_else(pa.array(cut), heads, runs)
-        marked = pa.array(at)
         tail = (np.asarray(pc.binary_length(runs)) - np.asarray(pc.binary_length(heads)))[at].tolist()
-        marks = pa.array([r[-n:] for r, n in zip(runs.take(marked).to_pylist(), tail)], pa.string())
+        marks = pa.array([chunks[i][-n:] for i, n in zip(at.tolist(), tail)], pa.binary()).cast(pa.string())
         words = pa.concat_arrays([own, marks]).dictionary_encode()
         flat, size = self._ids(words.dictionary)
         index = np.asarray(words.indices).astype(np.int64)
@@ -121,7 +148,7 @@ class ChunkEncoder:
         texts = pc.fill_null(texts, "")
         lists = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
         runs = lists.flatten().dictionary_encode()
-        names = runs.dictionary.cast(pa.binary()).to_pylist()
+        names = _bytes(runs.dictionary)
         known = np.fromiter(map(number, names), np.int64, len(names))
         every = known[np.asarray(runs.indices)]
         at = np.asarray(lists.offsets)[1:] - np.asarray(lists.offsets)[0]

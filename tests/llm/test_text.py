@@ -1,6 +1,7 @@
 import hashlib
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers as vocabularies
@@ -74,6 +75,32 @@ def test_rare_runs_are_forgotten(monkeypatch):
             assert [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)] == [library.encode(t, add_special_tokens=False).ids + tail for t in texts]
 
 
+def test_words_share_calls():
+    """Latin words go to the model many at a time, never one by one; ids are the library's for any number of them."""
+    name, rnd, one = vocabularies.path("word_bpe_49k.json"), random.Random(9), []
+    enc, library = token_files.ChunkEncoder(name), Tokenizer.from_file(name)
+    letters = "abcdefghijklmnopqrstuvwxyz" * 3 + "".join(chr(c) for c in range(0xc0, 0x100) if c not in (0xd7, 0xf7))
+    words = list(dict.fromkeys("".join(rnd.choice(letters) for _ in range(rnd.randint(1, 14))) for _ in range(2_000)))
+    full = enc.tokenizer
+    enc.tokenizer = SimpleNamespace(encode_batch_fast=full.encode_batch_fast, model=SimpleNamespace(tokenize=lambda w: one.append(w) or full.model.tokenize(w)))
+    texts = [" ".join(words), "", "12 ;; 东京", *[" ".join(words[:n]) for n in (1, 255, 256, 257, 512)], "A" * 3_000 + " " + "é" * 3_000, "a<|endoftext|>b " + words[0]]
+    for group in ([t] for t in texts):
+        enc.forget()
+        ids, ends = enc.encode(group, 1)
+        assert ids.tolist() == library.encode(group[0], add_special_tokens=False).ids + [1] and ends.tolist() == [len(ids)]
+    assert not one
+
+
+def test_words_without_an_end_mark():
+    """A model that does not mark the last id of a word gets its words through all steps."""
+    name = vocabularies.path("word_bpe_49k.json")
+    enc, library = token_files.ChunkEncoder(name), Tokenizer.from_file(name)
+    enc.last = None
+    texts = ["one été two", "", "x, y"]
+    ids, ends = enc.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_token_files(spark, docs):
     from chronoloom.llm.common import scratch_folder
     texts = fuzz()
