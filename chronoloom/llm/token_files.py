@@ -49,8 +49,8 @@ def _bytes(words: pa.Array) -> list[bytes]:
 class ChunkEncoder:
     """Ids of texts for a tokenizer that lower-cases and whose words hold no white space.
 
-    Each distinct run of other characters is encoded once, a bounded number of
-    runs is remembered, and documents are put together from them.  ASCII letters
+    Each distinct word is encoded once, a bounded number of words is remembered,
+    and documents are put together from them.  ASCII letters
     are lowered first and punctuation after a letter is encoded apart, as the
     tokenizer itself would do both; texts that could hold a special token are
     left as they are.
@@ -116,24 +116,19 @@ class ChunkEncoder:
         order = np.argsort(np.append(some, rest))
         return gather(flat, np.cumsum(size), order), size[order]
 
-    def _fresh(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and sizes of new chunks: heads and the marks behind them are encoded apart."""
-        runs = pa.array(chunks, pa.binary()).cast(pa.string())
+    def _words(self, runs: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """Heads and the marks behind them are words of their own: distinct words, and of each run the one or two it holds (-1: none)."""
         heads = pc.ascii_rtrim(runs, characters=self.MARKS)
         cut = np.asarray(pc.and_(pc.and_(pc.less(pc.binary_length(heads), pc.binary_length(runs)), pc.match_substring_regex(heads, "[0-9A-Za-z]$")),
                                  pc.invert(pc.match_substring(runs, "<|"))))
         at = np.flatnonzero(cut)
         own = pc.if_else(pa.array(cut), heads, runs)
-        tail = (np.asarray(pc.binary_length(runs)) - np.asarray(pc.binary_length(heads)))[at].tolist()
-        marks = pa.array([chunks[i][-n:] for i, n in zip(at.tolist(), tail)], pa.binary()).cast(pa.string())
+        size = np.asarray(pc.binary_length(heads))[at].tolist()
+        marks = pa.array([r[n:] for r, n in zip(_bytes(runs.take(pa.array(at))), size)], pa.binary()).cast(pa.string())
         words = pa.concat_arrays([own, marks]).dictionary_encode()
-        flat, size = self._ids(words.dictionary)
-        index = np.asarray(words.indices).astype(np.int64)
         both = np.full((len(runs), 2), -1, np.int64)
-        both[:, 0], both[at, 1] = index[:len(runs)], index[len(runs):]
-        ends, size = np.cumsum(size), np.append(size, 0)
-        every = both.ravel()
-        return gather(flat, ends, every[every >= 0]), size[both].sum(axis=1)
+        both[:, 0], both[at, 1] = np.asarray(words.indices)[:len(runs)], np.asarray(words.indices)[len(runs):]
+        return words.dictionary, both
 
     def encode(self, texts: pa.Array | list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the end of each text; ``end`` is appended to each text."""
@@ -148,15 +143,18 @@ class ChunkEncoder:
         texts = pc.fill_null(texts, "")
         lists = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
         runs = lists.flatten().dictionary_encode()
-        names = _bytes(runs.dictionary)
+        words, both = self._words(runs.dictionary)
+        names = _bytes(words)
         known = np.fromiter(map(number, names), np.int64, len(names))
-        every = known[np.asarray(runs.indices)]
-        at = np.asarray(lists.offsets)[1:] - np.asarray(lists.offsets)[0]
+        both = np.where(both < 0, -1, known[both])[np.asarray(runs.indices)]
+        there = both >= 0
+        at = np.append(0, np.cumsum(there.sum(axis=1)))[np.asarray(lists.offsets)[1:] - np.asarray(lists.offsets)[0]]
+        every = both[there]
         if end is not None:
             every = np.insert(every, at, 0)
             at = at + np.arange(1, len(at) + 1)
         if len(self.chunks) > old:
-            flat, size = self._fresh(list(self.chunks)[old:])
+            flat, size = self._ids(words.take(pa.array(np.flatnonzero(known >= old))))
             base = self.ends[-1] if old else 0
             self.flat = np.concatenate([self.flat, flat])
             self.ends = np.concatenate([self.ends, base + np.cumsum(size)])

@@ -91,6 +91,18 @@ def test_words_share_calls():
     assert not one
 
 
+def test_marks_share_the_word():
+    """A word that is known is not encoded again for the marks behind it."""
+    name, new = vocabularies.path("word_bpe_49k.json"), []
+    enc, library = token_files.ChunkEncoder(name), Tokenizer.from_file(name)
+    enc.encode(["house"])
+    ids = enc._ids
+    enc._ids = lambda words: new.extend(words.to_pylist()) or ids(words)
+    text = "house, house. House$$$ house"
+    assert enc.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sorted(new) == ["$$$", ",", "."]
+
+
 def test_words_without_an_end_mark():
     """A model that does not mark the last id of a word gets its words through all steps."""
     name = vocabularies.path("word_bpe_49k.json")
